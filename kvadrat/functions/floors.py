@@ -12,7 +12,7 @@ _NUM = r"(-?\d+(?:[.,]\d+)?)"
 
 
 def _to_double(text: Column) -> Column:
-    return F.try_cast(F.replace(F.when(text != "", text), F.lit(","), F.lit(".")), "double")
+    return (F.replace(F.when(text != "", text), F.lit(","), F.lit("."))).try_cast("double")
 
 
 def total_floors_text(c: Column | str) -> Column:

@@ -290,7 +290,7 @@ def top_n_per_group(df: DataFrame, group: str, order: list[Column], n: int = 10)
 # ---------------------------------------------------------------------------
 
 
-def pearson(df: DataFrame, a: str = "area_m2", b: str = "price_eur") -> Column:
+def pearson(a: str = "area_m2", b: str = "price_eur") -> Column:
     """Pearson correlation over rows where both are present."""
     return F.corr(F.col(a), F.col(b))
 

@@ -67,7 +67,7 @@ parsed as (select *,
 model as (select {RAW},
   case when area_m2 <> 0 then round_even(price_eur / area_m2 * 100, 0) / 100 end as price_per_m2,
   floor, total_floors,
-  case when floor is null or total_floors is null then null when floor = total_floors then 1.0 else 0.0 end as is_last_floor,
+  case when floor is null or total_floors is null then null when floor = total_floors then 1.0::double else 0.0::double end as is_last_floor,
   2026.0 - year_built as building_age,
   city || ' | ' || region as city_region,
   {_flag(S.LUX_WORDS)} as is_lux,
