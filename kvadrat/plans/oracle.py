@@ -30,27 +30,17 @@ def _flag(words: list[str]) -> str:
     return f"coalesce(regexp_matches(_text, '\\b(?:{'|'.join(words)})\\b'), false)::int"
 
 
-def stages() -> str:
-    """CTEs: listings, raw, ranked, deduped, cleaned, model (+ helpers)."""
+def feature_ctes(src: str, out: str = "model", keep: str = RAW, p: str = "") -> str:
+    """CTEs turning ``src`` (raw listing columns) into ``out`` with the F1-F12 columns."""
     norm_cols = ", ".join(
-        _norm(c) if c in S.CATEGORICAL_COLUMNS_TO_NORMALIZE else c for c in S.RAW_COLUMNS
+        _norm(c) if c in S.CATEGORICAL_COLUMNS_TO_NORMALIZE else c for c in keep.split(", ")
     )
     pair = NUM + r"\s*/\s*" + NUM
-    return f"""with {testview.listings_sql()},
-raw as (select {RAW} from listings),
-ranked as (select {RAW}, row_number() over (partition by {KEY} order by {FIRST}) as _rn
-           from raw where {COMPLETE}),
-deduped as (select {RAW}, true as _complete, {", ".join(f"{c} as _o_{c}" for c in testview.FIRST_ORDER)}
-            from ranked where _rn = 1
-            union all
-            select {RAW}, false as _complete, {", ".join(f"{c} as _o_{c}" for c in testview.FIRST_ORDER)}
-            from raw where not ({COMPLETE})),
-cleaned as (select {RAW} from deduped where {QUALITY}),
-norm as (select {norm_cols},
+    return f"""{p}norm as (select {norm_cols},
                 lower(regexp_replace(raw_floor_string, '^\\s+|\\s+$', '', 'g')) as _raw,
                 lower(coalesce(title, '') || ' ' || coalesce(description, '')) as _text
-         from cleaned),
-parsed as (select *,
+         from {src}),
+{p}parsed as (select *,
   try_cast(replace(nullif(regexp_extract(_raw, '/\\s*{NUM}', 1), ''), ',', '.') as double) as _total,
   case when _raw is null or _raw in ('', 'nepoznato', '-') then null
        when contains(_raw, 'suteren') then -1.0
@@ -63,8 +53,8 @@ parsed as (select *,
             try_cast(replace(nullif(regexp_extract(_raw, '/\\s*{NUM}', 1), ''), ',', '.') as double)
        when regexp_matches(_raw, '{pair}') then try_cast(replace(regexp_extract(_raw, '{pair}', 2), ',', '.') as double)
   end as total_floors
-  from norm),
-model as (select {RAW},
+  from {p}norm),
+{out} as (select {keep},
   case when area_m2 <> 0 then round_even(price_eur / area_m2 * 100, 0) / 100 end as price_per_m2,
   floor, total_floors,
   case when floor is null or total_floors is null then null when floor = total_floors then 1.0::double else 0.0::double end as is_last_floor,
@@ -73,7 +63,22 @@ model as (select {RAW},
   {_flag(S.LUX_WORDS)} as is_lux,
   {_flag(S.PENTHOUSE_WORDS)} as is_penthouse,
   {_flag(S.DUPLEX_WORDS)} as is_duplex
-  from parsed)
+  from {p}parsed)"""
+
+
+def stages() -> str:
+    """CTEs: listings, raw, ranked, deduped, cleaned, norm, parsed, model."""
+    return f"""with {testview.listings_sql()},
+raw as (select {RAW} from listings),
+ranked as (select {RAW}, row_number() over (partition by {KEY} order by {FIRST}) as _rn
+           from raw where {COMPLETE}),
+deduped as (select {RAW}, true as _complete, {", ".join(f"{c} as _o_{c}" for c in testview.FIRST_ORDER)}
+            from ranked where _rn = 1
+            union all
+            select {RAW}, false as _complete, {", ".join(f"{c} as _o_{c}" for c in testview.FIRST_ORDER)}
+            from raw where not ({COMPLETE})),
+cleaned as (select {RAW} from deduped where {QUALITY}),
+{feature_ctes("cleaned")}
 """
 
 

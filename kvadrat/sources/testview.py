@@ -110,3 +110,40 @@ def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 13 raw columns plus ``_ord`` (listing_key dropped: copies differ only there)."""
     return listings(spark, sf_dir).select(*S.RAW_COLUMNS, "_ord")
+
+
+# fixed values: score-request view (string inputs, as a form would send them)
+SCORE_COLUMNS: list[tuple[str, str]] = [
+    ("input_id", "cast(l_orderkey as varchar) || '-' || cast(l_linenumber as varchar) || '-' || cast(l_partkey as varchar)"),
+    ("city", dict(VIEW_COLUMNS)["city"]),
+    ("region", dict(VIEW_COLUMNS)["region"]),
+    ("street", dict(VIEW_COLUMNS)["street"]),
+    ("area_m2", f"cast({dict(VIEW_COLUMNS)['area_m2']} as varchar)"),
+    ("rooms", f"cast({dict(VIEW_COLUMNS)['rooms']} as varchar)"),
+    ("heating_type", dict(VIEW_COLUMNS)["heating_type"]),
+    ("parking", dict(VIEW_COLUMNS)["parking"]),
+    ("floor", "cast(l_linenumber as varchar)"),
+    ("total_floors", "cast(p_size % 9 as varchar)"),
+    ("year_built", f"cast({dict(VIEW_COLUMNS)['year_built']} as varchar)"),
+    ("is_lux", "l_partkey % 11 = 0"),
+    ("is_penthouse", "l_partkey % 13 = 0"),
+    ("is_duplex", "l_partkey % 3 = 0"),
+]
+
+
+def score_inputs_sql() -> str:
+    cols = ",\n    ".join(f"{expr} as {name}" for name, expr in SCORE_COLUMNS)
+    return f"score_input as (select\n    {cols}\n  from {_JOIN_SQL})"
+
+
+def score_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One scoring request per lineitem row, every field a string (or boolean flag)."""
+    t = {n: read_table(spark, sf_dir, n) for n in ["lineitem", "part", "supplier", "nation", "region"]}
+    joined = (
+        t["lineitem"]
+        .join(t["part"], F.col("l_partkey") == F.col("p_partkey"))
+        .join(t["supplier"], F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(t["nation"], F.col("s_nationkey") == F.col("n_nationkey"))
+        .join(t["region"], F.col("n_regionkey") == F.col("r_regionkey"))
+    )
+    return joined.select(*[F.expr(expr.replace("varchar", "string")).alias(name) for name, expr in SCORE_COLUMNS])
