@@ -57,3 +57,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         _LOCAL_CHECKPOINT[key] = tempfile.mkdtemp(prefix="kvadrat-ckpt-", dir="/tmp")
         spark.sparkContext.setCheckpointDir(_LOCAL_CHECKPOINT[key])
     return _LOCAL_CHECKPOINT[key]
+
+
+def checkpoint_dir(spark: SparkSession) -> str:
+    """Shared scratch root for checkpoints and intermediate tables of this session."""
+    return ensure_checkpoint_dir(spark)
