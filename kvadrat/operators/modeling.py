@@ -53,12 +53,13 @@ def with_split(
 ) -> DataFrame:
     """M1: add ``is_test``. Default: md5(seed, key) prefix below the threshold (about
     ``test_size`` of the rows, decided row by row). ``exact``: the ceil(n * test_size)
-    rows with the smallest hash, found by distributed ranks (no single-task sort)."""
+    rows with the smallest hash, found by distributed ranks (no single-task sort); rows
+    with identical key content share a hash and always land on the same side."""
     key = key or SPLIT_KEY
     h = E.row_hash(key, seed)
     if not exact:
         return df.withColumn("is_test", F.substring(h, 1, 8) < F.lit(split_threshold(test_size)))
-    hashed = df.withColumn("_h", h)
+    hashed = df.withColumn("_h", F.conv(F.substring(h, 1, 15), 16, 10).cast("long"))
     n = hashed.agg(F.count(F.lit(1)).alias("_n"))
     ranks = E.value_ranks(hashed, "_h").select("_h", "rows_below")
     k = F.ceil(F.col("_n") * test_size)
