@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from kvadrat import schema as S
-from kvadrat.functions.text import _col, strip
+from kvadrat.functions.text import _col, let, strip
 
 _NUM = r"(-?\d+(?:[.,]\d+)?)"
 
@@ -27,7 +27,10 @@ def parse_floor(c: Column | str) -> Column:
     give nulls; 'suteren' gives -1 and 'prizemlje' 0 (both keep the total after '/');
     'a / b' anywhere gives (a, b); a lone number n gives (n, null); anything else nulls.
     """
-    raw = F.lower(strip(_col(c)))
+    return let(F.lower(strip(_col(c))), _parse_lowered)
+
+
+def _parse_lowered(raw: Column) -> Column:
     total = total_floors_text(raw)
     pair = r"(?U)" + _NUM + r"\s*/\s*" + _NUM
     has_pair = raw.rlike(pair)

@@ -16,6 +16,14 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value: Column, body) -> Column:
+    """Evaluate ``value`` once and refer to it several times inside ``body``.
+
+    Expressions that use their input many times (the number and URL grammars) would
+    otherwise copy the whole input expression into every branch."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def strip(c: Column | str) -> Column:
     """Remove leading and trailing whitespace of any kind (``trim`` only removes spaces)."""
     return F.regexp_replace(_col(c), r"(?U)^\s+|\s+$", "")

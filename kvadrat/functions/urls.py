@@ -10,7 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from kvadrat import schema as S
-from kvadrat.functions.text import _col, strip
+from kvadrat.functions.text import _col, let, strip
 
 URI = r"^(([^:/?#]+):)?(//([^/?#]*))?([^?#]*)(\?([^#]*))?(#(.*))?"
 
@@ -23,11 +23,13 @@ def uri_part(c: Column, part: str) -> Column:
 def comparable_url(c: Column | str, default_netloc: str = S.BASE_NETLOC) -> Column:
     """Https, host (default when absent), path with exactly one trailing '/', no
     query or fragment; '' for a missing or empty value."""
-    u = strip(_col(c))
-    netloc = uri_part(u, "netloc")
-    path = F.regexp_replace(uri_part(u, "path"), "/+$", "")
-    out = F.concat(F.lit("https://"), F.when(netloc == "", F.lit(default_netloc)).otherwise(netloc), path, F.lit("/"))
-    return F.when(u.isNull() | (u == ""), F.lit("")).otherwise(out)
+    def body(u: Column) -> Column:
+        netloc = uri_part(u, "netloc")
+        path = F.regexp_replace(uri_part(u, "path"), "/+$", "")
+        out = F.concat(F.lit("https://"), F.when(netloc == "", F.lit(default_netloc)).otherwise(netloc), path, F.lit("/"))
+        return F.when(u.isNull() | (u == ""), F.lit("")).otherwise(out)
+
+    return let(strip(_col(c)), body)
 
 
 def canonicalize_url(
@@ -40,9 +42,16 @@ def canonicalize_url(
     rule, force one trailing '/', drop query and fragment; null when rejected.
 
     ``netloc=None`` keeps each URL's own host (used to run the rule on arbitrary pages)."""
-    u = strip(_col(c))
-    scheme, host, path = uri_part(u, "scheme"), uri_part(u, "netloc"), uri_part(u, "path")
     base = F.lit(base_netloc) if isinstance(base_netloc, str) else base_netloc
+    parts = F.struct(
+        *[F.regexp_extract(strip(_col(c)), URI, g).alias(n) for n, g in [("scheme", 2), ("netloc", 4), ("path", 5)]],
+        strip(_col(c)).alias("u"),
+    )
+    return let(parts, lambda p: _canonical(p, netloc, path_pattern, base))
+
+
+def _canonical(p: Column, netloc: str | None, path_pattern: str, base: Column) -> Column:
+    u, scheme, host, path = p["u"], p["scheme"], p["netloc"], p["path"]
     resolved_host = F.when(host != "", host).when(scheme == "", base).otherwise(F.lit(""))
     resolved_path = F.when((scheme == "") & (host == "") & ~path.startswith("/"), F.concat(F.lit("/"), path)).otherwise(path)
     final_path = F.when(resolved_path.endswith("/"), resolved_path).otherwise(F.concat(resolved_path, F.lit("/")))

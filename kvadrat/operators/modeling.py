@@ -98,7 +98,9 @@ class MedianStandardizer(Estimator, _NumericParams, DefaultParamsReadable, Defau
 
     def _fit(self, dataset: DataFrame) -> "MedianStandardizerModel":
         cols = self.getInputCols()
-        meds = dataset.agg(*[F.median(c).alias(c) for c in cols]).first()
+        found = E.quantile_columns(dataset, cols, [0.5]).collect()  # one row per column
+        meds = {c: None for c in cols}
+        meds.update({r["column_name"]: r["q0"] for r in found})
         empty = [c for c in cols if meds[c] is None]
         if empty:
             raise ValueError(f"Cannot impute columns with no observed training values: {', '.join(empty)}")
@@ -157,7 +159,7 @@ class MedianRegressor(Estimator, HasLabelCol, HasPredictionCol, DefaultParamsRea
         self._set(**self._input_kwargs)
 
     def _fit(self, dataset: DataFrame) -> "ConstantModel":
-        med = dataset.agg(F.median(self.getLabelCol()).alias("m")).first()["m"]
+        med = E.exact_quantiles(dataset, self.getLabelCol(), [0.5]).first()["q0"]
         return ConstantModel(predictionCol=self.getPredictionCol(), value=float(med))
 
 

@@ -32,10 +32,10 @@ def _unpivot_rows(wide: DataFrame, names: list[str], fields: list[str]) -> DataF
     return wide.select(F.explode(F.array(*structs)).alias("r")).select("r.*")
 
 
-def _quantile(c: str, q: float | list[float], approx: bool) -> Column:
-    if approx:
-        return F.percentile_approx(F.col(c), q, 10000)
-    return F.percentile(F.col(c), q)
+def _quantile(c: str, q: float | list[float], approx: bool = True) -> Column:
+    """Approximate quantile aggregate (bounded memory per group); exact quantiles go
+    through ``exact_quantiles``."""
+    return F.percentile_approx(F.col(c), q, 10000)
 
 
 # ---------------------------------------------------------------------------
@@ -64,6 +64,18 @@ def missing_table(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
 DESCRIBE_PERCENTILES = [0.01, 0.05, 0.5, 0.95, 0.99]
 
 
+def quantile_columns(
+    df: DataFrame, columns: list[str], qs: list[float], approx: bool = False, name: str = "column_name"
+) -> DataFrame:
+    """(column_name, q0..) for several columns: exact (distributed) or approximate."""
+    if approx:
+        aggs = [F.percentile_approx(F.col(c).cast("double"), qs, 10000).alias(c) for c in columns]
+        wide = df.agg(*aggs)
+        items = [F.struct(F.lit(c).alias(name), *[F.col(c)[i].alias(f"q{i}") for i in range(len(qs))]) for c in columns]
+        return wide.select(F.explode(F.array(*items)).alias("_r")).select("_r.*")
+    return exact_quantiles(stacked(df, columns, name), "value", qs, [name]).drop("n")
+
+
 def describe(
     df: DataFrame,
     columns: list[str] | None = None,
@@ -71,7 +83,10 @@ def describe(
     digits: int = 2,
     approx: bool = False,
 ) -> DataFrame:
-    """E2 (and M22): count, mean, sample std, min, percentiles, max per column, rounded."""
+    """E2 (and M22): count, mean, sample std, min, percentiles, max per column, rounded.
+
+    Moments are one aggregate; percentiles come from ``quantile_columns`` (one grouped
+    pass over the stacked columns); both sides have one row per column."""
     columns = columns or S.NUMERIC_RAW_COLUMNS
     percentiles = percentiles or DESCRIBE_PERCENTILES
     names = [f"p{round(p * 100):d}" for p in percentiles]
@@ -82,20 +97,17 @@ def describe(
             F.avg(c).alias(f"{c}__mean"),
             F.stddev_samp(c).alias(f"{c}__std"),
             F.min(c).alias(f"{c}__min"),
-            _quantile(c, percentiles, approx).alias(f"{c}__q"),
             F.max(c).alias(f"{c}__max"),
         ]
-    wide = df.agg(*aggs)
-    wide = wide.select(
-        *[F.col(f"{c}__{f}") for c in columns for f in ["count", "mean", "std", "min", "max"]],
-        *[F.col(f"{c}__q")[i].alias(f"{c}__{n}") for c in columns for i, n in enumerate(names)],
-    )
-    fields = ["count", "mean", "std", "min", *names, "max"]
-    long = _unpivot_rows(wide, columns, fields)
-    return long.select(
+    long = _unpivot_rows(df.agg(*aggs), columns, ["count", "mean", "std", "min", "max"])
+    qt = quantile_columns(df, columns, percentiles, approx)
+    qt = qt.select("column_name", *[F.col(f"q{i}").alias(n) for i, n in enumerate(names)])
+    joined = long.join(F.broadcast(qt), "column_name", "left")
+    fields = ["mean", "std", "min", *names, "max"]
+    return joined.select(
         "column_name",
         F.col("count").cast("bigint").alias("count"),
-        *[round_even(F.col(f).cast("double"), digits).alias(f) for f in fields[1:]],
+        *[round_even(F.col(f).cast("double"), digits).alias(f) for f in fields],
     )
 
 
@@ -104,12 +116,10 @@ def numeric_ranges(df: DataFrame, columns: list[str] | None = None, approx: bool
     columns = columns or ["area_m2", "rooms", "year_built", "price_eur"]
     aggs = []
     for c in columns:
-        aggs += [
-            F.min(c).cast("double").alias(f"{c}__min"),
-            _quantile(c, 0.5, approx).cast("double").alias(f"{c}__median"),
-            F.max(c).cast("double").alias(f"{c}__max"),
-        ]
-    return _unpivot_rows(df.agg(*aggs), columns, ["min", "median", "max"])
+        aggs += [F.min(c).cast("double").alias(f"{c}__min"), F.max(c).cast("double").alias(f"{c}__max")]
+    long = _unpivot_rows(df.agg(*aggs), columns, ["min", "max"])
+    med = quantile_columns(df, columns, [0.5], approx).select("column_name", F.col("q0").alias("median"))
+    return long.join(F.broadcast(med), "column_name", "left").select("column_name", "min", "median", "max")
 
 
 def shape_summary(df: DataFrame) -> DataFrame:
@@ -129,12 +139,25 @@ def shape_summary(df: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 
-def clip_upper(df: DataFrame, column: str, q: float, ref: DataFrame | None = None, approx: bool = False) -> DataFrame:
+def clip_upper(
+    df: DataFrame,
+    column: str,
+    q: float,
+    ref: DataFrame | None = None,
+    approx: bool = False,
+    bound: DataFrame | None = None,
+) -> DataFrame:
     """Values of ``column`` clipped at the ``q`` quantile of ``ref`` (default: df).
 
-    The bound is a one-row aggregate, broadcast to every task; nulls stay null."""
+    The bound is a one-row frame (``_upper``), broadcast to every task; nulls stay null.
+    Pass ``bound`` to reuse one computed for several frames."""
     ref = df if ref is None else ref
-    bound = ref.agg(_quantile(column, q, approx).cast("double").alias("_upper"))
+    if bound is not None:
+        pass
+    elif approx:
+        bound = ref.agg(_quantile(column, q, True).cast("double").alias("_upper"))
+    else:
+        bound = exact_quantiles(ref, column, [q]).select(F.col("q0").alias("_upper"))
     out = df.crossJoin(F.broadcast(bound))
     clipped = F.when(F.col(column).isNull(), None).otherwise(F.least(F.col(column), F.col("_upper")))
     return out.withColumn(f"{column}_clipped", clipped).drop("_upper")
@@ -218,13 +241,13 @@ def box_stats(df: DataFrame, column: str, group: str = "city", approx: bool = Fa
     and the number of points outside. Two aggregates on ``group`` joined on the group."""
     x = F.col(column)
     data = df.filter(x.isNotNull())
-    q = data.groupBy(group).agg(_quantile(column, [0.25, 0.5, 0.75], approx).alias("_q"))
-    q = q.select(
-        group,
-        F.col("_q")[0].alias("q1"),
-        F.col("_q")[1].alias("median"),
-        F.col("_q")[2].alias("q3"),
-    ).withColumn("iqr", F.col("q3") - F.col("q1"))
+    if approx:
+        q = data.groupBy(group).agg(_quantile(column, [0.25, 0.5, 0.75], True).alias("_q"))
+        q = q.select(group, *[F.col("_q")[i].alias(n) for i, n in enumerate(["q1", "median", "q3"])])
+    else:
+        q = exact_quantiles(data, column, [0.25, 0.5, 0.75], [group])
+        q = q.select(group, F.col("q0").alias("q1"), F.col("q1").alias("median"), F.col("q2").alias("q3"))
+    q = q.withColumn("iqr", F.col("q3") - F.col("q1"))
     lo_fence = F.col("q1") - 1.5 * F.col("iqr")
     hi_fence = F.col("q3") + 1.5 * F.col("iqr")
     inside = (x >= lo_fence) & (x <= hi_fence)
@@ -255,26 +278,33 @@ def box_stats(df: DataFrame, column: str, group: str = "city", approx: bool = Fa
 
 def region_price_summary(
     df: DataFrame,
-    cities: list[str],
+    cities: list[str] | int = 2,
     value: str = "price_eur",
     min_count: int = 30,
     approx: bool = False,
 ) -> DataFrame:
     """Per (city, region) count and p5/p25/median/p75/p95 of price, rounded to
-    whole euros, groups with at least ``min_count`` listings. Groups with a missing region
-    are left out, as a pandas group-by does."""
-    data = df.filter(F.col("city").isin(*cities) & F.col("region").isNotNull())
+    whole euros, groups with at least ``min_count`` listings. ``cities`` names the cities,
+    or is k: the k most common cities of ``df`` (a k-row frame, broadcast to a semi join).
+    Groups with a missing region are left out, as a pandas group-by does."""
+    if isinstance(cities, int):
+        data = top_k_semi_join(df, df, "city", cities)
+    else:
+        data = df.filter(F.col("city").isin(*cities))
+    data = data.filter(F.col("region").isNotNull())
     qs = [0.05, 0.25, 0.5, 0.75, 0.95]
-    g = data.groupBy("city", "region").agg(
-        F.count(value).alias("listings"), _quantile(value, qs, approx).alias("_q")
-    )
-    g = g.filter(F.col("listings") >= min_count)
     names = ["p05", "p25", "median", "p75", "p95"]
+    if approx:
+        g = data.groupBy("city", "region").agg(F.count(value).alias("n"), _quantile(value, qs, True).alias("_q"))
+        g = g.select("city", "region", "n", *[F.col("_q")[i].alias(f"q{i}") for i in range(len(qs))])
+    else:
+        g = exact_quantiles(data, value, qs, ["city", "region"])
+    g = g.filter(F.col("n") >= min_count)
     return g.select(
         "city",
         "region",
-        F.col("listings").cast("bigint").alias("listings"),
-        *[round_even(F.col("_q")[i].cast("double"), 0).alias(n) for i, n in enumerate(names)],
+        F.col("n").cast("bigint").alias("listings"),
+        *[round_even(F.col(f"q{i}").cast("double"), 0).alias(n) for i, n in enumerate(names)],
     )
 
 
@@ -308,7 +338,7 @@ def value_ranks(df: DataFrame, column: str, buckets: int = 256) -> DataFrame:
     bounds = counts.agg(F.percentile_approx(x, fractions, 10 * buckets).alias("_bounds"))
     bucketed = counts.crossJoin(F.broadcast(bounds)).withColumn(
         "_b", F.size(F.filter(F.col("_bounds"), lambda v: v < x))
-    ).drop("_bounds")
+    ).drop("_bounds").checkpoint(eager=True)
     totals = bucketed.groupBy("_b").agg(F.sum("_n").alias("_bn"))
     offsets = totals.withColumn(
         "_offset",
@@ -322,8 +352,12 @@ def value_ranks(df: DataFrame, column: str, buckets: int = 256) -> DataFrame:
 
 
 def spearman(df: DataFrame, a: str = "area_m2", b: str = "price_eur") -> DataFrame:
-    """Spearman correlation = Pearson over average ranks, on rows with both values."""
-    pairs = df.select(a, b).filter(F.col(a).isNotNull() & F.col(b).isNotNull())
+    """Spearman correlation = Pearson over average ranks, on rows with both values.
+
+    The two-column projection is checkpointed once; both rank tables and the final join
+    read it. Ranks join back on the value (a hot value is one build row; AQE splits the
+    skewed probe side)."""
+    pairs = df.select(a, b).filter(F.col(a).isNotNull() & F.col(b).isNotNull()).checkpoint(eager=True)
     ra = value_ranks(pairs, a).select(a, F.col("avg_rank").alias("_ra"))
     rb = value_ranks(pairs, b).select(b, F.col("avg_rank").alias("_rb"))
     return pairs.join(ra, a).join(rb, b).agg(F.corr("_ra", "_rb").alias("spearman"))
@@ -385,3 +419,82 @@ def regions_by_city(df: DataFrame) -> DataFrame:
     bounded by the distinct regions of that city and is partially aggregated map-side)."""
     data = df.filter(F.col("city").isNotNull() & F.col("region").isNotNull())
     return data.groupBy("city").agg(F.array_sort(F.collect_set("region")).alias("regions"))
+
+
+# ---------------------------------------------------------------------------
+# Exact quantiles without a whole group in one task
+# ---------------------------------------------------------------------------
+
+
+def exact_quantiles(
+    df: DataFrame,
+    value: str,
+    qs: list[float],
+    group_cols: list[str] | None = None,
+    buckets: int = 256,
+) -> DataFrame:
+    """Exact quantiles (linear interpolation between closest ranks, as numpy/pandas) of
+    ``value`` per group, as columns ``q0..q{k-1}`` plus ``n`` (non-null count).
+
+    Plan: distinct (group, value) counts (partial aggregation, checkpointed once); per
+    group, value buckets
+    from approximate quantiles of the distinct values and the group size; running counts
+    inside each (group, bucket) window; bucket offsets from a window over at most
+    ``buckets`` bucket totals per group. Every distinct value then knows its rank range and
+    keeps only the order statistics some quantile needs, so the final aggregate sees at
+    most two values per quantile and group. A hot group is spread over its buckets: no
+    task ever holds a whole group."""
+    g = list(group_cols or [])
+    v = F.col(value)
+    counts = df.filter(v.isNotNull() & ~F.isnan(v.cast("double"))).groupBy(*g, value).agg(F.count(F.lit(1)).alias("_n"))
+    fractions = [i / buckets for i in range(1, buckets)]
+    per_group = counts.groupBy(*g).agg(
+        F.percentile_approx(v, fractions, 10 * buckets).alias("_bounds"), F.sum("_n").alias("_size")
+    )
+    if g:
+        rows = counts.join(per_group, g)
+    else:
+        rows = counts.crossJoin(F.broadcast(per_group))
+    rows = rows.withColumn("_b", F.size(F.filter(F.col("_bounds"), lambda x: x < v))).drop("_bounds")
+    # the distinct-value table feeds both the bucket offsets and the per-value ranks:
+    # store it once in the checkpoint folder instead of recomputing the input twice
+    rows = rows.checkpoint(eager=True)
+
+    w_in = Window.partitionBy(*g, "_b").orderBy(value)
+    rows = rows.withColumn(
+        "_in", F.coalesce(F.sum("_n").over(w_in.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    )
+    totals = rows.groupBy(*g, "_b").agg(F.sum("_n").alias("_bn"))
+    w_b = (Window.partitionBy(*g) if g else Window).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*g, "_b", F.coalesce(F.sum("_bn").over(w_b), F.lit(0)).alias("_offset"))
+    rows = rows.join(offsets, [*g, "_b"]) if g else rows.join(F.broadcast(offsets), "_b")
+    first = F.col("_offset") + F.col("_in")  # 0-based rank of this value's first copy
+    last = first + F.col("_n") - 1
+
+    # order statistics needed: floor and ceil of q * (N - 1) for every quantile
+    wanted = []
+    for i, q in enumerate(qs):
+        pos = F.lit(float(q)) * (F.col("_size") - 1)
+        for side, r in (("lo", F.floor(pos)), ("hi", F.ceil(pos))):
+            wanted.append(F.when((r >= first) & (r <= last), F.struct(F.lit(i).alias("qi"), F.lit(side).alias("side"))))
+    picked = rows.select(*g, "_size", v.cast("double").alias("_v"), F.explode(F.array_compact(F.array(*wanted))).alias("w"))
+    per_q = picked.groupBy(*g, "_size", F.col("w.qi").alias("qi")).agg(
+        F.max(F.when(F.col("w.side") == "lo", F.col("_v"))).alias("v_lo"),
+        F.max(F.when(F.col("w.side") == "hi", F.col("_v"))).alias("v_hi"),
+    )
+    qarr = F.array(*[F.lit(float(q)) for q in qs])
+    pos = F.element_at(qarr, F.col("qi") + 1) * (F.col("_size") - 1)
+    # numpy's interpolation, bit for bit: lerp from the nearer end
+    t = pos - F.floor(pos)
+    diff = F.col("v_hi") - F.col("v_lo")
+    per_q = per_q.withColumn(
+        "qv", F.when(t < 0.5, F.col("v_lo") + diff * t).otherwise(F.col("v_hi") - diff * (1 - t))
+    )
+    wide = per_q.groupBy(*g, "_size").agg(*[F.max(F.when(F.col("qi") == i, F.col("qv"))).alias(f"q{i}") for i in range(len(qs))])
+    return wide.withColumnRenamed("_size", "n")
+
+
+def stacked(df: DataFrame, columns: list[str], name: str = "column_name", value: str = "value") -> DataFrame:
+    """Long form (column_name, value) of several numeric columns, for one grouped pass."""
+    items = [F.struct(F.lit(c).alias(name), F.col(c).cast("double").alias(value)) for c in columns]
+    return df.select(F.explode(F.array(*items)).alias("_s")).select("_s.*")

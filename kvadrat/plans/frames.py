@@ -12,8 +12,8 @@ from kvadrat.operators import cleaning as C
 from kvadrat.operators import features as FE
 from kvadrat.sources import testview
 
-# the two cities of the regional price summary (the test data's two largest markets)
-SUMMARY_CITIES = ["NATION_9", "NATION_6"]
+# the regional price summary covers the two largest markets of the data
+SUMMARY_TOP_CITIES = 2
 
 
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,3 +30,10 @@ def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return FE.add_model_features(cleaned(spark, sf_dir))
+
+
+def cleaned_checkpointed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cleaned stage written once to the checkpoint folder, for queries that read it
+    several times (lineage cut: later stages and retries start from the stored copy).
+    The model stage is a narrow projection of it: ``FE.add_model_features(...)``."""
+    return cleaned(spark, sf_dir).checkpoint(eager=True)

@@ -82,5 +82,16 @@ cleaned as (select {RAW} from deduped where {QUALITY}),
 """
 
 
+def qc(x: str, q: float | str) -> str:
+    """Exact quantile with numpy's linear interpolation (DuckDB's ``quantile_cont``
+    interpolates with a different float formula and can differ in the last bit)."""
+    lst = f"list_sort(list({x}) filter (where {x} is not null))"
+    pos = f"(({q}) * (len({lst}) - 1))"
+    a = f"{lst}[floor({pos})::bigint + 1]"
+    b = f"{lst}[ceil({pos})::bigint + 1]"
+    t = f"({pos} - floor({pos}))"
+    return f"(case when {t} < 0.5 then {a} + ({b} - {a}) * {t} else {b} - ({b} - {a}) * (1 - {t}) end)"
+
+
 def q(body: str) -> str:
     return stages() + body

@@ -14,7 +14,7 @@ from kvadrat import schema as S
 from kvadrat.operators import modeling as M
 from kvadrat.operators import stats as E
 from kvadrat.plans import frames
-from kvadrat.plans.oracle import q
+from kvadrat.plans.oracle import q, qc
 from kvadrat.plans.queries_stats import _describe_sql, _hash_sql, _re, _rs
 from kvadrat.plans.registry import register
 
@@ -30,8 +30,10 @@ test as (select * from split where is_test)
 
 
 def _split(spark, sf):
+    """Labelled model rows with ``is_test`` and a stable row id, checkpointed once: every
+    fit and metric of the query reads it, and a lost executor does not redo the dedup."""
     m = frames.model(spark, sf).filter(F.col(S.TARGET).isNotNull())
-    return M.with_split(m).withColumn("_row", E.row_hash(M.SPLIT_KEY))
+    return M.with_split(m).withColumn("_row", E.row_hash(M.SPLIT_KEY)).checkpoint(eager=True)
 
 
 @register("m1_split", q(_SPLIT_SQL + "select _row, price_eur, is_test from split"))
@@ -50,7 +52,7 @@ def _fitted_numeric(spark, sf):
     q(
         _SPLIT_SQL
         + " union all ".join(
-            f"select '{c}' as column_name, quantile_cont({c}, 0.5)::double as median from train"
+            f"select '{c}' as column_name, {qc(c, 0.5)}::double as median from train"
             for c in S.MODEL_NUMERIC_FEATURES
         )
     ),
@@ -65,7 +67,7 @@ def m2(spark, sf):
 def _standardize_sql() -> str:
     parts = []
     for c in S.MODEL_NUMERIC_FEATURES:
-        filled = f"coalesce({c}::double, (select quantile_cont({c}, 0.5) from train))"
+        filled = f"coalesce({c}::double, (select {qc(c, 0.5)} from train))"
         parts.append(
             f"select '{c}' as column_name, {_re(f'avg({filled})')} as mean, {_re(f'stddev_pop({filled})')} as std, "
             f"{_re(f'max(({filled} - (select avg({filled}) from train)) / nullif((select stddev_pop({filled}) from train), 0))')} as max_scaled "
@@ -90,7 +92,7 @@ def m3(spark, sf):
 # --- the two SQL-expressible models -------------------------------------------------
 
 _PRED_SQL = _SPLIT_SQL + """
-, med as (select quantile_cont(price_eur, 0.5) as m from train),
+, med as (select """ + qc("price_eur", 0.5) + """ as m from train),
 ols as (select regr_slope(price_eur, area_m2) as b, regr_intercept(price_eur, area_m2) as a from train),
 preds as (
   select 'dummy_median' as model, _row, price_eur as y, m as p from test, med
@@ -99,8 +101,8 @@ preds as (
 """
 
 
-def _two_model_predictions(spark, sf):
-    split = _split(spark, sf)
+def _two_model_predictions(spark, sf, split=None):
+    split = _split(spark, sf) if split is None else split
     train, test = split.filter(~F.col("is_test")), split.filter(F.col("is_test"))
     dummy = M.MedianRegressor(labelCol=S.TARGET).fit(train)
     lin = Pipeline(

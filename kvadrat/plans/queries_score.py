@@ -140,8 +140,8 @@ def p3(spark, sf):
     return P.prediction_frame(v).select(*_P3_OUT)
 
 
-def _linear_area(spark, sf):
-    split = _split(spark, sf)
+def _linear_area(spark, sf, split=None):
+    split = _split(spark, sf) if split is None else split
     train = split.filter(~F.col("is_test"))
     return Pipeline(
         stages=[
@@ -174,8 +174,9 @@ def p4(spark, sf):
     ),
 )
 def p5(spark, sf):
-    metrics = M.regression_metrics(_two_model_predictions(spark, sf))
-    out, _ = P.score(testview.score_inputs(spark, sf), _linear_area(spark, sf), metrics, "linear_area")
+    split = _split(spark, sf)
+    metrics = M.regression_metrics(_two_model_predictions(spark, sf, split))
+    out, _ = P.score(testview.score_inputs(spark, sf), _linear_area(spark, sf, split), metrics, "linear_area")
     return out.select(
         "input_id",
         E.round_even(F.col("price_range.low"), 2).alias("price_low"),

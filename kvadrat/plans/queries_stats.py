@@ -9,7 +9,7 @@ from kvadrat.functions.floors import total_floors_text
 from kvadrat.operators import features as FE
 from kvadrat.operators import stats as E
 from kvadrat.plans import flagship, frames
-from kvadrat.plans.oracle import q
+from kvadrat.plans.oracle import q, qc
 from kvadrat.plans.registry import register
 
 R6 = 6
@@ -117,7 +117,7 @@ def e1(spark, sf):
 def _describe_sql(columns, pcts, names, source="raw", digits=2) -> str:
     parts = []
     for c in columns:
-        qs = ", ".join(f"{_re(f'quantile_cont({c}, {p})', digits)} as {n}" for p, n in zip(pcts, names))
+        qs = ", ".join(f"{_re(qc(c, p), digits)} as {n}" for p, n in zip(pcts, names))
         parts.append(
             f"select '{c}' as column_name, count({c}) as count, {_re(f'avg({c})', digits)} as mean, "
             f"{_re(f'stddev_samp({c})', digits)} as std, {_re(f'min({c})', digits)} as min, {qs}, "
@@ -135,7 +135,7 @@ def e2(spark, sf):
 
 
 _CLIP_SQL = """
-, b as (select quantile_cont(price_eur, 0.99) as pu, quantile_cont(area_m2, 0.99) as au from raw),
+, b as (select """ + qc("price_eur", 0.99) + " as pu, " + qc("area_m2", 0.99) + """ as au from raw),
 series as (
   select 'raw_price_k' as series, least(price_eur, pu) / 1000 as value from raw, b where price_eur is not null
   union all select 'cleaned_price_k', least(price_eur, pu) / 1000 from cleaned, b where price_eur is not null
@@ -146,6 +146,8 @@ series as (
 
 def _clip_series(spark, sf):
     raw, cleaned = frames.raw(spark, sf), frames.cleaned(spark, sf)
+    # both p99 bounds of the raw data in one pass (one row per column)
+    bounds = E.quantile_columns(raw, ["price_eur", "area_m2"], [0.99])
     out = None
     for name, df, col, scale in [
         ("raw_price_k", raw, "price_eur", 1000.0),
@@ -153,7 +155,8 @@ def _clip_series(spark, sf):
         ("raw_area", raw, "area_m2", 1.0),
         ("cleaned_area", cleaned, "area_m2", 1.0),
     ]:
-        clipped = E.clip_upper(df.filter(F.col(col).isNotNull()).select(col), col, 0.99, ref=raw.select(col))
+        bound = bounds.filter(F.col("column_name") == col).select(F.col("q0").alias("_upper"))
+        clipped = E.clip_upper(df.filter(F.col(col).isNotNull()).select(col), col, 0.99, bound=bound)
         part = clipped.select(F.lit(name).alias("series"), (F.col(f"{col}_clipped") / scale).alias("value"))
         out = part if out is None else out.unionByName(part)
     return out
@@ -250,14 +253,16 @@ def e8(spark, sf):
 
 
 def _clip98(spark, sf):
-    sub = E.top_k_semi_join(frames.model(spark, sf), frames.cleaned(spark, sf), "city", 8)
+    # the ranking uses raw cleaned city labels, the rows are the (normalized) model stage
+    cleaned = frames.cleaned_checkpointed(spark, sf)
+    sub = E.top_k_semi_join(FE.add_model_features(cleaned), cleaned, "city", 8)
     return E.clip_upper(sub.select("city", "price_per_m2"), "price_per_m2", 0.98).withColumnRenamed(
         "price_per_m2_clipped", "price_per_m2_plot"
     )
 
 
 _CLIP98_SQL = _TOP8_SQL + """
-, p as (select quantile_cont(price_per_m2, 0.98) as u from sub),
+, p as (select """ + qc("price_per_m2", 0.98) + """ as u from sub),
 plot as (select city, price_per_m2, case when price_per_m2 is null then null else least(price_per_m2, u) end as price_per_m2_plot
          from sub, p)
 """
@@ -274,7 +279,7 @@ def e9(spark, sf):
         _CLIP98_SQL
         + f"""
 , d as (select city, price_per_m2_plot as x from plot where price_per_m2_plot is not null),
-qq as (select city, quantile_cont(x, 0.25) as q1, quantile_cont(x, 0.5) as median, quantile_cont(x, 0.75) as q3 from d group by city)
+qq as (select city, {qc('x', 0.25)} as q1, {qc('x', 0.5)} as median, {qc('x', 0.75)} as q3 from d group by city)
 select city, count(*) as n, {_re('q1')} as q1, {_re('median')} as median, {_re('q3')} as q3, {_re('q3 - q1')} as iqr,
   {_re('min(case when x >= q1 - 1.5 * (q3 - q1) and x <= q3 + 1.5 * (q3 - q1) then x end)')} as whisker_low,
   {_re('max(case when x >= q1 - 1.5 * (q3 - q1) and x <= q3 + 1.5 * (q3 - q1) then x end)')} as whisker_high,
@@ -290,17 +295,19 @@ def e10(spark, sf):
 
 _REGION_SQL = f"""
 , rs as (select city, region, count(price_eur) as listings,
-    {_re('quantile_cont(price_eur, 0.05)', 0)} as p05, {_re('quantile_cont(price_eur, 0.25)', 0)} as p25,
-    {_re('quantile_cont(price_eur, 0.5)', 0)} as median, {_re('quantile_cont(price_eur, 0.75)', 0)} as p75,
-    {_re('quantile_cont(price_eur, 0.95)', 0)} as p95
-  from cleaned where city in ('{frames.SUMMARY_CITIES[0]}', '{frames.SUMMARY_CITIES[1]}') and region is not null
+    {_re(qc('price_eur', 0.05), 0)} as p05, {_re(qc('price_eur', 0.25), 0)} as p25,
+    {_re(qc('price_eur', 0.5), 0)} as median, {_re(qc('price_eur', 0.75), 0)} as p75,
+    {_re(qc('price_eur', 0.95), 0)} as p95
+  from cleaned where city in (select city from cleaned where city is not null group by city
+                              order by count(*) desc, city limit {frames.SUMMARY_TOP_CITIES})
+    and region is not null
   group by city, region having count(price_eur) >= 30)
 """
 
 
 @register("e11_region_price_summary", q(_REGION_SQL + "select * from rs"))
 def e11(spark, sf):
-    return E.region_price_summary(frames.cleaned(spark, sf), frames.SUMMARY_CITIES)
+    return E.region_price_summary(frames.cleaned(spark, sf), frames.SUMMARY_TOP_CITIES)
 
 
 @register(
@@ -424,7 +431,7 @@ def e18(spark, sf):
     "e19_numeric_ranges",
     q(
         " union all ".join(
-            f"select '{c}' as column_name, min({c})::double as min, quantile_cont({c}, 0.5)::double as median, "
+            f"select '{c}' as column_name, min({c})::double as min, {qc(c, 0.5)}::double as median, "
             f"max({c})::double as max from model"
             for c in ["area_m2", "rooms", "year_built", "price_eur"]
         )
