@@ -325,42 +325,35 @@ def pearson(a: str = "area_m2", b: str = "price_eur") -> Column:
     return F.corr(F.col(a), F.col(b))
 
 
-def value_ranks(df: DataFrame, column: str, buckets: int = 256) -> DataFrame:
-    """Average rank (1-based, ties averaged) of every distinct value of ``column``.
+def value_ranks(df: DataFrame, column: str, group_cols: list[str] | None = None, buckets: int = 256) -> DataFrame:
+    """Rank of every distinct value of ``column`` (per group): ``rows_below`` (0-based
+    rank of its first copy), ``ties`` and ``avg_rank`` (1-based, ties averaged).
 
-    Distributed: distinct values with counts are split into ``buckets`` value ranges by
-    approximate quantiles (a one-row aggregate), each bucket's total is a tiny aggregate
-    whose prefix sum is a window over at most ``buckets`` rows, and the running count
-    inside a bucket is a window partitioned by bucket. No task sees all values."""
-    x = F.col(column)
-    counts = df.filter(x.isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
-    fractions = [i / buckets for i in range(1, buckets)]
-    bounds = counts.agg(F.percentile_approx(x, fractions, 10 * buckets).alias("_bounds"))
-    bucketed = counts.crossJoin(F.broadcast(bounds)).withColumn(
-        "_b", F.size(F.filter(F.col("_bounds"), lambda v: v < x))
-    ).drop("_bounds").checkpoint(eager=True)
-    totals = bucketed.groupBy("_b").agg(F.sum("_n").alias("_bn"))
-    offsets = totals.withColumn(
-        "_offset",
-        F.coalesce(F.sum("_bn").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
-    ).drop("_bn")
-    w = Window.partitionBy("_b").orderBy(column).rowsBetween(Window.unboundedPreceding, -1)
-    inner = bucketed.withColumn("_below_in_bucket", F.coalesce(F.sum("_n").over(w), F.lit(0)))
-    ranked = inner.join(F.broadcast(offsets), "_b")
-    below = F.col("_offset") + F.col("_below_in_bucket")
-    return ranked.select(column, below.alias("rows_below"), F.col("_n").alias("ties"), (below + (F.col("_n") + 1) / 2.0).alias("avg_rank"))
-
-
-def spearman(df: DataFrame, a: str = "area_m2", b: str = "price_eur") -> DataFrame:
-    """Spearman correlation = Pearson over average ranks, on rows with both values.
-
-    The two-column projection is checkpointed once; both rank tables and the final join
-    read it. Ranks join back on the value (a hot value is one build row; AQE splits the
-    skewed probe side)."""
-    pairs = df.select(a, b).filter(F.col(a).isNotNull() & F.col(b).isNotNull()).checkpoint(eager=True)
-    ra = value_ranks(pairs, a).select(a, F.col("avg_rank").alias("_ra"))
-    rb = value_ranks(pairs, b).select(b, F.col("avg_rank").alias("_rb"))
-    return pairs.join(ra, a).join(rb, b).agg(F.corr("_ra", "_rb").alias("spearman"))
+    Distributed (see ``ranked_values``): no task sees all values of a group."""
+    g = list(group_cols or [])
+    r = ranked_values(df, column, g, buckets)
+    return r.select(
+        *g,
+        column,
+        F.col("_first").alias("rows_below"),
+        F.col("_n").alias("ties"),
+        (F.col("_first") + (F.col("_n") + 1) / 2.0).alias("avg_rank"),
+    )
+
+
+def spearman(df: DataFrame, a: str = "area_m2", b: str = "price_eur", group_cols: list[str] | None = None) -> DataFrame:
+    """Spearman correlation = Pearson over average ranks, on rows with both values,
+    per group (e.g. a dataset tag, so several frames rank in one pass).
+
+    The projection is checkpointed once; both rank tables and the final joins read it.
+    Ranks join back on (group, value): one build row per value, and AQE splits a skewed
+    probe side (a value held by a third of the rows)."""
+    g = list(group_cols or [])
+    pairs = df.select(*g, a, b).filter(F.col(a).isNotNull() & F.col(b).isNotNull()).checkpoint(eager=True)
+    ra = value_ranks(pairs, a, g).select(*g, a, F.col("avg_rank").alias("_ra"))
+    rb = value_ranks(pairs, b, g).select(*g, b, F.col("avg_rank").alias("_rb"))
+    joined = pairs.join(ra, [*g, a]).join(rb, [*g, b])
+    return joined.groupBy(*g).agg(F.corr("_ra", "_rb").alias("spearman"))
 
 
 CORR_COLUMNS = ["price_eur", "area_m2", "rooms", "year_built", "floor", "total_floors", "building_age", "price_per_m2"]
@@ -426,24 +419,15 @@ def regions_by_city(df: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 
-def exact_quantiles(
-    df: DataFrame,
-    value: str,
-    qs: list[float],
-    group_cols: list[str] | None = None,
-    buckets: int = 256,
-) -> DataFrame:
-    """Exact quantiles (linear interpolation between closest ranks, as numpy/pandas) of
-    ``value`` per group, as columns ``q0..q{k-1}`` plus ``n`` (non-null count).
-
-    Plan: distinct (group, value) counts (partial aggregation, checkpointed once); per
-    group, value buckets
-    from approximate quantiles of the distinct values and the group size; running counts
-    inside each (group, bucket) window; bucket offsets from a window over at most
-    ``buckets`` bucket totals per group. Every distinct value then knows its rank range and
-    keeps only the order statistics some quantile needs, so the final aggregate sees at
-    most two values per quantile and group. A hot group is spread over its buckets: no
-    task ever holds a whole group."""
+def ranked_values(df: DataFrame, value: str, group_cols: list[str] | None = None, buckets: int = 256) -> DataFrame:
+    """Distinct (group, value) rows with ``_n`` copies, ``_first`` (0-based rank of the
+    first copy within the group) and ``_size`` (non-null rows in the group).
+
+    Plan: distinct (group, value) counts (partial aggregation); per group, value buckets
+    from approximate quantiles of the distinct values (a sketch of bounded size); the
+    bucketed table is checkpointed once (it feeds two branches); running counts inside each
+    (group, bucket) window; bucket offsets from a window over at most ``buckets`` bucket
+    totals per group. A hot group is spread over its buckets: no task holds a whole group."""
     g = list(group_cols or [])
     v = F.col(value)
     counts = df.filter(v.isNotNull() & ~F.isnan(v.cast("double"))).groupBy(*g, value).agg(F.count(F.lit(1)).alias("_n"))
@@ -451,27 +435,37 @@ def exact_quantiles(
     per_group = counts.groupBy(*g).agg(
         F.percentile_approx(v, fractions, 10 * buckets).alias("_bounds"), F.sum("_n").alias("_size")
     )
-    if g:
-        rows = counts.join(per_group, g)
-    else:
-        rows = counts.crossJoin(F.broadcast(per_group))
+    rows = counts.join(per_group, g) if g else counts.crossJoin(F.broadcast(per_group))
     rows = rows.withColumn("_b", F.size(F.filter(F.col("_bounds"), lambda x: x < v))).drop("_bounds")
-    # the distinct-value table feeds both the bucket offsets and the per-value ranks:
-    # store it once in the checkpoint folder instead of recomputing the input twice
     rows = rows.checkpoint(eager=True)
 
-    w_in = Window.partitionBy(*g, "_b").orderBy(value)
-    rows = rows.withColumn(
-        "_in", F.coalesce(F.sum("_n").over(w_in.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    )
+    w_in = Window.partitionBy(*g, "_b").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("_in", F.coalesce(F.sum("_n").over(w_in), F.lit(0)))
     totals = rows.groupBy(*g, "_b").agg(F.sum("_n").alias("_bn"))
     w_b = (Window.partitionBy(*g) if g else Window).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*g, "_b", F.coalesce(F.sum("_bn").over(w_b), F.lit(0)).alias("_offset"))
     rows = rows.join(offsets, [*g, "_b"]) if g else rows.join(F.broadcast(offsets), "_b")
-    first = F.col("_offset") + F.col("_in")  # 0-based rank of this value's first copy
-    last = first + F.col("_n") - 1
+    return rows.withColumn("_first", F.col("_offset") + F.col("_in")).drop("_offset", "_in", "_b")
+
+
+def exact_quantiles(
+    df: DataFrame,
+    value: str,
+    qs: list[float],
+    group_cols: list[str] | None = None,
+    buckets: int = 256,
+) -> DataFrame:
+    """Exact quantiles (numpy's linear interpolation, bit for bit) of ``value`` per group,
+    as columns ``q0..q{k-1}`` plus ``n`` (non-null count).
 
-    # order statistics needed: floor and ceil of q * (N - 1) for every quantile
+    Every distinct value knows its rank range (``ranked_values``) and keeps only the order
+    statistics some quantile needs, so the final aggregate sees at most two values per
+    quantile and group."""
+    g = list(group_cols or [])
+    v = F.col(value)
+    rows = ranked_values(df, value, g, buckets)
+    first = F.col("_first")
+    last = first + F.col("_n") - 1
     wanted = []
     for i, q in enumerate(qs):
         pos = F.lit(float(q)) * (F.col("_size") - 1)
@@ -487,9 +481,7 @@ def exact_quantiles(
     # numpy's interpolation, bit for bit: lerp from the nearer end
     t = pos - F.floor(pos)
     diff = F.col("v_hi") - F.col("v_lo")
-    per_q = per_q.withColumn(
-        "qv", F.when(t < 0.5, F.col("v_lo") + diff * t).otherwise(F.col("v_hi") - diff * (1 - t))
-    )
+    per_q = per_q.withColumn("qv", F.when(t < 0.5, F.col("v_lo") + diff * t).otherwise(F.col("v_hi") - diff * (1 - t)))
     wide = per_q.groupBy(*g, "_size").agg(*[F.max(F.when(F.col("qi") == i, F.col("qv"))).alias(f"q{i}") for i in range(len(qs))])
     return wide.withColumnRenamed("_size", "n")
 

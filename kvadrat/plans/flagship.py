@@ -11,5 +11,7 @@ from kvadrat.plans import frames
 
 
 def region_summary(spark: SparkSession, sf_dir: str, min_count: int = 30, approx: bool = False) -> DataFrame:
-    summary = E.region_price_summary(frames.cleaned(spark, sf_dir), frames.SUMMARY_TOP_CITIES, min_count=min_count, approx=approx)
+    # the cleaned stage is read twice (top cities, then their rows): store it once
+    cleaned = frames.cleaned_checkpointed(spark, sf_dir)
+    summary = E.region_price_summary(cleaned, frames.SUMMARY_TOP_CITIES, min_count=min_count, approx=approx)
     return E.top_n_per_group(summary, "city", [F.col("median").desc(), F.col("region").asc()], 10)

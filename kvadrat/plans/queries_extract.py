@@ -343,3 +343,48 @@ def x1(spark, sf):
 def x12(spark, sf):
     raw = frames.raw(spark, sf)
     return raw.select("region", "city", TX.first_present("region", "city").alias("region_or_city"))
+
+
+# --- pieces of X1 on their own (rows-only: the given pages carry no listing markup) ----
+
+
+def _parts(spark, sf):
+    return X.page_parts(read_table(spark, sf, "pages"))
+
+
+@register("x2_detail_maps")
+def x2(spark, sf):
+    p = _parts(spark, sf)
+    main, amen = X.detail_entries(F.col("parts.main_items")), X.detail_entries(F.col("parts.amenity_items"))
+    return p.select("url", main.alias("main_details"), amen.alias("amenities"), X.amenity_flags(F.col("parts.amenity_items")).alias("amenity_list"))
+
+
+@register("x8_json_ld_offers")
+def x8(spark, sf):
+    return _parts(spark, sf).select("url", F.posexplode_outer("parts.offers").alias("pos", "offer"))
+
+
+@register("x10_offer_price")
+def x10(spark, sf):
+    p = _parts(spark, sf)
+    return p.select("url", X.page_price(F.col("parts.offers"), F.col("parts.price_texts"), F.col("url")).alias("price_eur"))
+
+
+@register("x11_location_parts")
+def x11(spark, sf):
+    p = _parts(spark, sf)
+    loc = F.col("parts.location_items")
+    return p.select("url", *[X.location_part(loc, i).alias(n) for i, n in [(2, "city"), (3, "region"), (4, "street")]])
+
+
+@register("x13_x14_parking_floor")
+def x13_14(spark, sf):
+    p = _parts(spark, sf)
+    m, a = X.detail_entries(F.col("parts.main_items")), X.detail_entries(F.col("parts.amenity_items"))
+    flags = X.amenity_flags(F.col("parts.amenity_items"))
+    return p.select("url", X.parking_value(m, a, flags).alias("parking"), X.floor_value(m, a).alias("raw_floor_string"))
+
+
+@register("x20_filter_links")
+def x20(spark, sf):
+    return X.filter_links(read_table(spark, sf, "pages"), "Grad")

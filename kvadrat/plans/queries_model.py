@@ -274,3 +274,25 @@ def m5(spark, sf):
 def m17(spark, sf):
     res = M.train_candidates(frames.model(spark, sf), sizes=M.SMALL)
     return _metrics_out(res.metrics).join(res.metrics.select("model", "rank_by_mae"), "model")
+
+
+@register("m4_one_hot")
+def m4(spark, sf):
+    """Rows-only: per categorical input, test rows whose label was unseen in training
+    (all-zero one-hot block) and the block width."""
+    split = _split(spark, sf)
+    train, test = split.filter(~F.col("is_test")), split.filter(F.col("is_test"))
+    pm = M.build_preprocessor().fit(train)
+    t = pm.transform(test)
+    parts = [
+        t.select(
+            F.lit(c).alias("column_name"),
+            F.size(vector_to_array(f"{c}__ohe")).alias("width"),
+            (F.aggregate(vector_to_array(f"{c}__ohe"), F.lit(0.0), lambda acc, x: acc + x) == 0).alias("unseen"),
+        )
+        for c in S.MODEL_CATEGORICAL_FEATURES
+    ]
+    out = parts[0]
+    for p_ in parts[1:]:
+        out = out.unionByName(p_)
+    return out.groupBy("column_name", "width").agg(F.count(F.lit(1)).alias("rows"), F.count_if("unseen").alias("unseen_rows"))

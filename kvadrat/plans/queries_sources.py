@@ -7,11 +7,10 @@ import uuid
 from pyspark.sql import functions as F
 
 from kvadrat import schema as S
-from kvadrat.operators import scoring as P
 from kvadrat.plans import frames
 from kvadrat.plans.oracle import q
-from kvadrat.plans.queries_extract import NAV_PATH_PATTERN, _FRONTIER_SQL, _frontier
-from kvadrat.plans.queries_score import SCORE_SQL, _OLS_SQL, _linear_area
+from kvadrat.plans.queries_extract import _FRONTIER_SQL, _frontier
+from kvadrat.plans.queries_score import _OLS_SQL, _linear_area
 from kvadrat.plans.queries_stats import _re, _rs
 from kvadrat.plans.registry import register
 from kvadrat.session import checkpoint_dir
@@ -112,3 +111,13 @@ def r2(spark, sf):
     q_ = jobs.score_stream(requests, _linear_area(spark, sf), preds, rejected, ckpt)
     q_.awaitTermination()
     return spark.read.parquet(preds).select("input_id", _rs("predicted_price_eur", 2))
+
+
+@register("s3_s5_validate_raw", q("select count(*) as rows, 13 as columns, 'price_eur' as target_column from raw"))
+def s3_s5(spark, sf):
+    """Shape summary of the validated raw listings (missing columns or too few rows raise)."""
+    raw = frames.raw(spark, sf)
+    summary = L.validate(raw.select(*S.RAW_COLUMNS), min_rows=1)
+    return L.numeric_problems(raw).select(
+        F.col("rows"), F.lit(summary["columns"]).alias("columns"), F.lit(summary["target_column"]).alias("target_column")
+    )

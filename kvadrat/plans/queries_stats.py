@@ -185,7 +185,7 @@ from binned group by series, bin, lo, hi
     ),
 )
 def e4(spark, sf):
-    h = E.histogram(_clip_series(spark, sf), "value", 45, group_cols=["series"])
+    h = E.histogram(_clip_series(spark, sf).checkpoint(eager=True), "value", 45, group_cols=["series"])
     return h.select("series", "bin", _rs("bin_lo"), _rs("bin_hi"), "count")
 
 
@@ -307,7 +307,7 @@ _REGION_SQL = f"""
 
 @register("e11_region_price_summary", q(_REGION_SQL + "select * from rs"))
 def e11(spark, sf):
-    return E.region_price_summary(frames.cleaned(spark, sf), frames.SUMMARY_TOP_CITIES)
+    return E.region_price_summary(frames.cleaned_checkpointed(spark, sf), frames.SUMMARY_TOP_CITIES)
 
 
 @register(
@@ -357,9 +357,10 @@ union all select 'cleaned', {_re(_spearman_sql('cleaned'))}
     ),
 )
 def e14(spark, sf):
-    a = E.spearman(frames.raw(spark, sf)).select(F.lit("raw").alias("dataset"), _rs("spearman"))
-    b = E.spearman(frames.cleaned(spark, sf)).select(F.lit("cleaned").alias("dataset"), _rs("spearman"))
-    return a.unionByName(b)
+    raw = frames.raw(spark, sf).select(F.lit("raw").alias("dataset"), "area_m2", "price_eur")
+    cleaned = frames.cleaned(spark, sf).select(F.lit("cleaned").alias("dataset"), "area_m2", "price_eur")
+    out = E.spearman(raw.unionByName(cleaned), group_cols=["dataset"])
+    return out.select("dataset", _rs("spearman"))
 
 
 def _corr_sql() -> str:

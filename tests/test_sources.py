@@ -67,3 +67,20 @@ def test_model_store_round_trip(spark, sf_dir):
     assert list(reg) == ["Baseline", "LR"]
     with pytest.raises(FileNotFoundError):
         sinks.load_best(spark, tempfile.mkdtemp(dir="/tmp"))
+
+
+def test_train_and_save_writes_metadata(spark, sf_dir):
+    from kvadrat.operators import modeling as M
+    from kvadrat.plans import frames, training
+
+    out = tempfile.mkdtemp(prefix="kv-train-", dir="/tmp")
+    specs = [("Baseline", "dummy_median"), ("Ridge", "ridge_regression")]
+    res = training.train_and_save(spark, frames.raw(spark, sf_dir), out, specs, sizes=M.SMALL)
+    meta = res["metadata_dir"]
+    run = spark.read.json(f"{meta}/run").first()
+    assert run["best_model_name"] in {"Baseline", "Ridge"}
+    assert run["train_rows"] > 0 and run["test_rows"] > 0
+    assert spark.read.json(f"{meta}/metrics").count() == 2
+    summary = spark.read.json(f"{meta}/cleaning_summary").first()
+    assert summary["raw_rows"] >= summary["cleaned_rows"]
+    assert spark.read.json(f"{meta}/regions_by_city").count() > 0
