@@ -21,6 +21,7 @@ from kvadrat.functions import html as H
 from kvadrat.functions.numbers import parse_price_text, safe_float
 from kvadrat.functions.text import capitalize, clean_text, first_present, normalize_key
 from kvadrat.functions.urls import build_page_url, canonicalize_url, comparable_url, page_count
+from kvadrat.session import ship_package
 
 OFFER = T.StructType(
     [
@@ -53,6 +54,7 @@ def _parts_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def page_parts(pages: DataFrame) -> DataFrame:
     """Arrow DOM step: (url, parts struct). Only url and html cross into Python."""
     schema = T.StructType([T.StructField("url", T.StringType()), T.StructField("parts", PARTS)])
+    ship_package(pages.sparkSession)
     return pages.select("url", "html").mapInPandas(_parts_batches, schema)
 
 
@@ -220,6 +222,7 @@ def explode_links(
         for pdf in it:
             yield pd.DataFrame({"url": pdf["url"], "hrefs": [H.card_links(h, card_selector, link_selectors) for h in pdf["html"]]})
 
+    ship_package(pages.sparkSession)
     raw = pages.select("url", "html").mapInPandas(batches, "url string, hrefs array<string>")
     links = raw.select(F.col("url").alias("page_url"), F.posexplode("hrefs").alias("pos", "href"))
     canon = links.select("page_url", "pos", canonicalize_url("href", netloc, path_pattern).alias("url")).filter(
@@ -237,6 +240,7 @@ def filter_links(pages: DataFrame, heading_text: str, base_host: str = S.BASE_HO
             links = [[{"name": n, "href": u} for n, u in H.filter_group_links(h, heading_text)] for h in pdf["html"]]
             yield pd.DataFrame({"url": pdf["url"], "links": links})
 
+    ship_package(pages.sparkSession)
     raw = pages.select("url", "html").mapInPandas(batches, "url string, links array<struct<name:string,href:string>>")
     x = raw.select(F.col("url").alias("page_url"), F.posexplode("links").alias("pos", "l"))
     href = F.col("l.href")

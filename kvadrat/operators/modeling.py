@@ -27,6 +27,7 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from kvadrat.session import checkpointed
 from kvadrat import schema as S
 from kvadrat.operators import stats as E
 
@@ -404,7 +405,7 @@ def train_candidates(
     specs = specs or S.DEFAULT_MODEL_CANDIDATES
     data = model_df.filter(F.col(S.TARGET).isNotNull())
     split = with_split(data, test_size, seed).withColumn("_row", E.row_hash(SPLIT_KEY, seed))
-    split = split.checkpoint(eager=True)
+    split = checkpointed(split)
     train = split.filter(~F.col("is_test"))
     test = split.filter(F.col("is_test"))
     max_bins = category_bins(train)

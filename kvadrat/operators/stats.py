@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from kvadrat.session import checkpointed
 from kvadrat import schema as S
 
 
@@ -349,7 +350,7 @@ def spearman(df: DataFrame, a: str = "area_m2", b: str = "price_eur", group_cols
     Ranks join back on (group, value): one build row per value, and AQE splits a skewed
     probe side (a value held by a third of the rows)."""
     g = list(group_cols or [])
-    pairs = df.select(*g, a, b).filter(F.col(a).isNotNull() & F.col(b).isNotNull()).checkpoint(eager=True)
+    pairs = checkpointed(df.select(*g, a, b).filter(F.col(a).isNotNull() & F.col(b).isNotNull()))
     ra = value_ranks(pairs, a, g).select(*g, a, F.col("avg_rank").alias("_ra"))
     rb = value_ranks(pairs, b, g).select(*g, b, F.col("avg_rank").alias("_rb"))
     joined = pairs.join(ra, [*g, a]).join(rb, [*g, b])
@@ -437,7 +438,7 @@ def ranked_values(df: DataFrame, value: str, group_cols: list[str] | None = None
     )
     rows = counts.join(per_group, g) if g else counts.crossJoin(F.broadcast(per_group))
     rows = rows.withColumn("_b", F.size(F.filter(F.col("_bounds"), lambda x: x < v))).drop("_bounds")
-    rows = rows.checkpoint(eager=True)
+    rows = checkpointed(rows)
 
     w_in = Window.partitionBy(*g, "_b").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumn("_in", F.coalesce(F.sum("_n").over(w_in), F.lit(0)))

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from kvadrat.session import checkpointed
 from kvadrat.operators import cleaning as C
 from kvadrat.operators import features as FE
 from kvadrat.sources import testview
@@ -36,4 +37,4 @@ def cleaned_checkpointed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The cleaned stage written once to the checkpoint folder, for queries that read it
     several times (lineage cut: later stages and retries start from the stored copy).
     The model stage is a narrow projection of it: ``FE.add_model_features(...)``."""
-    return cleaned(spark, sf_dir).checkpoint(eager=True)
+    return checkpointed(cleaned(spark, sf_dir))

@@ -12,6 +12,7 @@ from kvadrat.operators import extraction as X
 from kvadrat.plans import frames
 from kvadrat.plans.oracle import q
 from kvadrat.plans.registry import register
+from kvadrat.session import ship_package
 from kvadrat.sources.testview import read_table
 
 _WS = r"'^\s+|\s+$'"
@@ -230,6 +231,7 @@ def nav_links(spark, sf):
                 {"page_id": pdf["page_id"], "url": pdf["url"], "hrefs": [H.card_links(h, NAV_CARDS, NAV_LINKS) for h in pdf["html"]]}
             )
 
+    ship_package(spark)
     raw = pages.select("page_id", "url", "html").mapInPandas(batches, "page_id long, url string, hrefs array<string>")
     x = raw.select("page_id", F.col("url").alias("page_url"), U.uri_part(F.col("url"), "netloc").alias("host"), F.posexplode("hrefs").alias("pos", "href"))
     canon = x.select(

@@ -10,6 +10,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
+from kvadrat.session import checkpointed
 from kvadrat import schema as S
 from kvadrat.operators import modeling as M
 from kvadrat.operators import stats as E
@@ -33,7 +34,7 @@ def _split(spark, sf):
     """Labelled model rows with ``is_test`` and a stable row id, checkpointed once: every
     fit and metric of the query reads it, and a lost executor does not redo the dedup."""
     m = frames.model(spark, sf).filter(F.col(S.TARGET).isNotNull())
-    return M.with_split(m).withColumn("_row", E.row_hash(M.SPLIT_KEY)).checkpoint(eager=True)
+    return checkpointed(M.with_split(m).withColumn("_row", E.row_hash(M.SPLIT_KEY)))
 
 
 @register("m1_split", q(_SPLIT_SQL + "select _row, price_eur, is_test from split"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from kvadrat.session import checkpointed
 from kvadrat import schema as S
 from kvadrat.functions.floors import total_floors_text
 from kvadrat.operators import features as FE
@@ -185,7 +186,7 @@ from binned group by series, bin, lo, hi
     ),
 )
 def e4(spark, sf):
-    h = E.histogram(_clip_series(spark, sf).checkpoint(eager=True), "value", 45, group_cols=["series"])
+    h = E.histogram(checkpointed(_clip_series(spark, sf)), "value", 45, group_cols=["series"])
     return h.select("series", "bin", _rs("bin_lo"), _rs("bin_hi"), "count")
 
 

@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kvadrat.session import checkpointed
 from kvadrat import schema as S
 from kvadrat.operators import cleaning as C
 from kvadrat.operators import features as FE
@@ -17,7 +18,7 @@ from kvadrat.sources import sinks
 def prepare_modeling_data(raw: DataFrame, current_year: int = S.CURRENT_YEAR) -> tuple[DataFrame, DataFrame]:
     """(model frame, cleaning summary). The model frame is checkpointed: every candidate
     fit and every statistic reads it, and a lost executor must not recompute the dedup."""
-    model_df = FE.add_model_features(C.build_cleaned(raw), current_year).checkpoint(eager=True)
+    model_df = checkpointed(FE.add_model_features(C.build_cleaned(raw), current_year))
     return model_df, C.cleaning_summary(raw)
 
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def get_session(
@@ -62,3 +62,36 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared scratch root for checkpoints and intermediate tables of this session."""
     return ensure_checkpoint_dir(spark)
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df.checkpoint()`` into the session's checkpoint folder (set up if needed):
+    materializes ``df`` once in reliable storage and cuts its lineage."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+_SHIPPED: set[int] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``kvadrat`` importable in Python workers (needed by the Arrow steps).
+
+    Local masters share the driver's file system: the package root is put on the workers'
+    ``PYTHONPATH``. Other masters get the package as a zip through ``addPyFile`` (what
+    ``spark-submit --py-files`` does)."""
+    sc = spark.sparkContext
+    if id(sc) in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    if sc.master.startswith("local"):
+        current = sc.environment.get("PYTHONPATH", "")
+        if root not in current.split(os.pathsep):
+            sc.environment["PYTHONPATH"] = os.pathsep.join([p for p in [root, current] if p])
+    else:
+        import shutil
+
+        staging = tempfile.mkdtemp(prefix="kvadrat-pkg-")
+        archive = shutil.make_archive(os.path.join(staging, "kvadrat"), "zip", root, "kvadrat")
+        sc.addPyFile(archive)
+    _SHIPPED.add(id(sc))
