@@ -211,7 +211,7 @@ with p as (select page_id, url as page_url, regexp_extract(url, '{_URI}', 4) as
                   regexp_extract_all(html, '<li><a href="([^"]*)"', 1) as hrefs from pages),
 raw_links as (select page_id, page_url, host, unnest(hrefs) as href, unnest(range(len(hrefs))) as pos from p),
 canon as (select page_id, page_url, pos, {_canon_sql('trim(href)', 'host', NAV_PATH_PATTERN)} as url from raw_links),
-links as (select page_id, page_url, url, min(pos) as pos from canon where url is not null group by page_id, page_url, url)
+links as (select page_id, page_url, url, min(pos)::int as pos from canon where url is not null group by page_id, page_url, url)
 """
 
 
@@ -307,7 +307,7 @@ def x21(spark, sf):
 
 @register(
     "x22_page_jobs",
-    "select url as source_name, n as page, "
+    "select url as source_name, n::int as page, "
     + _page_sql("url", "n")
     + " as url from (select url, least(greatest(1, ceil(length(html) / 50.0)::int), 200) as np from pages), "
     "lateral (select unnest(generate_series(2, np)) as n) where np >= 2",
@@ -323,7 +323,7 @@ def x22(spark, sf):
     _FRONTIER_SQL
     + """, per as (select stage, count(*) as added from frontier group by stage),
 tot as (select count(distinct url) as observed from cand)
-select stage, added, sum(added) over (order by stage rows between unbounded preceding and current row) as unique_total,
+select stage, added, (sum(added) over (order by stage rows between unbounded preceding and current row))::bigint as unique_total,
   sum(added) over (order by stage rows between unbounded preceding and current row)::double / observed as coverage,
   sum(added) over (order by stage rows between unbounded preceding and current row) >= observed as stop_after
 from per, tot""",

@@ -151,7 +151,7 @@ def m18(spark, sf):
 
 @register(
     "m19_rank_models",
-    q(_PRED_SQL + _METRICS_SQL + "select model, row_number() over (order by mae, model) as rank_by_mae from metrics"),
+    q(_PRED_SQL + _METRICS_SQL + "select model, (row_number() over (order by mae, model))::int as rank_by_mae from metrics"),
 )
 def m19(spark, sf):
     return M.rank_models(M.regression_metrics(_two_model_predictions(spark, sf))).select("model", "rank_by_mae")
@@ -203,7 +203,7 @@ def m22(spark, sf):
            union all select model, 'r2', r2, -r2 from metrics)
 select model, metric, """
         + _re("value")
-        + """ as value, row_number() over (partition by metric order by k asc nulls last, model) as position from long"""
+        + """ as value, (row_number() over (partition by metric order by k asc nulls last, model))::int as position from long"""
     ),
 )
 def m23(spark, sf):

@@ -189,11 +189,11 @@ def p5(spark, sf):
     q(
         _PRED_SQL
         + _METRICS_SQL
-        + ", mranked as (select model, mae, row_number() over (order by mae, model) as rank_by_mae from metrics), "
+        + ", mranked as (select model, mae, (row_number() over (order by mae, model))::int as rank_by_mae from metrics), "
         "registry as (select 'linear_area' as model, 1 as registry_order union all select 'dummy_median', 2 "
         "union all select 'saved_best', 3) "
         f"select r.model, {_re('mae', 2)} as mae, rank_by_mae, "
-        "row_number() over (order by rank_by_mae asc nulls last, registry_order) as position "
+        "(row_number() over (order by rank_by_mae asc nulls last, registry_order))::int as position "
         "from registry r left join mranked k on r.model = k.model"
     ),
 )

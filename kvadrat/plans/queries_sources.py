@@ -55,7 +55,7 @@ def s2(spark, sf):
         "select count(*) as rows, "
         + ", ".join(
             f"count_if(cast({c} as varchar) is not null and trim(cast({c} as varchar)) <> '' "
-            f"and try_cast(trim(cast({c} as varchar)) as double) is null) as {c}"
+            f"and try_cast(trim(cast({c} as varchar)) as double) is null)::bigint as {c}"
             for c in S.NUMERIC_RAW_COLUMNS
         )
         + " from raw"

@@ -103,7 +103,7 @@ def f12(spark, sf):
 
 def _missing_sql() -> str:
     parts = [
-        f"select '{c}' as column_name, count_if({c} is null) as missing_count, "
+        f"select '{c}' as column_name, count_if({c} is null)::bigint as missing_count, "
         f"{_re(f'count_if({c} is null)::double * 100.0 / count(*)', 2)} as missing_pct from raw"
         for c in S.RAW_COLUMNS
     ]
@@ -284,7 +284,7 @@ qq as (select city, {qc('x', 0.25)} as q1, {qc('x', 0.5)} as median, {qc('x', 0.
 select city, count(*) as n, {_re('q1')} as q1, {_re('median')} as median, {_re('q3')} as q3, {_re('q3 - q1')} as iqr,
   {_re('min(case when x >= q1 - 1.5 * (q3 - q1) and x <= q3 + 1.5 * (q3 - q1) then x end)')} as whisker_low,
   {_re('max(case when x >= q1 - 1.5 * (q3 - q1) and x <= q3 + 1.5 * (q3 - q1) then x end)')} as whisker_high,
-  count_if(not (x >= q1 - 1.5 * (q3 - q1) and x <= q3 + 1.5 * (q3 - q1))) as n_outliers
+  count_if(not (x >= q1 - 1.5 * (q3 - q1) and x <= q3 + 1.5 * (q3 - q1)))::bigint as n_outliers
 from d join qq using (city) group by city, q1, median, q3
 """
     ),

@@ -120,11 +120,11 @@ def c5(spark, sf):
     q(
         f"""
 select * from (
-  select 1 as rule_no, '{C.RULE_LABELS["area_m2"]}' as rule, count_if(not {RULE_AREA}) as rows from deduped
-  union all select 2, '{C.RULE_LABELS["price_eur"]}', count_if(not {RULE_PRICE}) from deduped
-  union all select 3, '{C.RULE_LABELS["rooms"]}', count_if(not {RULE_ROOMS}) from deduped
-  union all select 4, '{C.RULE_LABELS["year_built"]}', count_if(not {RULE_YEAR}) from deduped
-  union all select 5, '{C.RULE_LABELS["all"]}', count_if(not {QUALITY}) from deduped)
+  select 1 as rule_no, '{C.RULE_LABELS["area_m2"]}' as rule, count_if(not {RULE_AREA})::bigint as rows from deduped
+  union all select 2, '{C.RULE_LABELS["price_eur"]}', count_if(not {RULE_PRICE})::bigint from deduped
+  union all select 3, '{C.RULE_LABELS["rooms"]}', count_if(not {RULE_ROOMS})::bigint from deduped
+  union all select 4, '{C.RULE_LABELS["year_built"]}', count_if(not {RULE_YEAR})::bigint from deduped
+  union all select 5, '{C.RULE_LABELS["all"]}', count_if(not {QUALITY})::bigint from deduped)
 """
     ),
 )
