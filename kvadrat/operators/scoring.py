@@ -90,9 +90,9 @@ def validate_requests(df: DataFrame) -> DataFrame:
 def raise_on_invalid(df: DataFrame) -> DataFrame:
     """Strict mode: the job fails on the first invalid request, naming its problems."""
     v = validate_requests(df)
-    return v.withColumn(
-        "_check", F.when(~F.col("is_valid"), F.raise_error(F.concat(F.lit("Invalid property input: "), F.col("errors"))))
-    ).drop("_check")
+    # a filter (not a dropped column, which the optimizer would prune) carries the check
+    fail = F.when(~F.col("is_valid"), F.raise_error(F.concat(F.lit("Invalid property input: "), F.col("errors"))))
+    return v.filter(fail.isNull())
 
 
 def _text_or_unknown(c: str, missing_as: str) -> Column:

@@ -141,3 +141,36 @@ def test_page_jobs_and_frontier(spark):
     seen = spark.createDataFrame([("u3",)], "url string")
     fr = X.frontier_union(cand, seen, ["page", "pos"]).orderBy("page", "pos").collect()
     assert [(r["url"], r["page"]) for r in fr] == [("u1", 1), ("u2", 1)]
+
+
+def test_partition_sources(spark):
+    from kvadrat import schema as S
+
+    price = X.partition_sources(spark, "cena", S.PRICE_RANGES).collect()
+    area = X.partition_sources(spark, "kvadratura", S.AREA_RANGES).collect()
+    assert (len(price), len(area)) == (9, 10)
+    assert price[0]["source_name"] == "cena:0_50000"
+    assert price[0]["source_url"] == BASE + "/stambeni-objekti/stanovi/izdavanje-prodaja/prodaja/cena/0_50000/lista/po-stranici/20/"
+
+
+def test_resume_anti_join_with_limit(spark):
+    urls = spark.createDataFrame([(" u1 ", 1), ("u2", 2), ("", 3), ("u1", 4), ("u3", 5), ("u4", 6)], "url string, line int")
+    scraped = spark.createDataFrame([("u2",)], "url string")
+    todo = [r["url"] for r in X.resume_anti_join(urls, scraped, "line").orderBy("line").collect()]
+    assert todo == ["u1", "u3", "u4"]
+    limited = [r["url"] for r in X.resume_anti_join(urls, scraped, "line", limit=2).orderBy("line").collect()]
+    assert limited == ["u1", "u3"]
+
+
+def test_failure_side_output(spark):
+    import os
+    import tempfile
+
+    from kvadrat.sources import sinks
+
+    results = spark.createDataFrame([("u1", "ok", None), ("u2", None, "HTTP 404")], "url string, title string, error string")
+    ok, bad = X.split_failures(results)
+    assert [r["url"] for r in ok.collect()] == ["u1"]
+    out = os.path.join(tempfile.mkdtemp(prefix="kv-fail-", dir="/tmp"), "failed")
+    sinks.append_failures(bad, out)
+    assert [r["value"] for r in spark.read.text(out).collect()] == ["u2\tHTTP 404"]

@@ -66,3 +66,23 @@ def test_price_range_and_clamp(spark):
     assert (rows[1]["r"]["low"], rows[1]["r"]["high"]) == (0.0, 17500.0)
     assert rows[2]["r"] is None
     assert rows[3]["c"] == 0.0
+
+
+def test_region_options_fallbacks(spark):
+    reqs = _req(spark, [("1", "A", "r", None, "50", None, "c", "d", None, None, None, False, False, False),
+                        ("2", "B", "r", None, "50", None, "c", "d", None, None, None, False, False, False)])
+    rbc = spark.createDataFrame([("A", ["x", "y"])], "city string, regions array<string>")
+    out = {(r["city"], r["pos"]): r["region"] for r in P.region_options(reqs, rbc).collect()}
+    assert out == {("A", 0): "x", ("A", 1): "y", ("B", 0): "Nepoznato"}
+    empty = spark.createDataFrame([], "city string, regions array<string>")
+    every = spark.createDataFrame([("z",), ("w",)], "region string")
+    out2 = sorted((r["city"], r["region"]) for r in P.region_options(reqs, empty, every).collect())
+    assert out2 == [("A", "w"), ("A", "z"), ("B", "w"), ("B", "z")]
+
+
+def test_strict_mode_fails_the_job(spark):
+    import pytest
+
+    df = _req(spark, [("1", "", "b", None, "50", None, "c", "d", None, None, None, False, False, False)])
+    with pytest.raises(Exception, match="city je obavezno polje"):
+        P.raise_on_invalid(df).collect()
