@@ -2,8 +2,10 @@
 
 R1 ingests fetched pages, extracts listings and appends only URLs not stored before. The
 listing model has no event time, so a ``dropDuplicates`` state would grow without bound;
-the default mode therefore anti-joins each micro-batch against the stored table inside
-``foreachBatch`` (state lives in the table, not in the state store). Each batch writes
+the default mode therefore checks each micro-batch against the stored table inside
+``foreachBatch`` (state lives in the table, which can also be seeded by a batch backfill).
+``mode="state"`` keeps the URL set in the state store instead (use the RocksDB provider
+for large state). Each batch writes
 its own ``batch_id=<n>`` folder in overwrite mode, so a replayed batch replaces its own
 output and never duplicates rows (idempotent sink, exactly-once with the checkpoint).
 
@@ -56,7 +58,11 @@ def ingest_pages(
             fresh = batch.dropDuplicates(["url"])
             stored = _stored(s, sink, schema, batch_id)
             if stored is not None:
-                fresh = fresh.join(stored.select("url"), "url", "left_anti")
+                # probe the stored URLs with this batch's URLs (the small side, which a
+                # semi join may broadcast), then drop the few hits from the batch: the
+                # stored table is scanned (url column only) but never shuffled
+                seen = stored.select("url").join(fresh.select("url"), "url", "left_semi")
+                fresh = fresh.join(seen, "url", "left_anti")
             fresh.select(*cols).write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
 
         q = listings.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
