@@ -297,3 +297,21 @@ def m4(spark, sf):
     for p_ in parts[1:]:
         out = out.unionByName(p_)
     return out.groupBy("column_name", "width").agg(F.count(F.lit(1)).alias("rows"), F.count_if("unseen").alias("unseen_rows"))
+
+
+@register(
+    "m1_split_exact",
+    q(
+        f"""
+, labelled as (select *, {KEY_SQL} as _row from model where price_eur is not null),
+ex as (select _row, price_eur, rank() over (order by substr(_row, 1, 15)) - 1 as below,
+              count(*) over () as n from labelled)
+select _row, price_eur, below < ceil(n * {S.TEST_SIZE}::double) as is_test from ex
+"""
+    ),
+)
+def m1_exact(spark, sf):
+    """Exact test size: the ceil(n * 0.2) rows with the smallest content hash (ranked
+    without a single-task sort); identical rows share a hash and a side."""
+    m = frames.model(spark, sf).filter(F.col(S.TARGET).isNotNull())
+    return M.with_split(m, exact=True).select(E.row_hash(M.SPLIT_KEY).alias("_row"), "price_eur", "is_test")
