@@ -179,15 +179,22 @@ def histogram(df: DataFrame, column: str, bins: int = 45, group_cols: list[str]
         F.when(F.col("_lo0") == F.col("_hi0"), F.col("_hi0") + 0.5).otherwise(F.col("_hi0")).alias("_hi"),
     )
     joined = data.crossJoin(F.broadcast(rng)) if not group_cols else data.join(rng, group_cols)
-    width = (F.col("_hi") - F.col("_lo")) / bins
-    b = F.least(F.floor((x - F.col("_lo")) / width), F.lit(bins - 1)).cast("int")
+    lo, hi = F.col("_lo"), F.col("_hi")
+    step = (hi - lo) / bins
+
+    def edge(i: Column) -> Column:  # numpy.linspace(lo, hi, bins + 1)[i]
+        return F.when(i == bins, hi).otherwise(i * step + lo)
+
+    # numpy.histogram: index from (x - lo) / (hi - lo) * bins, then corrected against the edges
+    raw = F.least(F.floor((x - lo) / (hi - lo) * F.lit(float(bins))), F.lit(bins - 1)).cast("int")
+    down = F.when(x < edge(raw), raw - 1).otherwise(raw)
+    b = F.when((x >= edge(down + 1)) & (down != bins - 1), down + 1).otherwise(down)
     counts = joined.groupBy(*group_cols, b.alias("bin"), "_lo", "_hi").agg(F.count(F.lit(1)).alias("count"))
-    w = (F.col("_hi") - F.col("_lo")) / bins
     return counts.select(
         *group_cols,
         "bin",
-        (F.col("_lo") + F.col("bin") * w).alias("bin_lo"),
-        (F.col("_lo") + (F.col("bin") + 1) * w).alias("bin_hi"),
+        edge(F.col("bin")).alias("bin_lo"),
+        edge(F.col("bin") + 1).alias("bin_hi"),
         F.col("count").cast("bigint").alias("count"),
     )
 

@@ -177,9 +177,16 @@ def e3(spark, sf):
 , rng as (select series, case when min(value) = max(value) then min(value) - 0.5 else min(value) end as lo,
                  case when min(value) = max(value) then max(value) + 0.5 else max(value) end as hi
           from series group by series),
-binned as (select s.series, least(floor((value - lo) / ((hi - lo) / 45)), 44)::int as bin, lo, hi
-           from series s join rng using (series))
-select series, bin, {_re('lo + bin * ((hi - lo) / 45)')} as bin_lo, {_re('lo + (bin + 1) * ((hi - lo) / 45)')} as bin_hi,
+raw_bin as (select s.series, value, lo, hi, least(floor((value - lo) / (hi - lo) * 45.0::double), 44)::int as r
+            from series s join rng using (series)),
+down as (select *, case when value < (case when r = 45 then hi else r * ((hi - lo) / 45) + lo end) then r - 1 else r end as d
+         from raw_bin),
+binned as (select series, lo, hi,
+             case when value >= (case when d + 1 = 45 then hi else (d + 1) * ((hi - lo) / 45) + lo end) and d <> 44
+                  then d + 1 else d end as bin
+           from down)
+select series, bin, {_re('case when bin = 45 then hi else bin * ((hi - lo) / 45) + lo end')} as bin_lo,
+       {_re('case when bin + 1 = 45 then hi else (bin + 1) * ((hi - lo) / 45) + lo end')} as bin_hi,
        count(*) as count
 from binned group by series, bin, lo, hi
 """

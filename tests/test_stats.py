@@ -63,3 +63,13 @@ def test_histogram_last_bin_is_closed(spark):
     df = spark.createDataFrame([(float(v),) for v in [0, 1, 2, 3, 4, 5, 6, 7, 8, 9, 10]], "x double")
     h = {r["bin"]: r["count"] for r in E.histogram(df, "x", bins=5).collect()}
     assert h == {0: 2, 1: 2, 2: 2, 3: 2, 4: 3}
+
+
+def test_histogram_matches_numpy(spark):
+    rng = np.random.default_rng(5)
+    for x in [np.round(rng.lognormal(10, 1, 2000), 2), rng.integers(0, 500, 2000).astype(float) * 0.1]:
+        counts, edges = np.histogram(x, bins=45)
+        df = spark.createDataFrame([(float(v),) for v in x], "x double")
+        got = {r["bin"]: r for r in E.histogram(df, "x", 45).collect()}
+        assert [got[i]["count"] if i in got else 0 for i in range(45)] == list(counts)
+        assert all(got[i]["bin_lo"] == edges[i] and got[i]["bin_hi"] == edges[i + 1] for i in got)
