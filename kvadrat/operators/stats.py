@@ -58,7 +58,8 @@ def missing_table(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     return long.select(
         "column_name",
         F.col("missing_count").cast("bigint").alias("missing_count"),
-        round_even(F.try_divide(F.col("missing_count") * 100.0, F.col("_n")), 2).alias("missing_pct"),
+        # pandas: isna().mean() * 100, i.e. (count / n) * 100
+        round_even(F.try_divide(F.col("missing_count").cast("double"), F.col("_n")) * 100.0, 2).alias("missing_pct"),
     )
 
 
@@ -231,7 +232,7 @@ def category_share(df: DataFrame, column: str = "city", n: int = 15) -> DataFram
     total = counts.agg(F.sum("n").alias("_total"))
     out = counts.crossJoin(F.broadcast(total)).select(
         column,
-        round_even(F.col("n") * 100.0 / F.col("_total"), 2).alias("share_pct"),
+        round_even(F.col("n") / F.col("_total") * 100.0, 2).alias("share_pct"),  # value_counts(normalize) * 100
         F.col("n").cast("bigint").alias("n"),
     )
     return out.orderBy(F.col("n").desc(), F.col(column).asc()).limit(n)

@@ -104,7 +104,7 @@ def f12(spark, sf):
 def _missing_sql() -> str:
     parts = [
         f"select '{c}' as column_name, count_if({c} is null)::bigint as missing_count, "
-        f"{_re(f'count_if({c} is null)::double * 100.0 / count(*)', 2)} as missing_pct from raw"
+        f"{_re(f'count_if({c} is null)::double / count(*) * 100.0', 2)} as missing_pct from raw"
         for c in S.RAW_COLUMNS
     ]
     return q(" union all ".join(parts))
@@ -237,7 +237,7 @@ def e6(spark, sf):
     q(
         f"""
 , c as (select city, count(*) as n from cleaned where city is not null group by city)
-select city, {_re('n * 100.0 / (select sum(n) from c)', 2)} as share_pct, n from c order by n desc, city limit 15
+select city, {_re('n::double / (select sum(n) from c) * 100.0', 2)} as share_pct, n from c order by n desc, city limit 15
 """
     ),
 )
