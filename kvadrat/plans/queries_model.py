@@ -102,9 +102,10 @@ preds as (
 """
 
 
-def _two_model_predictions(spark, sf, split=None):
+def _fit_two_models(spark, sf, split=None):
+    """(split, {name: fitted model}) for the two SQL-expressible models."""
     split = _split(spark, sf) if split is None else split
-    train, test = split.filter(~F.col("is_test")), split.filter(F.col("is_test"))
+    train = split.filter(~F.col("is_test"))
     dummy = M.MedianRegressor(labelCol=S.TARGET).fit(train)
     lin = Pipeline(
         stages=[
@@ -112,8 +113,15 @@ def _two_model_predictions(spark, sf, split=None):
             LinearRegression(labelCol=S.TARGET, regParam=0.0, solver="normal", standardization=False),
         ]
     ).fit(train)
+    return split, {"dummy_median": dummy, "linear_area": lin}
+
+
+def _two_model_predictions(spark, sf, split=None, fitted=None):
+    if fitted is None:
+        split, fitted = _fit_two_models(spark, sf, split)
+    test = split.filter(F.col("is_test"))
     out = None
-    for name, m in [("dummy_median", dummy), ("linear_area", lin)]:
+    for name, m in fitted.items():
         p = m.transform(test).select(
             F.lit(name).alias("model"), "_row", F.col(S.TARGET).alias("y"), F.col("prediction").cast("double").alias("p")
         )

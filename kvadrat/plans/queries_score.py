@@ -15,7 +15,7 @@ from kvadrat.operators import scoring as P
 from kvadrat.operators import stats as E
 from kvadrat.plans import frames
 from kvadrat.plans.oracle import feature_ctes, q
-from kvadrat.plans.queries_model import _METRICS_SQL, _PRED_SQL, _split, _two_model_predictions
+from kvadrat.plans.queries_model import _METRICS_SQL, _PRED_SQL, _fit_two_models, _split, _two_model_predictions
 from kvadrat.plans.queries_stats import _re, _rs
 from kvadrat.plans.registry import register
 from kvadrat.sources import testview
@@ -174,9 +174,9 @@ def p4(spark, sf):
     ),
 )
 def p5(spark, sf):
-    split = _split(spark, sf)
-    metrics = M.regression_metrics(_two_model_predictions(spark, sf, split))
-    out, _ = P.score(testview.score_inputs(spark, sf), _linear_area(spark, sf, split), metrics, "linear_area")
+    split, fitted = _fit_two_models(spark, sf)  # one fit serves the metrics and the scoring
+    metrics = M.regression_metrics(_two_model_predictions(spark, sf, split, fitted))
+    out, _ = P.score(testview.score_inputs(spark, sf), fitted["linear_area"], metrics, "linear_area")
     return out.select(
         "input_id",
         E.round_even(F.col("price_range.low"), 2).alias("price_low"),
