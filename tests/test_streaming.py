@@ -60,3 +60,23 @@ def test_scoring_stream_splits_rejected(spark):
     r = spark.read.parquet(rej).collect()
     assert [x["input_id"] for x in p] == ["ok"] and abs(p[0]["predicted_price_eur"] - 50000.0) < 1e-3
     assert [x["input_id"] for x in r] == ["bad"] and "city je obavezno polje" in r[0]["errors"]
+
+
+def test_ingest_state_mode_dedups_across_batches(spark):
+    root = tempfile.mkdtemp(prefix="kv-state-", dir="/tmp")
+    src = os.path.join(root, "in")
+    schema = "url string, html string"
+    for i, rows in enumerate([[("u1", PAGE.format(t="a"))], [("u1", PAGE.format(t="again")), ("u2", PAGE.format(t="b"))]]):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(os.path.join(src, f"b{i}"))
+    stream = (
+        spark.readStream.schema(schema)
+        .option("maxFilesPerTrigger", 1)
+        .option("recursiveFileLookup", True)
+        .option("pathGlobFilter", "*.parquet")
+        .parquet(src)
+    )
+    sink = os.path.join(root, "sink")
+    jobs.ingest_pages(spark, stream, sink, os.path.join(root, "ckpt"), mode="state").awaitTermination()
+    rows = spark.read.parquet(sink).collect()
+    assert sorted(r["url"] for r in rows) == ["u1", "u2"]
+    assert [r["title"] for r in rows if r["url"] == "u1"] == ["a"]
