@@ -82,7 +82,9 @@ def build_page_url(c: Column | str, page: Column | str | int) -> Column:
 def html_text(c: Column | str) -> Column:
     """Visible text of an HTML document for regex rules: script/style bodies and tags
     become spaces, whitespace runs collapse."""
-    no_code = F.regexp_replace(_col(c), r"(?is)<(script|style|template)\b.*?</\1\s*>", " ")
+    no_code = _col(c)
+    for tag in ("script", "style", "template"):
+        no_code = F.regexp_replace(no_code, rf"(?is)<{tag}\b.*?</{tag}\s*>", " ")
     no_tags = F.regexp_replace(no_code, r"(?s)<[^>]*>", " ")
     return F.trim(F.regexp_replace(no_tags, r"(?U)\s+", " "))
 

@@ -151,15 +151,15 @@ def violation_examples(
     columns: list[str] | None = None,
 ) -> DataFrame:
     """First ``n`` deduplicated rows that fail the quality rules (dedup order: kept
-    complete-key rows by first position, then incomplete-key rows)."""
+    complete-key rows by first position, then incomplete-key rows; the key columns break
+    ties of the position so the pick is deterministic). A bounded top-k."""
+    key = key or S.COMPOSITE_KEY
     columns = columns or ["title", "area_m2", "price_eur", "rooms", "year_built", "city", "url"]
     deduped = dedup_keep_first(df, key, order_col)
     rejected = deduped.filter(~passes_quality())
-    return (
-        rejected.orderBy((~complete_key(key)).asc(), F.col(order_col).asc_nulls_first())
-        .limit(n)
-        .select(*columns)
-    )
+    order = [(~complete_key(key)).asc(), F.col(order_col).asc_nulls_first()]
+    order += [F.col(k).asc_nulls_first() for k in key]
+    return rejected.orderBy(*order).limit(n).select(*columns)
 
 
 def stage_table(df: DataFrame, key: list[str] | None = None, order_col: str = ORDER_COL) -> DataFrame:

@@ -400,11 +400,19 @@ def row_hash(columns: list[str], seed: int = S.RANDOM_STATE) -> Column:
 SAMPLE_KEY = ["url", "title", "description", "city", "region", "street", "heating_type", "parking", "raw_floor_string"]
 
 
-def seeded_sample(df: DataFrame, n: int = 3000, seed: int = S.RANDOM_STATE, key: list[str] | None = None) -> DataFrame:
-    """``min(n, rows)`` rows chosen by smallest hash: a bounded top-k (each task
-    keeps its best ``n``; the final merge sees at most n per task)."""
+def seeded_sample(
+    df: DataFrame,
+    n: int = 3000,
+    seed: int = S.RANDOM_STATE,
+    key: list[str] | None = None,
+    tie_break: list[str] | None = None,
+) -> DataFrame:
+    """``min(n, rows)`` rows chosen by smallest hash of the ``key`` text columns
+    (``tie_break`` columns order rows whose key text is equal): a bounded top-k, each task
+    keeps its best ``n`` and the final merge sees at most n per task."""
     key = key or SAMPLE_KEY
-    return df.withColumn("_h", row_hash(key, seed)).orderBy("_h").limit(n).drop("_h")
+    order = [F.col("_h")] + [F.col(c).asc_nulls_first() for c in (tie_break or [])]
+    return df.withColumn("_h", row_hash(key, seed)).orderBy(*order).limit(n).drop("_h")
 
 
 def category_options(df: DataFrame, columns: list[str] | None = None) -> DataFrame:

@@ -281,13 +281,26 @@ def x18(spark, sf):
     return X.resume_anti_join(lines, read_table(spark, sf, "pages").select("url"), "line")
 
 
+def _visible_text_sql(c: str) -> str:
+    x = c
+    for tag in ("script", "style", "template"):
+        x = f"regexp_replace({x}, '(?is)<{tag}\\b.*?</{tag}\\s*>', ' ', 'g')"
+    x = f"regexp_replace({x}, '(?s)<[^>]*>', ' ', 'g')"
+    return f"trim(regexp_replace({x}, '\\s+', ' ', 'g'))"
+
+
+_TEXT_SQL = _visible_text_sql("html")
+
+
 @register(
     "x19_total_count",
-    "select page_id, try_cast(replace(nullif(regexp_extract(html, '(?i)([0-9.]+)\\s+oglasa', 1), ''), '.', '') as bigint) as total from pages",
+    "select page_id, try_cast(replace(nullif(regexp_extract(" + _TEXT_SQL + ", '(?i)([0-9.]+)\\s+oglasa', 1), ''), '.', '') as bigint) "
+    "as total from pages",
 )
 def x19(spark, sf):
+    """Listing total from the page's visible text (script/style bodies and tags removed)."""
     pages = read_table(spark, sf, "pages")
-    return pages.select("page_id", U.total_count("html").alias("total"))
+    return pages.select("page_id", U.total_count(U.html_text("html")).alias("total"))
 
 
 def _page_sql(u: str, n: str) -> str:

@@ -404,9 +404,8 @@ def _hash_sql(cols) -> str:
     ),
 )
 def e16(spark, sf):
-    raw = frames.raw(spark, sf).withColumn("_h", E.row_hash(E.SAMPLE_KEY))
-    order = [F.col("_h")] + [F.col(c).asc_nulls_first() for c in ["area_m2", "price_eur", "rooms", "year_built"]]
-    return raw.orderBy(*order).limit(3000).select(*_SAMPLE_OUT)
+    ties = ["area_m2", "price_eur", "rooms", "year_built"]
+    return E.seeded_sample(frames.raw(spark, sf), 3000, tie_break=ties).select(*_SAMPLE_OUT)
 
 
 @register(

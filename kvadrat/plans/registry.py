@@ -145,14 +145,7 @@ limit 10
     ),
 )
 def c7(spark, sf):
-    raw = frames.raw(spark, sf)
-    deduped = C.dedup_keep_first(raw).withColumn("_complete", C.complete_key())
-    rejected = deduped.filter(~C.passes_quality())
-    order = [F.col("_complete").desc(), F.col(C.ORDER_COL).asc_nulls_first()]
-    order += [F.col(k).asc_nulls_first() for k in S.COMPOSITE_KEY]
-    return rejected.orderBy(*order).limit(10).select(
-        "title", "area_m2", "price_eur", "rooms", "year_built", "city", "url"
-    )
+    return C.violation_examples(frames.raw(spark, sf), 10)
 
 
 @register(

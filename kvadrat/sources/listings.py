@@ -8,25 +8,20 @@ aggregate over the same scan. ``_ord`` records the file position of each row
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kvadrat import schema as S
 
-
 class ListingsValidationError(ValueError):
     """The listings table does not match the expected shape."""
 
-
 def na_to_null(c: Column | str, tokens: list[str] | None = None) -> Column:
     """The CSV missing-value tokens become null."""
     x = F.col(c) if isinstance(c, str) else c
     return F.when(~x.isin(*(tokens or S.NA_TOKENS)), x)
 
-
 def position_order() -> Column:
     """File position of a row: (file path, split start, running id inside the task)."""
     return F.struct(
@@ -35,7 +30,6 @@ def position_order() -> Column:
         F.monotonically_increasing_id().alias("pos"),
     )
 
-
 def read_raw(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
     """S1 scan: every column as it is in the file (strings for CSV) plus ``_ord``."""
     try:
@@ -57,12 +51,10 @@ def read_raw(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
         raise
     return df.withColumn("_ord", position_order())
 
-
 def missing_columns(df: DataFrame, required: list[str] | None = None) -> list[str]:
     """S3: expected columns absent from the frame, in expected order."""
     return [c for c in (required or S.RAW_COLUMNS) if c not in df.columns]
 
-
 def numeric_problems(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """S4 + S5 as one aggregate: row count and, per numeric column, the number of values
     that are present, not blank and do not parse as a number."""
@@ -74,7 +66,6 @@ def numeric_problems(df: DataFrame, columns: list[str] | None = None) -> DataFra
         aggs.append(F.count_if(bad).alias(c))
     return df.agg(*aggs)
 
-
 def validate(df: DataFrame, min_rows: int = 1000, required: list[str] | None = None) -> dict:
     """Raise ``ListingsValidationError`` on missing columns, too few rows or
     unparseable numbers; otherwise return the shape summary."""
@@ -97,7 +88,6 @@ def validate(df: DataFrame, min_rows: int = 1000, required: list[str] | None = N
         "numeric_columns": list(S.NUMERIC_RAW_COLUMNS),
     }
 
-
 def typed(df: DataFrame) -> DataFrame:
     """NA tokens to null on text columns, numbers via ``try_cast`` (NaN to null)."""
     out = {}
@@ -109,7 +99,6 @@ def typed(df: DataFrame) -> DataFrame:
             out[c] = na_to_null(F.col(c).cast("string"))
     return df.withColumns(out)
 
-
 def load_listings(
     spark: SparkSession, path: str, fmt: str = "csv", min_rows: int = 1000, validate_data: bool = True
 ) -> DataFrame:
@@ -123,6 +112,3 @@ def load_listings(
             raise ListingsValidationError(f"Missing required columns: {', '.join(missing)}")
     return typed(raw).select(*S.RAW_COLUMNS, "_ord")
 
-
-def all_present(cols: list[str]) -> Column:
-    return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols])

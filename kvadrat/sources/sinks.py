@@ -4,8 +4,6 @@ or Spark ML persistence, so it goes to whatever shared file system the paths nam
 
 from __future__ import annotations
 
-import json
-
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -101,14 +99,3 @@ def load_registry(spark: SparkSession, out_dir: str, default: PipelineModel | No
     if rows:
         return {r["model"]: PipelineModel.load(r["path"]) for r in rows}
     return {default_name: default} if default is not None else {}
-
-
-def metadata_json(run: dict) -> str:
-    """Driver-side JSON of the one-row run summary (NaN -> null)."""
-
-    def fix(v):
-        if isinstance(v, float) and v != v:
-            return None
-        return v
-
-    return json.dumps({k: fix(v) for k, v in run.items()}, ensure_ascii=False, indent=2)

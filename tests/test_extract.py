@@ -174,3 +174,10 @@ def test_failure_side_output(spark):
     out = os.path.join(tempfile.mkdtemp(prefix="kv-fail-", dir="/tmp"), "failed")
     sinks.append_failures(bad, out)
     assert [r["value"] for r in spark.read.text(out).collect()] == ["u2\tHTTP 404"]
+
+
+def test_total_count_reads_visible_text(spark):
+    html = ('<html><head><script>var n = "99 oglasa";</script></head>'
+            '<body><div class="count">Pronađeno <b>12.345</b> oglasa</div></body></html>')
+    df = spark.createDataFrame([(html,), ("<p>nema</p>",)], "html string")
+    assert [r[0] for r in df.select(U.total_count(U.html_text("html"))).collect()] == [12345, None]
