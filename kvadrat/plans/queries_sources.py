@@ -121,3 +121,25 @@ def s3_s5(spark, sf):
     return L.numeric_problems(raw).select(
         F.col("rows"), F.lit(summary["columns"]).alias("columns"), F.lit(summary["target_column"]).alias("target_column")
     )
+
+
+@register("s9_s10_train_and_save")
+def s9_s10(spark, sf):
+    """Rows-only: train two candidates, save every pipeline and the metadata tables under
+    the checkpoint folder, reload the best pipeline and score the test rows with it."""
+    from kvadrat.operators import modeling as M
+    from kvadrat.plans import training
+
+    out = _scratch(spark, "models")
+    specs = [("Baseline - DummyRegressor median", "dummy_median"), ("LinearRegression", "linear_regression")]
+    res = training.train_and_save(spark, frames.raw(spark, sf), out, specs, sizes=M.SMALL)
+    name, best = sinks.load_best(spark, out)
+    metrics = spark.read.json(f"{res['metadata_dir']}/metrics")
+    labelled = frames.model(spark, sf).filter(F.col(S.TARGET).isNotNull())
+    test = M.with_split(labelled).filter("is_test")
+    scored = best.transform(test).agg(F.count_if(~F.isnan("prediction")).alias("scored_with_best"))
+    return (
+        metrics.select("model", "mae", "rmse", "r2", "rank_by_mae")
+        .withColumn("is_best", F.col("model") == F.lit(name))
+        .crossJoin(F.broadcast(scored))  # one row
+    )
