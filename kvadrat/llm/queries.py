@@ -6,8 +6,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from kvadrat.llm import packing, token_planes
+from kvadrat.llm import decontamination, line_dedup, packing, token_planes
 from kvadrat.llm.common import table
 from kvadrat.llm.tokens import tokenizer_path
 
@@ -21,9 +22,78 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_planes": op1_token_planes,
     "op6_best_fit_packing": op6_best_fit_packing,
+    "op9_decontamination": op9_decontamination,
+    "op10_line_dedup": op10_line_dedup,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+_OP10 = """
+WITH lines AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS j
+  FROM documents
+), solid AS (
+  SELECT doc_id, j, row_number() OVER w AS i, trim(line, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) AS s
+  FROM lines WHERE trim(line, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) <> ''
+  WINDOW w AS (PARTITION BY doc_id ORDER BY j)
+), runs AS (
+  SELECT doc_id, i, s AS a, lead(s, 1) OVER w AS b, lead(s, 2) OVER w AS c
+  FROM solid WINDOW w AS (PARTITION BY doc_id ORDER BY i)
+), later AS (
+  SELECT doc_id, i FROM (
+    SELECT doc_id, i, row_number() OVER (PARTITION BY a, b, c ORDER BY doc_id, i) AS k FROM runs WHERE c IS NOT NULL
+  ) WHERE k > 1
+), gone AS (
+  SELECT DISTINCT s.doc_id, s.j FROM later l JOIN solid s ON s.doc_id = l.doc_id AND s.i BETWEEN l.i AND l.i + 2
+)
+SELECT l.doc_id,
+       count(*) FILTER (WHERE trim(l.line, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) <> '') AS n_lines,
+       count(g.j) AS n_removed,
+       sha256(coalesce(string_agg(l.line, chr(10) ORDER BY l.j) FILTER (WHERE g.j IS NULL), '')) AS kept_sha256
+FROM lines l LEFT JOIN gone g ON g.doc_id = l.doc_id AND g.j = l.j
+GROUP BY l.doc_id
+"""
+
+_OP9 = r"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), item_words AS (
+  SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark
+), windows AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS n, w[i : i + 9] AS win
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM item_words WHERE len(w) > 0)
+), sizes AS (SELECT DISTINCT n FROM windows),
+places AS (
+  SELECT doc_id, i, n, w[i : i + n - 1] AS win
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM words, sizes WHERE len(w) >= n)
+), hits AS (
+  SELECT p.doc_id, p.i, p.n, x.item_id FROM places p JOIN windows x ON x.n = p.n AND x.win = p.win
+), hit_words AS (
+  SELECT doc_id, count(DISTINCT k) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS k FROM hits) GROUP BY doc_id
+), items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS id FROM hits) GROUP BY doc_id
+)
+SELECT d.doc_id, len(d.w) AS n_words, coalesce(h.n_hit, 0) AS n_hit, coalesce(t.n_items, 0) AS n_items,
+       sha256(coalesce(t.ids, '')) AS items_sha256, coalesce(h.n_hit, 0) > 0 AS contaminated
+FROM words d LEFT JOIN hit_words h USING (doc_id) LEFT JOIN items t USING (doc_id)
+"""
+
+#: DuckDB says the same where SQL can and whole tables allow it.
+ORACLE_SQL: dict[str, str] = {"op9_decontamination": _OP9, "op10_line_dedup": _OP10}
