@@ -48,6 +48,7 @@ def plan_fills(counts: np.ndarray, capacity: int) -> list[Fill]:
             _best_fit(open_, n, int(left[n]), capacity)
             left[n] = 0
             # a residual may now be closed exactly by shorter lengths still available
+            fills += open_.pop(0, [])
             for gap in [g for g in open_ if g < n]:
                 _close(open_, gap, left, fills)
     for some in open_.values():
