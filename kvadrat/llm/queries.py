@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kvadrat.llm import decontamination, line_dedup, packing, token_planes
+from kvadrat.llm import decontamination, jaccard_join, line_dedup, packing, token_planes
 from kvadrat.llm.common import table
 from kvadrat.llm.tokens import tokenizer_path
 
@@ -18,6 +18,10 @@ def op1_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_planes.token_file_index(spark, docs, tokenizer_path("byte_bpe_50k.json"))
 
 
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
@@ -34,6 +38,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_planes": op1_token_planes,
+    "op2_jaccard_join": op2_jaccard_join,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op9_decontamination": op9_decontamination,
     "op10_line_dedup": op10_line_dedup,
