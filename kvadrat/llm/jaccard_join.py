@@ -14,8 +14,9 @@ The boundary is where enumerating subsets costs as much as scanning lists, from
 set sizes and the mean list length. Lists of at most ``long_list`` sets give their pairs. Longer
 lists never do: all members are compared with one pivot; Jaccard distance is a metric, so a pair
 can only link if its distances to the pivot differ by at most 1 - t, members linked with the
-pivot need no comparison among themselves, and the others go round again with a new pivot. Every
-pair left is compared exactly, and connected components follow by star contraction.
+pivot need no comparison among themselves, and the others go round again with a new pivot. Pairs
+left open are bounded once more by the parity bitmaps of the sets, whose differing bits are at
+most the shingles that differ, and every pair left is compared exactly. Connected components follow by star contraction.
 
 Null or empty text, or one without words, has an empty set and is its own component. Rows that
 repeat a doc_id are one document with several sets. A null doc_id links with nothing and gets a
@@ -29,7 +30,7 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kvadrat.llm.common import Words, grams, id_text, mix, signed, steps, stored
@@ -41,6 +42,8 @@ LONG_LIST = 64
 MAX_FREQUENT = 300_000
 _LIGHT_MOST = 64
 _FREQUENT = np.uint64(1 << 62)
+_ANY = 1 << 40
+_BITS = [f"bits{i}" for i in range(8)]
 
 
 class Sets:
@@ -75,20 +78,23 @@ def _need(n, t: Fraction):
     return -(-n * t.numerator // t.denominator)
 
 
-def _ranked(sets: Sets, frequent: np.ndarray) -> np.ndarray:
-    """The shingles as ranks: 62 bits of the hash, frequent ones above all others; sorted in rows."""
+def _ranked(sets: Sets, frequent: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """The shingles as ranks, sorted in rows: 62 bits of the hash; frequent ones above all
+    others, by their count."""
     ranks = sets.values >> np.uint64(2)
-    if len(frequent):
-        at = np.minimum(np.searchsorted(frequent, sets.values), len(frequent) - 1)
-        often = frequent[at] == sets.values
-        ranks[often] |= _FREQUENT
+    keys, place = frequent
+    if len(keys):
+        at = np.minimum(np.searchsorted(keys, sets.values), len(keys) - 1)
+        often = keys[at] == sets.values
+        ranks[often] = _FREQUENT | place[at[often]]
         for i in np.unique(sets.row[often]):
             ranks[sets.first[i] : sets.first[i + 1]].sort()
     return ranks
 
 
-def _frequent(rows: DataFrame, shingle: int, at_least: int = 24) -> np.ndarray:
-    """Shingles of many documents: counted batch by batch, summed up, the most frequent kept."""
+def _frequent(rows: DataFrame, shingle: int, at_least: int = 24) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles of many documents, sorted, and the place of each by count: counted batch by
+    batch, summed up, the most frequent kept."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -100,7 +106,9 @@ def _frequent(rows: DataFrame, shingle: int, at_least: int = 24) -> np.ndarray:
 
     counts = rows.select("text").mapInArrow(count, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
     top = counts.where(F.col("n") >= at_least).orderBy(F.desc("n"), "shingle").limit(MAX_FREQUENT).toArrow()
-    return np.sort(top["shingle"].to_numpy().view(np.uint64))
+    values = top["shingle"].to_numpy().view(np.uint64)
+    order = np.argsort(values)
+    return values[order], (len(values) - 1 - order).astype(np.uint64)
 
 
 def _keys(ranks: np.ndarray, sets: Sets) -> tuple[np.ndarray, np.ndarray]:
@@ -114,8 +122,8 @@ def _keys(ranks: np.ndarray, sets: Sets) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _members(rows: DataFrame, frequent, shingle: int, t: Fraction) -> DataFrame:
-    """doc_id, n, k1, k2, last (rank that ends the 1-prefix) and, for the cost model, a 64th of
-    the prefix ranks of small sets, drawn by rank from every document."""
+    """doc_id, n, k1, k2, last (rank that ends the 1-prefix), for the cost model a 64th of the
+    prefix ranks of small sets, drawn by rank from every document, and 512 parity bits."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -132,12 +140,15 @@ def _members(rows: DataFrame, frequent, shingle: int, t: Fraction) -> DataFrame:
                     [int(r) for r in ranks[a : a + k] if r % np.uint64(64) == 0] if m <= _LIGHT_MOST else []
                     for a, k, m in zip(sets.first[:-1], p, n)
                 ]
+                bits = np.bincount(sets.row * 512 + (mix(sets.values) & np.uint64(511)).astype(np.int64), minlength=512 * len(n)) & 1
+                bits = np.packbits(bits.reshape(-1, 512).astype(np.uint8), axis=1).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [step.column("doc_id"), pa.array(n), pa.array(k1), pa.array(k2), pa.array(last),
-                     pa.array(probe, pa.list_(pa.int64()))],
-                    names=["doc_id", "n", "k1", "k2", "last", "probe"])
+                     pa.array(probe, pa.list_(pa.int64())), *(pa.array(np.ascontiguousarray(b)) for b in bits.T)],
+                    names=["doc_id", "n", "k1", "k2", "last", "probe", *_BITS])
 
-    return rows.mapInArrow(make, "doc_id long, n long, k1 long, k2 long, last long, probe array<long>")
+    bits = "".join(f", {b} long" for b in _BITS)
+    return rows.mapInArrow(make, "doc_id long, n long, k1 long, k2 long, last long, probe array<long>" + bits)
 
 
 def _prefixes(rows: DataFrame, frequent, shingle: int, t: Fraction) -> DataFrame:
@@ -261,6 +272,11 @@ def _scan_lists(listed: DataFrame, long_list: int, t: Fraction) -> DataFrame:
     return listed.repartition("sig").sortWithinPartitions("sig").mapInArrow(scan, _FOUND)
 
 
+def _overlap(sizes: Column, t: Fraction) -> Column:
+    """Shared shingles that a link of two sets requires, from the sum of their sizes."""
+    return F.ceil(sizes * t.numerator / (t.numerator + t.denominator) - 1e-9)
+
+
 def _counted(pairs: DataFrame, info: DataFrame, t: Fraction) -> DataFrame:
     """Heavy pairs that share as many listed prefix shingles as a link requires. The prefix that
     ends first lies wholly before the other's end, so all its shared shingles are in both."""
@@ -268,8 +284,7 @@ def _counted(pairs: DataFrame, info: DataFrame, t: Fraction) -> DataFrame:
     for side in ("a", "b"):
         mine = info.select(*(F.col(c).alias(c if c == side else f"{c}_{side}") for c in (side, "n", "last", "short")))
         counts = counts.join(mine, side)
-    both = F.col("n_a") + F.col("n_b")
-    overlap = F.ceil(both * t.numerator / (t.numerator + t.denominator) - 1e-9)
+    overlap = _overlap(F.col("n_a") + F.col("n_b"), t)
     need_a = F.col("short_a") - (F.col("n_a") - overlap)
     need_b = F.col("short_b") - (F.col("n_b") - overlap)
     need = F.when(F.col("last_a") <= F.col("last_b"), need_a).otherwise(need_b)
@@ -331,6 +346,11 @@ def components(edges: DataFrame) -> DataFrame:
         pairs = stored(small.union(least.select("m", "hi")).distinct(), "stars")
 
 
+#: Rows of long lists; last: where the set's prefix ends; spare: its prefix shingles in lists of
+#: two or more, less the prefix; rank: number of the list among the set's long lists.
+_LONG = ("sig", "a", "n", "last", "spare", "rank")
+
+
 def _pivot_rounds(lists: DataFrame, sets: DataFrame, t: Fraction, rounds: int) -> tuple[list[DataFrame], list[DataFrame]]:
     """Links with pivots of long lists, and the pairs that the pivots leave open, as functions of
     the lists: (links, [list rows with distances in them])."""
@@ -346,30 +366,38 @@ def _pivot_rounds(lists: DataFrame, sets: DataFrame, t: Fraction, rounds: int) -
             F.max(F.col("both") / F.col("either")).alias("j"), F.max(_linked(t)).alias("in"))
         judged = stored(
             with_pivot.join(far, ["a", "pivot"], "left").select(
-                "sig", "a", "n", F.coalesce(1 - F.col("j"), F.lit(0.0)).alias("d"), F.coalesce("in", F.lit(True)).alias("in")),
+                *_LONG, F.coalesce(1 - F.col("j"), F.lit(0.0)).alias("d"), F.coalesce("in", F.lit(True)).alias("in")),
             "judged")
         open_.append(judged)
         # a member that is out meets the others that are out in the next round
-        left = judged.where("not in").select("sig", "a", "n")
+        left = judged.where("not in").select(*_LONG)
         if left.isEmpty():
             return links, open_
-    open_.append(left.select("sig", "a", "n", F.lit(0.0).alias("d"), F.lit(None).cast("boolean").alias("in")))
+    open_.append(left.select(*_LONG, F.lit(0.0).alias("d"), F.lit(None).cast("boolean").alias("in")))
     return links, open_
 
 
-def _open_pairs(judged: DataFrame, comps: DataFrame, t: Fraction) -> DataFrame:
+def _open_pairs(judged: DataFrame, comps: DataFrame, info: DataFrame, t: Fraction) -> DataFrame:
     """Pairs of a long list that may link though one is no neighbour of the pivot, and that are
     not in one component already."""
     comp = comps.select(F.col("doc_id").alias("a"), "component")
     rows = judged.join(comp, "a", "left").withColumn("component", F.coalesce("component", "a"))
     mixed = rows.groupBy("sig").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("sig")
-    rows = rows.join(mixed, "sig")
-    x = rows.select("sig", *(F.col(c).alias(f"{c}1") for c in ("a", "n", "d", "in", "component")))
-    y = rows.select("sig", *(F.col(c).alias(f"{c}2") for c in ("a", "n", "d", "in", "component")))
+    rows = rows.join(mixed, "sig").join(info.select("a", *_BITS), "a")
+    names = ("a", "n", "last", "spare", "rank", "d", "in", "component", *_BITS)
+    x = rows.select("sig", *(F.col(c).alias(f"{c}1") for c in names))
+    y = rows.select("sig", *(F.col(c).alias(f"{c}2") for c in names))
     sized = (F.least("n1", "n2") * t.denominator >= F.greatest("n1", "n2") * t.numerator)
     reach = F.abs(F.col("d1") - F.col("d2")) <= float(1 - t) + 1e-9
     sides = (F.col("in1") & ~F.col("in2")) | (F.col("in1").isNull() & F.col("in2").isNull() & (F.col("a1") < F.col("a2")))
-    pairs = x.join(y, "sig").where(sides & reach & sized & (F.col("component1") != F.col("component2")))
+    # The prefix that ends first must share what the overlap requires, p - (n - overlap), so a
+    # pair shows in the first lists of that set already: all but the number required, less one.
+    overlap = _overlap(F.col("n1") + F.col("n2"), t)
+    enough = F.when(F.col("last1") <= F.col("last2"), F.col("spare1") + F.col("n1") - overlap >= F.col("rank1") - 1).otherwise(
+        F.col("spare2") + F.col("n2") - overlap >= F.col("rank2") - 1)
+    apart = sum((F.bit_count(F.col(f"{b}1").bitwiseXOR(F.col(f"{b}2"))) for b in _BITS), F.lit(0))
+    enough &= F.coalesce(apart, F.lit(0)) <= F.col("n1") + F.col("n2") - 2 * overlap
+    pairs = x.join(y, "sig").where(sides & reach & sized & enough & (F.col("component1") != F.col("component2")))
     return pairs.select(F.least("a1", "a2").alias("a"), F.greatest("a1", "a2").alias("b")).distinct()
 
 
@@ -408,18 +436,29 @@ def near_duplicates(
     # per class: prefix shingles that lie in short lists
     in_long = long.where("NOT light").groupBy("a").agg(F.count(F.lit(1)).alias("n_long"))
     info = sized.join(reps, ["k1", "k2"]).where("doc_id = rep").groupBy(F.col("doc_id").alias("i")).agg(
-        F.max("n").alias("n"), F.max("last").alias("last"), F.countDistinct("k1").alias("sets"))
-    info = info.join(in_long, info["i"] == in_long["a"], "left").select(
+        F.max("n").alias("n"), F.max("last").alias("last"), F.countDistinct("k1").alias("sets"),
+        *(F.max(b).alias(b) for b in _BITS))
+    heavy = pairs.where("NOT light")
+    in_short = heavy.select("a", "sig").union(heavy.select("b", "sig")).distinct().groupBy(F.col("a").alias("s")).agg(
+        F.count(F.lit(1)).alias("n_short"))
+    prefix = F.col("n") - _need(F.col("n"), t) + 1
+    n_long, n_short = F.coalesce("n_long", F.lit(0)), F.coalesce("n_short", F.lit(0))
+    # several sets under one id: no count can be asked for
+    info = info.join(in_long, info["i"] == in_long["a"], "left").join(in_short, info["i"] == in_short["s"], "left").select(
         "i", "n", "last",
-        # several sets under one id: no count can be asked for
-        F.when(F.col("sets") > 1, F.lit(0)).otherwise(F.col("n") - _need(F.col("n"), t) + 1 - F.coalesce("n_long", F.lit(0))).alias("short"))
-    info = info.withColumn("a", F.col("i")).withColumnRenamed("i", "b")
+        *(F.when(F.col("sets") == 1, F.col(b)).alias(b) for b in _BITS),
+        F.when(F.col("sets") > 1, F.lit(0)).otherwise(prefix - n_long).alias("short"),
+        F.when(F.col("sets") > 1, F.lit(_ANY)).otherwise(n_long + n_short - prefix).alias("spare"))
+    info = stored(info.withColumn("a", F.col("i")).withColumnRenamed("i", "b"), "classes")
     candidates = stored(
-        _counted(pairs.where("NOT light"), info, t).union(pairs.where("light").select("a", "b")).distinct(), "candidates")
+        _counted(heavy, info, t).union(pairs.where("light").select("a", "b")).distinct(), "candidates")
 
     wanted = candidates.select(F.col("a").alias("doc_id")).union(candidates.select("b")).union(long.select("a")).distinct()
     sets = _sets_of(known, wanted, shingle)
-    links, judged = _pivot_rounds(long.select("sig", "a", "n").distinct(), sets, t, rounds)
+    members_of = long.join(info.select("a", "last", "spare"), "a").select(
+        "sig", "a", "n", "last", F.when(F.col("light"), F.lit(_ANY)).otherwise(F.col("spare")).alias("spare")).distinct()
+    members_of = members_of.withColumn("rank", F.row_number().over(Window.partitionBy("a").orderBy("sig")))
+    links, judged = _pivot_rounds(members_of, sets, t, rounds)
     links.append(stored(_similar(candidates, sets).where(_linked(t)).select("a", "b"), "links"))
     # an id with several sets holds their classes together
     links.append(sized.join(reps, ["k1", "k2"]).where("doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
@@ -427,7 +466,7 @@ def near_duplicates(
                  .select("a", "b"))
     edges = _union(links)
     comps = components(edges)
-    more = _union([_open_pairs(j, comps, t) for j in judged]).distinct()
+    more = _union([_open_pairs(j, comps, info, t) for j in judged]).distinct()
     late = stored(_similar(more, sets).where(_linked(t)).select("a", "b"), "late-links")
     if not late.isEmpty():
         edges = edges.union(late)
