@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kvadrat.llm import decontamination, jaccard_join, line_dedup, packing, token_planes
+from kvadrat.llm import decontamination, jaccard_join, line_dedup, packing, relative_parse, token_planes, weak_rules
 from kvadrat.llm.common import table
 from kvadrat.llm.tokens import tokenizer_path
 
@@ -22,6 +22,15 @@ def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op3_relative_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parsed = relative_parse.parse(table(spark, sf_dir, "documents"))
+    return parsed.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+def op5_weak_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weak_rules.judge(table(spark, sf_dir, "documents"))
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
@@ -39,6 +48,8 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_planes": op1_token_planes,
     "op2_jaccard_join": op2_jaccard_join,
+    "op3_relative_parse": op3_relative_parse,
+    "op5_weak_rules": op5_weak_rules,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op9_decontamination": op9_decontamination,
     "op10_line_dedup": op10_line_dedup,
