@@ -5,12 +5,52 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from kvadrat.llm.common import scratch, table
+from kvadrat.llm import decontamination, jaccard_join, line_dedup, packing, quality_sampling
+from kvadrat.llm.common import scratch, stored, table
+from kvadrat.llm.tokens import tokenizer_path
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = []
 
-#: No stage but line dedup can be said in SQL; tests hold each against a brute-force version.
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier samples."""
+    return quality_sampling.kept_rows(docs, table(spark, sf_dir, "labels"))
+
+
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Later repeated runs of lines are cut out of the texts; a document whose lines are all
+    repeats of earlier ones goes, one that had none stays as it is."""
+    return line_dedup.without_repeats(docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates, that with the smallest doc_id; documents
+    without words and rows without an id are no group and stay. Rows equal in id are one."""
+    found = stored(jaccard_join.near_duplicates(docs), "groups")
+    copies = found.where("doc_id <> component_id").select(F.col("doc_id").alias("__copy")).distinct()
+    return docs.join(copies, docs["doc_id"] == copies["__copy"], "left_anti")
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that share no window of words with a benchmark item."""
+    return decontamination.without_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Places of the documents' pieces in sequences of at most 4096 tokens."""
+    return packing.pack(docs, tokenizer_path("word_bpe_49k.json"))
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality", quality),
+    ("lines", lines),
+    ("near_duplicates", near_duplicates),
+    ("decontaminate", decontaminate),
+    ("pack", pack),
+]
+
+#: SQL cannot say what the classifier's and the packer's stages do; tests/llm holds the stages
+#: against brute-force versions instead.
 ORACLE_SQL = None
 
 

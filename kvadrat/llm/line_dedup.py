@@ -96,3 +96,19 @@ def _kept(text: Column, starts: Column, run: int) -> Column:
         return let(_solid(lines), cut)
 
     return let(F.split(text, "\n"), of)
+
+
+def without_repeats(docs: DataFrame, min_run: int = MIN_RUN, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with its later repeated runs of lines cut out of ``text_col``, all columns kept.
+    Rows that lose every line go."""
+    names = docs.columns
+    rows = id_text(docs, id_col, text_col).withColumn("tie", F.xxhash64("text"))
+    runs = removed_runs(rows, min_run).select(
+        F.col("doc_id").alias("__id"), F.col("tie").alias("__tie"), F.col("starts").alias("__starts"))
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    joined = docs.join(
+        runs, docs[id_col].cast("long").eqNullSafe(runs["__id"]) & (F.xxhash64(text) == runs["__tie"]), "left")
+    cut = joined.withColumn("__cut", _kept(text, F.col("__starts"), min_run))
+    left = F.col("__starts").isNull() | (F.col("__cut.n_removed") < F.col("__cut.n_lines"))
+    new = F.when(F.col("__starts").isNull(), F.col(text_col)).otherwise(F.col("__cut.kept_text"))
+    return cut.where(left).select(*(new.alias(c) if c == text_col else F.col(c) for c in names))

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kvadrat.llm import decontamination, jaccard_join, line_dedup, packing, relative_parse, token_planes, weak_rules
+from kvadrat.llm import decontamination, jaccard_join, line_dedup, packing, quality_sampling, relative_parse, token_planes, warc, weak_rules
 from kvadrat.llm.common import table
 from kvadrat.llm.tokens import tokenizer_path
 
@@ -27,6 +27,10 @@ def op3_relative_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parsed.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op4_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_sampling.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_weak_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weak_rules.judge(table(spark, sf_dir, "documents"))
 
@@ -35,6 +39,11 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = warc.round_trip(spark, table(spark, sf_dir, "pages"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
@@ -49,8 +58,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_planes": op1_token_planes,
     "op2_jaccard_join": op2_jaccard_join,
     "op3_relative_parse": op3_relative_parse,
+    "op4_importance_resampling": op4_importance_resampling,
     "op5_weak_rules": op5_weak_rules,
     "op6_best_fit_packing": op6_best_fit_packing,
+    "op8_warc": op8_warc,
     "op9_decontamination": op9_decontamination,
     "op10_line_dedup": op10_line_dedup,
 }

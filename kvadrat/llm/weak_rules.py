@@ -110,7 +110,8 @@ def measured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 def estimate(patterns: np.ndarray, counts: np.ndarray, rounds: int = 200) -> tuple[float, np.ndarray, np.ndarray]:
     """Prior of good, P(vote | class) by rule, and the posterior of good of each pattern."""
     votes = (patterns[:, None] // 3 ** np.arange(len(RULES))) % 3
-    good = 1 / (1 + np.exp(-2.0 * (votes - 1).sum(axis=1)))  # start: the votes' sum
+    # start: one bad vote outweighs the good ones, which most rules give to most texts
+    good = 1 / (1 + np.exp(4.0 * (votes == 0).sum(axis=1) - 0.25 * (votes == 2).sum(axis=1)))
     prior, table = 0.5, np.zeros((2, len(RULES), 3))
     for _ in range(rounds):
         weight = np.stack([(1 - good) * counts, good * counts])
