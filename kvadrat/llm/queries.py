@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kvadrat.llm import decontamination, jaccard_join, line_dedup, packing, quality_sampling, relative_parse, token_planes, warc, weak_rules
+from kvadrat.llm import decontamination, jaccard_join, line_dedup, packing, quality_sampling, relative_parse, secret_scan, token_planes, warc, weak_rules
 from kvadrat.llm.common import table
 from kvadrat.llm.tokens import tokenizer_path
 
@@ -39,6 +39,10 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
+def op7_secret_novelty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = warc.round_trip(spark, table(spark, sf_dir, "pages"))
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -61,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_importance_resampling": op4_importance_resampling,
     "op5_weak_rules": op5_weak_rules,
     "op6_best_fit_packing": op6_best_fit_packing,
+    "op7_secret_novelty": op7_secret_novelty,
     "op8_warc": op8_warc,
     "op9_decontamination": op9_decontamination,
     "op10_line_dedup": op10_line_dedup,
