@@ -123,9 +123,10 @@ def _parse(data: bytes) -> dict | None:
     fields = {}
     for line in head.split(b"\r\n")[1:]:
         name, colon, value = line.partition(b":")
-        if not colon:
+        name = name.strip().lower().decode("latin-1")
+        if not colon or name == "warc-type" and name in fields:  # a second head began inside this one
             return None
-        fields[name.strip().lower().decode("latin-1")] = value.strip().decode("utf-8", "replace")
+        fields[name] = value.strip().decode("utf-8", "replace")
     try:
         size = int(fields["content-length"])
     except (KeyError, ValueError):
