@@ -26,11 +26,13 @@ class Node:
         return (self.attrs.get("class") or "").split()
 
     def strings(self, hidden: bool = False):
-        for ch in self.children:
+        todo = self.children[::-1]  # a stack: pages may nest deeper than Python's calls
+        while todo:
+            ch = todo.pop()
             if isinstance(ch, str):
                 yield ch
             elif hidden or ch.tag not in _HIDDEN:
-                yield from ch.strings(hidden)
+                todo.extend(reversed(ch.children))
 
     def text(self, sep: str = " ") -> str:
         """Text of the subtree: each string stripped, empty ones dropped, joined."""
@@ -40,10 +42,12 @@ class Node:
         return "".join(self.strings(hidden=True))
 
     def descendants(self):
-        for ch in self.children:
+        todo = self.children[::-1]
+        while todo:
+            ch = todo.pop()
             if isinstance(ch, Node):
                 yield ch
-                yield from ch.descendants()
+                todo.extend(reversed(ch.children))
 
 
 class _Builder(HTMLParser):
@@ -72,13 +76,16 @@ class _Builder(HTMLParser):
         self.cur.children.append(data)
 
 
-def parse(html: str | None) -> Node:
+def parse(html: str | None, strict: bool = False) -> Node:
+    """The page's tree; markup that the parser rejects is raised if ``strict``, else the page
+    ends there."""
     b = _Builder()
     try:
         b.feed(html or "")
         b.close()
-    except Exception:  # noqa: BLE001 - a broken page yields what was parsed so far
-        pass
+    except (AssertionError, ValueError):
+        if strict:
+            raise
     return b.root
 
 
@@ -143,11 +150,12 @@ def _texts(root: Node, selector: str) -> list[str]:
 
 
 def _scalar(v) -> str | None:
-    if v is None or isinstance(v, (dict, list)):
-        return None
-    if isinstance(v, bool):
-        return str(v)
-    return str(v)
+    return None if isinstance(v, (dict, list)) else _text(v)
+
+
+def _text(v) -> str | None:
+    """A JSON value as text (a price's number is then read from it); null stays null."""
+    return None if v is None else str(v)
 
 
 def json_ld_offers(root: Node) -> list[dict]:
@@ -172,8 +180,8 @@ def json_ld_offers(root: Node) -> list[dict]:
                         {
                             "url": _scalar(v.get("url")) if v.get("url") is not None else None,
                             "url_text": str(v.get("url", "")),
-                            "price": _scalar(v.get("price")),
-                            "spec_price": _scalar(spec.get("price")) if isinstance(spec, dict) else None,
+                            "price": _text(v.get("price")),
+                            "spec_price": _text(spec.get("price")) if isinstance(spec, dict) else None,
                             "has_spec": bool(spec),
                         }
                     )
@@ -188,7 +196,7 @@ PRICE_SELECTORS = [".sticky-price", "[class*=price]", "h4"]
 
 def listing_parts(html: str | None) -> dict:
     """Raw pieces of a listing page; all interpretation happens in Spark expressions."""
-    root = parse(html)
+    root = parse(html, strict=True)
     h1 = select_one(root, "h1")
     desc = select_one(root, ".cms-content-inner") or select_one(root, ".cms-content")
     return {

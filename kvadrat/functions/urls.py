@@ -95,10 +95,13 @@ def total_count(text: Column | str, word: str = "oglasa") -> Column:
     return F.replace(F.when(num != "", num), F.lit("."), F.lit("")).try_cast("bigint")
 
 
-def page_count(total: Column | str, cap: int = S.DEFAULT_MAX_PAGES_PER_SOURCE, page_size: int = S.PAGE_SIZE) -> Column:
-    """Pages to visit: cap when the total is unknown, else min(max(1, ceil(total /
-    page_size)), cap)."""
+def page_count(
+    total: Column | str, cap: int | None = None, page_size: int = S.PAGE_SIZE, unknown: int = S.DEFAULT_MAX_PAGES_PER_SOURCE
+) -> Column:
+    """Pages to visit: max(1, ceil(total / page_size)), no more than ``cap`` if one is
+    given; of a source whose total is unknown, ``cap`` or else ``unknown`` pages are tried."""
     t = _col(total)
-    return F.when(t.isNull(), F.lit(cap)).otherwise(
-        F.least(F.greatest(F.lit(1), F.ceil(t / F.lit(float(page_size))).cast("int")), F.lit(cap))
-    )
+    pages = F.greatest(F.lit(1), F.ceil(t / F.lit(float(page_size))).cast("int"))
+    if cap is None:
+        return F.when(t.isNull(), F.lit(unknown)).otherwise(pages)
+    return F.when(t.isNull(), F.lit(cap)).otherwise(F.least(pages, F.lit(cap)))

@@ -47,13 +47,20 @@ PARTS = T.StructType(
 
 def _parts_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
-        parts = [H.listing_parts(h) for h in pdf["html"]]
-        yield pd.DataFrame({"url": pdf["url"], "parts": parts})
+        found = [_parts_or_error(h) for h in pdf["html"]]
+        yield pd.DataFrame({"url": pdf["url"], "parts": [p for p, _ in found], "error": [e for _, e in found]})
+
+
+def _parts_or_error(html: str | None) -> tuple[dict | None, str | None]:
+    try:
+        return H.listing_parts(html), None
+    except Exception as error:  # noqa: BLE001 - one bad page is one error row, not a failed job
+        return None, f"{type(error).__name__}: {error}"
 
 
 def page_parts(pages: DataFrame) -> DataFrame:
-    """Arrow DOM step: (url, parts struct). Only url and html cross into Python."""
-    schema = T.StructType([T.StructField("url", T.StringType()), T.StructField("parts", PARTS)])
+    """Arrow DOM step: (url, parts struct, error). Only url and html cross into Python."""
+    schema = T.StructType([T.StructField("url", T.StringType()), T.StructField("parts", PARTS), T.StructField("error", T.StringType())])
     ship_package(pages.sparkSession)
     return pages.select("url", "html").mapInPandas(_parts_batches, schema)
 
@@ -166,11 +173,17 @@ def location_part(items: Column, i: int) -> Column:
 
 
 def extract_listings(pages: DataFrame) -> DataFrame:
-    """pages(url, html) -> the 13 listing columns (numbers as double, null when blank)."""
+    """pages(url, html) -> the 13 listing columns (numbers as double, null when blank) of
+    the pages that can be parsed."""
+    return split_failures(extract_results(pages))[0]
+
+
+def extract_results(pages: DataFrame) -> DataFrame:
+    """X1 with ``error``: what kept a page from being parsed (S8), null for a listing."""
     p = page_parts(pages)
     main = detail_entries(F.col("parts.main_items"))
     amen = detail_entries(F.col("parts.amenity_items"))
-    p = p.select("url", "parts", main.alias("_main"), amen.alias("_amen"), amenity_flags(F.col("parts.amenity_items")).alias("_flags"))
+    p = p.select("url", "parts", "error", main.alias("_main"), amen.alias("_amen"), amenity_flags(F.col("parts.amenity_items")).alias("_flags"))
     m, a = F.col("_main"), F.col("_amen")
     heating = first_present(lookup(m, S.KEY_HEATING), lookup(a, S.KEY_HEATING))
     return p.select(
@@ -187,6 +200,7 @@ def extract_listings(pages: DataFrame) -> DataFrame:
         floor_value(m, a).alias("raw_floor_string"),
         safe_float(lookup(a, S.KEY_YEAR)).alias("year_built"),
         F.col("url"),
+        F.col("error"),
     )
 
 
@@ -290,9 +304,9 @@ def resume_anti_join(urls: DataFrame, scraped: DataFrame, order_col: str = "line
     return todo
 
 
-def page_jobs(sources: DataFrame, total_col: str = "total", cap: int = S.DEFAULT_MAX_PAGES_PER_SOURCE) -> DataFrame:
-    """One row per extra page (2..n) of each source; ``sequence`` only when n >= 2
-    (``sequence(2, 1)`` would count down)."""
+def page_jobs(sources: DataFrame, total_col: str = "total", cap: int | None = None) -> DataFrame:
+    """One row per extra page (2..n) of each source, all of them unless ``cap`` is given;
+    ``sequence`` only when n >= 2 (``sequence(2, 1)`` would count down)."""
     n = page_count(total_col, cap)
     jobs = sources.withColumn("_n", n).filter(F.col("_n") >= 2)
     jobs = jobs.withColumn("page", F.explode(F.sequence(F.lit(2), F.col("_n"))))

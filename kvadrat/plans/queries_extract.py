@@ -322,7 +322,7 @@ def x21(spark, sf):
     "x22_page_jobs",
     "select url as source_name, n::int as page, "
     + _page_sql("url", "n")
-    + " as url from (select url, least(greatest(1, ceil(length(html) / 50.0)::int), 200) as np from pages), "
+    + " as url from (select url, greatest(1, ceil(length(html) / 50.0)::int) as np from pages), "
     "lateral (select unnest(generate_series(2, np)) as n) where np >= 2",
 )
 def x22(spark, sf):

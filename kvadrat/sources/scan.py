@@ -1,24 +1,18 @@
-"""Scan helpers."""
+"""Reading tables that may not be there yet."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin a scan that yields fewer partitions than the cluster has task slots.
 
-    A file written as one row group is one split, so all work before the first shuffle
-    would run in a single task. On a large input split into many files/row groups this is
-    a no-op (no extra shuffle); it only fires when the split count is below the core
-    count. Filters and column pruning still reach the scan (Catalyst pushes them through
-    the repartition)."""
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
-
-
-def read_parquet(spark: SparkSession, path: str, spread_small: bool = True) -> DataFrame:
-    df = spark.read.parquet(path)
-    return spread(df) if spread_small else df
+def if_present(read: Callable[[], DataFrame]) -> DataFrame | None:
+    """The frame, or None when its path does not exist; any other failure is raised."""
+    try:
+        return read()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None

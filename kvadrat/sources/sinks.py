@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from kvadrat import schema as S
 from kvadrat.functions.urls import canonicalize_url
 from kvadrat.sources.listings import position_order
+from kvadrat.sources.scan import if_present
 
 
 # --- S6: URL lists ------------------------------------------------------------------
@@ -75,12 +76,8 @@ def save_models(spark: SparkSession, models: dict, best_name: str, out_dir: str)
 
 
 def _registry(spark: SparkSession, out_dir: str) -> DataFrame | None:
-    try:
-        return spark.read.schema(
-            "model string, model_key string, path string, is_best boolean, registry_order int"
-        ).json(f"{out_dir}/registry")
-    except Exception:  # noqa: BLE001 - absent registry
-        return None
+    schema = "model string, model_key string, path string, is_best boolean, registry_order int"
+    return if_present(lambda: spark.read.schema(schema).json(f"{out_dir}/registry"))
 
 
 def load_best(spark: SparkSession, out_dir: str) -> tuple[str, PipelineModel]:

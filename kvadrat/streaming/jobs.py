@@ -1,6 +1,7 @@
 """Structured Streaming jobs.
 
-R1 ingests fetched pages, extracts listings and appends only URLs not stored before. The
+R1 ingests fetched pages and appends the listings of URLs not stored before; only their pages
+are parsed, once, and pages that cannot be parsed go to a side output. The
 listing model has no event time, so a ``dropDuplicates`` state would grow without bound;
 the default mode therefore checks each micro-batch against the stored table inside
 ``foreachBatch`` (state lives in the table, which can also be seeded by a batch backfill).
@@ -17,18 +18,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from kvadrat.operators import extraction as X
 from kvadrat.operators import scoring as P
+from kvadrat.sources.scan import if_present
 
 
-def _stored(spark: SparkSession, path: str, schema, before_batch: int) -> DataFrame | None:
-    try:
-        df = spark.read.schema(schema).parquet(path)
-    except Exception:  # noqa: BLE001 - nothing stored yet
-        return None
-    return df.filter(F.col("batch_id") < before_batch)
+def _stored_urls(spark: SparkSession, path: str, before_batch: int) -> DataFrame | None:
+    df = if_present(lambda: spark.read.schema("url string, batch_id long").parquet(path))
+    return None if df is None else df.filter(F.col("batch_id") < before_batch).select("url")
 
 
 def ingest_pages(
@@ -38,34 +36,38 @@ def ingest_pages(
     checkpoint: str,
     mode: str = "anti_join",
     available_now: bool = True,
+    failures: str | None = None,
 ):
-    """Pages stream -> listings not yet stored (by url) -> append to ``sink``."""
-    listings = X.extract_listings(pages_stream)
+    """Pages stream -> listings not yet stored (by url) -> append to ``sink``; url and
+    error of pages that cannot be parsed go to ``failures`` if it is given. Of a batch's pages
+    with one url, that with the smallest html is taken."""
     if mode == "state":
         q = (
-            listings.dropDuplicates(["url"])
+            X.extract_listings(pages_stream.dropDuplicates(["url"]))
             .writeStream.format("parquet")
             .option("path", sink)
             .option("checkpointLocation", checkpoint)
             .outputMode("append")
         )
     else:
-        cols = list(listings.columns)
-        schema = T.StructType(list(listings.schema.fields) + [T.StructField("batch_id", T.LongType())])
 
         def write_batch(batch: DataFrame, batch_id: int) -> None:
-            s = batch.sparkSession
-            fresh = batch.dropDuplicates(["url"])
-            stored = _stored(s, sink, schema, batch_id)
+            fresh = batch.groupBy("url").agg(F.min("html").alias("html"))
+            stored = _stored_urls(batch.sparkSession, sink, batch_id)
             if stored is not None:
                 # probe the stored URLs with this batch's URLs (the small side, which a
                 # semi join may broadcast), then drop the few hits from the batch: the
                 # stored table is scanned (url column only) but never shuffled
-                seen = stored.select("url").join(fresh.select("url"), "url", "left_semi")
+                seen = stored.join(fresh.select("url"), "url", "left_semi")
                 fresh = fresh.join(seen, "url", "left_anti")
-            fresh.select(*cols).write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
+            results = X.extract_results(fresh).persist()
+            ok, failed = X.split_failures(results)
+            ok.write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
+            if failures is not None:
+                failed.write.mode("overwrite").parquet(f"{failures}/batch_id={batch_id}")
+            results.unpersist()
 
-        q = listings.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
+        q = pages_stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     q = q.trigger(availableNow=True) if available_now else q.trigger(processingTime="30 seconds")
     return q.start()
 
