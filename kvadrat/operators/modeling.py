@@ -305,7 +305,7 @@ def _regressor(name: str, label: str, pred: str, sizes: Sizes, max_bins: int):
             maxBins=max_bins, seed=seed, **common,
         ),
         "hist_gradient_boosting": lambda: GBTRegressor(
-            maxIter=sizes.hgb_iter, stepSize=0.08, maxDepth=5, minInstancesPerNode=20, maxBins=max(255, max_bins),
+            maxIter=sizes.hgb_iter, stepSize=0.08, maxDepth=5, minInstancesPerNode=20, maxBins=255,
             lossType="squared", seed=seed, **common,
         ),
         "catboost": lambda: GBTRegressor(
@@ -345,7 +345,9 @@ def build_model_pipeline(
     base = model_key[: -len(S.LOG_TARGET_SUFFIX)] if log_target else model_key
     if base not in SUPPORTED_MODELS:
         raise ValueError(f"Unknown model '{base}'. Supported models: {', '.join(SUPPORTED_MODELS)}")
-    # the native-category booster works on indexed categories (nominal splits), no one-hot
+    # the native-category booster works on indexed categories (nominal splits, which need a bin
+    # for each category), no one-hot; the others have numeric features only and keep fixed bins
+    max_bins = max_bins if base == "catboost" else 32
     stages = preprocessing_stages(one_hot=base != "catboost", scale=base != "catboost")
     if log_target:
         stages = [SQLTransformer(statement=f"SELECT *, log1p({label}) AS _log_label FROM __THIS__")] + stages
@@ -423,7 +425,8 @@ def train_candidates(
         fitted = dict(fit(s) for s in specs)
     fitted = {name: fitted[name] for name, _ in specs}
     preds = predictions_long(fitted, test, ["_row"])
-    metrics = rank_models(regression_metrics(preds))
+    check_metrics(preds)
+    metrics = rank_models(checkpointed(regression_metrics(preds)))  # one row per model, scored once
     best = metrics.filter(F.col("rank_by_mae") == 1).first()
     counts = split.groupBy("is_test").count().collect()
     n = {r["is_test"]: r["count"] for r in counts}

@@ -66,15 +66,16 @@ def m2(spark, sf):
 
 
 def _standardize_sql() -> str:
-    parts = []
-    for c in S.MODEL_NUMERIC_FEATURES:
-        filled = f"coalesce({c}::double, (select {qc(c, 0.5)} from train))"
-        parts.append(
-            f"select '{c}' as column_name, {_re(f'avg({filled})')} as mean, {_re(f'stddev_pop({filled})')} as std, "
-            f"{_re(f'max(({filled} - (select avg({filled}) from train)) / nullif((select stddev_pop({filled}) from train), 0))')} as max_scaled "
-            "from train"
-        )
-    return " union all ".join(parts)
+    cols = S.MODEL_NUMERIC_FEATURES
+    medians = ", ".join(f"{qc(c, 0.5)} as {c}_med" for c in cols)
+    filled = ", ".join(f"coalesce({c}::double, {c}_med) as {c}" for c in cols)
+    stats = ", ".join(f"avg({c}) as {c}_mean, stddev_pop({c}) as {c}_std, max({c}) as {c}_max" for c in cols)
+    rows = [
+        f"select '{c}' as column_name, {_re(f'{c}_mean')} as mean, {_re(f'{c}_std')} as std, "
+        f"{_re(f'({c}_max - {c}_mean) / nullif({c}_std, 0)')} as max_scaled from stats"
+        for c in cols
+    ]
+    return f", med as (select {medians} from train), filled as (select {filled} from train, med), stats as (select {stats} from filled) " + " union all ".join(rows)
 
 
 @register("m3_standardize", q(_SPLIT_SQL + _standardize_sql()))

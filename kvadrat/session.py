@@ -40,20 +40,23 @@ def get_session(
     return spark
 
 
-_LOCAL_CHECKPOINT: dict[int, str] = {}
+_LOCAL_CHECKPOINT: dict[str, str] = {}
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint folder.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as is.
-    Only when it is unset (local runs, tests) a fresh scratch folder is created.
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as is; without it
+    a cluster session is refused, for executors would write to their own disks. A local session
+    (tests) gets a fresh scratch folder when it is unset.
     """
     configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if configured:
         spark.sparkContext.setCheckpointDir(configured)
         return configured
-    key = id(spark.sparkContext)
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("Set spark.checkpoint.dir to a folder that all executors share.")
+    key = spark.sparkContext.applicationId
     if key not in _LOCAL_CHECKPOINT:
         _LOCAL_CHECKPOINT[key] = tempfile.mkdtemp(prefix="kvadrat-ckpt-", dir="/tmp")
         spark.sparkContext.setCheckpointDir(_LOCAL_CHECKPOINT[key])
@@ -72,7 +75,7 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-_SHIPPED: set[int] = set()
+_SHIPPED: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -82,7 +85,7 @@ def ship_package(spark: SparkSession) -> None:
     ``PYTHONPATH``. Other masters get the package as a zip through ``addPyFile`` (what
     ``spark-submit --py-files`` does)."""
     sc = spark.sparkContext
-    if id(sc) in _SHIPPED:
+    if sc.applicationId in _SHIPPED:
         return
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     if sc.master.startswith("local"):
@@ -95,4 +98,4 @@ def ship_package(spark: SparkSession) -> None:
         staging = tempfile.mkdtemp(prefix="kvadrat-pkg-")
         archive = shutil.make_archive(os.path.join(staging, "kvadrat"), "zip", root, "kvadrat")
         sc.addPyFile(archive)
-    _SHIPPED.add(id(sc))
+    _SHIPPED.add(sc.applicationId)
