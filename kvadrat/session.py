@@ -34,6 +34,8 @@ def get_session(
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", os.environ.get("KVADRAT_DRIVER_MEMORY", "16g"))
     )
+    if (master or "local").startswith("local"):  # the test tables are one row group each
+        builder = builder.config("spark.kvadrat.scanPartitions", cpus)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
