@@ -49,7 +49,7 @@ def _load_all() -> None:
     # modules that register further queries on import
     import importlib
 
-    for mod in ["queries_stats", "queries_model", "queries_score", "queries_extract", "queries_sources"]:
+    for mod in ["queries_stats", "queries_model", "queries_score", "queries_extract", "queries_pages", "queries_sources"]:
         try:
             importlib.import_module(f"kvadrat.plans.{mod}")
         except ModuleNotFoundError as exc:
