@@ -377,16 +377,18 @@ def _pivot_rounds(lists: DataFrame, sets: DataFrame, t: Fraction, rounds: int) -
     return links, open_
 
 
-def _open_pairs(judged: DataFrame, comps: DataFrame, info: DataFrame, t: Fraction) -> DataFrame:
+def _open_pairs(judged: list[DataFrame], comps: DataFrame, info: DataFrame, t: Fraction) -> DataFrame:
     """Pairs of a long list that may link though one is no neighbour of the pivot, and that are
-    not in one component already."""
+    not in one component already; all rounds in one plan, a list and its round being the key."""
     comp = comps.select(F.col("doc_id").alias("a"), "component")
-    rows = judged.join(comp, "a", "left").withColumn("component", F.coalesce("component", "a"))
-    mixed = rows.groupBy("sig").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("sig")
-    rows = rows.join(mixed, "sig").join(info.select("a", *_BITS), "a")
+    rows = _union([j.withColumn("turn", F.lit(i)) for i, j in enumerate(judged)])
+    rows = rows.join(comp, "a", "left").withColumn("component", F.coalesce("component", "a"))
+    key = ["turn", "sig"]
+    mixed = rows.groupBy(key).agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select(key)
+    rows = rows.join(mixed, key).join(info.select("a", *_BITS), "a")
     names = ("a", "n", "last", "spare", "rank", "d", "in", "component", *_BITS)
-    x = rows.select("sig", *(F.col(c).alias(f"{c}1") for c in names))
-    y = rows.select("sig", *(F.col(c).alias(f"{c}2") for c in names))
+    x = rows.select(*key, *(F.col(c).alias(f"{c}1") for c in names))
+    y = rows.select(*key, *(F.col(c).alias(f"{c}2") for c in names))
     sized = (F.least("n1", "n2") * t.denominator >= F.greatest("n1", "n2") * t.numerator)
     reach = F.abs(F.col("d1") - F.col("d2")) <= float(1 - t) + 1e-9
     sides = (F.col("in1") & ~F.col("in2")) | (F.col("in1").isNull() & F.col("in2").isNull() & (F.col("a1") < F.col("a2")))
@@ -397,7 +399,7 @@ def _open_pairs(judged: DataFrame, comps: DataFrame, info: DataFrame, t: Fractio
         F.col("spare2") + F.col("n2") - overlap >= F.col("rank2") - 1)
     apart = sum((F.bit_count(F.col(f"{b}1").bitwiseXOR(F.col(f"{b}2"))) for b in _BITS), F.lit(0))
     enough &= F.coalesce(apart, F.lit(0)) <= F.col("n1") + F.col("n2") - 2 * overlap
-    pairs = x.join(y, "sig").where(sides & reach & sized & enough & (F.col("component1") != F.col("component2")))
+    pairs = x.join(y, key).where(sides & reach & sized & enough & (F.col("component1") != F.col("component2")))
     return pairs.select(F.least("a1", "a2").alias("a"), F.greatest("a1", "a2").alias("b")).distinct()
 
 
@@ -464,13 +466,14 @@ def near_duplicates(
     links.append(sized.join(reps, ["k1", "k2"]).where("doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
                  .join(sized.groupBy("doc_id").agg(F.countDistinct("k1").alias("c")).where("c > 1").select(F.col("doc_id").alias("b")), "b")
                  .select("a", "b"))
-    edges = _union(links)
+    edges = stored(_union(links), "edges")
     comps = components(edges)
-    more = _union([_open_pairs(j, comps, info, t) for j in judged]).distinct()
+    more = _open_pairs(judged, comps, info, t)
     late = stored(_similar(more, sets).where(_linked(t)).select("a", "b"), "late-links")
     if not late.isEmpty():
         edges = edges.union(late)
-        comps = components(edges)
+        # what is joined so far stays joined as stars, so few rounds are left
+        comps = components(comps.select(F.col("component").alias("a"), F.col("doc_id").alias("b")).union(late))
     degree = edges.select("a", "b").union(edges.select("b", "a")).distinct().groupBy(F.col("a").alias("rep")).agg(F.count(F.lit(1)).alias("n_links"))
 
     label = reps.join(comps, reps["rep"] == comps["doc_id"], "left").select("k1", "k2", "rep", F.coalesce("component", "rep").alias("component"))
