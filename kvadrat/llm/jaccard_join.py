@@ -292,8 +292,9 @@ def _counted(pairs: DataFrame, info: DataFrame, t: Fraction) -> DataFrame:
 
 
 def _sets_of(rows: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
-    """(doc_id, shingles) of the wanted ids. A bitmap of at most 2 MB, by id hash, spares hashing
-    and moving most other documents; the join decides."""
+    """(doc_id, shingles) of the wanted ids and of a few more: a bitmap of at most 2 MB, by id
+    hash, spares hashing most other documents. No join follows that would shuffle the shingles
+    to drop the rest: pairs meet only the ids they name."""
     bits = min(1 << 24, max(1 << 10, 16 * wanted.count()))
     slot = F.pmod(F.xxhash64("doc_id"), F.lit(bits)).cast("int")
     bitmap = np.zeros(bits, bool)
@@ -310,7 +311,7 @@ def _sets_of(rows: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([step.column("doc_id"), lists], names=["doc_id", "shingles"])
 
     made = rows.withColumn("slot", slot).mapInArrow(make, "doc_id long, shingles array<long>")
-    return stored(made.join(wanted, "doc_id", "left_semi"), "shingle-sets")
+    return stored(made, "shingle-sets")
 
 
 def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
