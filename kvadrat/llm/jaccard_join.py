@@ -18,6 +18,12 @@ pivot need no comparison among themselves, and the others go round again with a
 left open are bounded once more by the parity bitmaps of the sets, whose differing bits are at
 most the shingles that differ, and every pair left is compared exactly. Connected components follow by star contraction.
 
+Links lie within components. The edges found so far count them where all lists of a component are
+short. In a component with a member of a long list, where pairs were passed over because they hold
+together anyway, all sets are compared in tiles: bands of set size, in which only neighbours can
+link, are dealt into blocks, each pair of blocks is one task's matrix product, and only the number
+of links of each set leaves it.
+
 Null or empty text, or one without words, has an empty set and is its own component. Rows that
 repeat a doc_id are one document with several sets. A null doc_id links with nothing and gets a
 null component. An empty table gives an empty result.
@@ -43,6 +49,8 @@ MAX_FREQUENT = 300_000
 _LIGHT_MOST = 64
 _FREQUENT = np.uint64(1 << 62)
 _ANY = 1 << 40
+#: Most sets, and shingles in all, that a block of a tile is meant to hold.
+TILE, TILE_SHINGLES = 1024, 1 << 20
 _BITS = [f"bits{i}" for i in range(8)]
 
 
@@ -111,7 +119,7 @@ def _frequent(rows: DataFrame, shingle: int, at_least: int = 24) -> tuple[np.nda
     return values[order], (len(values) - 1 - order).astype(np.uint64)
 
 
-def _keys(ranks: np.ndarray, sets: Sets) -> tuple[np.ndarray, np.ndarray]:
+def _keys(sets: Sets) -> tuple[np.ndarray, np.ndarray]:
     """128-bit key of each row's set."""
     total = lambda v: np.concatenate([[np.uint64(0)], np.cumsum(v, dtype=np.uint64)])
     out = []
@@ -130,7 +138,7 @@ def _members(rows: DataFrame, frequent, shingle: int, t: Fraction) -> DataFrame:
             for step in steps(batch):
                 sets = Sets(step.column("text"), shingle)
                 ranks = _ranked(sets, frequent.value)
-                k1, k2 = _keys(ranks, sets)
+                k1, k2 = _keys(sets)
                 n = sets.size
                 p = n - _need(n, t) + 1
                 last = np.zeros(len(n), np.int64)
@@ -159,7 +167,7 @@ def _prefixes(rows: DataFrame, frequent, shingle: int, t: Fraction) -> DataFrame
             for step in steps(batch):
                 sets = Sets(step.column("text"), shingle)
                 ranks = signed(_ranked(sets, frequent.value))
-                k1, k2 = _keys(ranks, sets)
+                k1, k2 = _keys(sets)
                 p = np.minimum(sets.size - _need(sets.size, t) + 2, sets.size)
                 ends = np.concatenate([[0], np.cumsum(p)])
                 at = np.arange(ends[-1]) + np.repeat(sets.first[:-1] - ends[:-1], p)
@@ -294,7 +302,7 @@ def _counted(pairs: DataFrame, info: DataFrame, t: Fraction) -> DataFrame:
 def _sets_of(rows: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
     """(doc_id, shingles) of the wanted ids and of a few more: a bitmap of at most 2 MB, by id
     hash, spares hashing most other documents. No join follows that would shuffle the shingles
-    to drop the rest: pairs meet only the ids they name."""
+    to drop the rest: pairs meet only the ids they name. k1, k2 name the class of a set."""
     bits = min(1 << 24, max(1 << 10, 16 * wanted.count()))
     slot = F.pmod(F.xxhash64("doc_id"), F.lit(bits)).cast("int")
     bitmap = np.zeros(bits, bool)
@@ -308,9 +316,11 @@ def _sets_of(rows: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
             for step in steps(batch):
                 sets = Sets(step.column("text"), shingle)
                 lists = pa.ListArray.from_arrays(pa.array(sets.first, pa.int32()), pa.array(signed(sets.values)))
-                yield pa.RecordBatch.from_arrays([step.column("doc_id"), lists], names=["doc_id", "shingles"])
+                k1, k2 = _keys(sets)
+                yield pa.RecordBatch.from_arrays(
+                    [step.column("doc_id"), pa.array(k1), pa.array(k2), lists], names=["doc_id", "k1", "k2", "shingles"])
 
-    made = rows.withColumn("slot", slot).mapInArrow(make, "doc_id long, shingles array<long>")
+    made = rows.withColumn("slot", slot).mapInArrow(make, "doc_id long, k1 long, k2 long, shingles array<long>")
     return stored(made, "shingle-sets")
 
 
@@ -404,6 +414,83 @@ def _open_pairs(judged: list[DataFrame], comps: DataFrame, info: DataFrame, t: F
     return pairs.select(F.least("a1", "a2").alias("a"), F.greatest("a1", "a2").alias("b")).distinct()
 
 
+def _tile_links(x: list, y: list | None, t: Fraction) -> tuple[np.ndarray, np.ndarray]:
+    """Links of each set of block ``x`` into ``y`` (None: into ``x`` itself) and back; a block is
+    (values, rows, sizes)."""
+    other = y or x
+    values = np.concatenate([x[0], other[0]])
+    _, place = np.unique(values, return_inverse=True)
+    px, py = place[: len(x[0])], place[len(x[0]) :]
+    cx, cy = (np.bincount(p, minlength=len(values)) for p in (px, py))
+    shared = (cx > 0) & (cy > 0) if y else cx > 1
+    column = np.cumsum(shared) - 1
+    sides = []
+    for (_, row, _), p in ((x, px), (other, py)):
+        use = shared[p]
+        at, row = column[p[use]], row[use]
+        order = np.argsort(at, kind="stable")
+        sides.append((at[order], row[order]))
+    both = np.zeros((len(x[2]), len(other[2])), np.float64)
+    for start in range(0, int(shared.sum()), 2048):
+        dense = []
+        for (at, row), n in zip(sides, both.shape):
+            a, b = np.searchsorted(at, [start, start + 2048])
+            part = np.zeros((n, 2048), np.float32)
+            part[row[a:b], at[a:b] - start] = 1
+            dense.append(part)
+        both += dense[0] @ dense[1].T
+    both = both.astype(np.int64)
+    linked = both * t.denominator >= (x[2][:, None] + other[2][None, :] - both) * t.numerator
+    if y is None:
+        np.fill_diagonal(linked, False)
+        return linked.sum(1), np.zeros(0, np.int64)
+    return linked.sum(1), linked.sum(0)
+
+
+def _degrees(classes: DataFrame, sets: DataFrame, t: Fraction, tile: int) -> DataFrame:
+    """(k1, k2, n_links) of classes (k1, k2, rep, n, component, m): every two sets of a component
+    that can link by size meet in one tile. m is the number of classes of the component."""
+    width = float(np.log(t.denominator / t.numerator)) * (1 + 1e-9) if t < 1 else 1.0
+    band = F.when(F.col("m") <= tile, 0).otherwise(F.floor(F.log(F.col("n").cast("double")) / width)).cast("int")
+    banded = classes.withColumn("band", band)
+    blocks = F.ceil(F.greatest(F.count(F.lit(1)) / F.lit(tile), F.sum("n") / F.lit(TILE_SHINGLES))).cast("int")
+    dealt = stored(banded.groupBy("component", "band").agg(blocks.alias("g")), "blocks")
+    members = banded.join(dealt, ["component", "band"]).withColumn("slot", F.pmod(F.xxhash64("k1", "k2"), F.col("g")).cast("int"))
+    members = stored(members.select("component", "band", "slot", "g", "k1", "k2", "rep"), "blocked")
+    names = ("component", "k1", "k2", "rep")
+    slots, one = F.sequence(F.lit(0), F.col("g") - 1), F.lit(1)
+    own = members.select(*names, F.col("band").alias("low"), F.col("band").alias("high"), "slot", F.explode(slots).alias("j"))
+    own = own.select(*names, "low", "high", F.least("slot", "j").alias("i"), F.greatest("slot", "j").alias("j"),
+                     F.when(F.col("slot") <= F.col("j"), 0).otherwise(1).alias("side"))
+    near = lambda by: dealt.select("component", (F.col("band") + by).alias("band"), "g")
+    bare = members.drop("g")
+    above = bare.join(near(-1), ["component", "band"]).select(
+        *names, F.col("band").alias("low"), (F.col("band") + one).alias("high"), F.col("slot").alias("i"), F.explode(slots).alias("j"), F.lit(0).alias("side"))
+    below = bare.join(near(1), ["component", "band"]).select(
+        *names, (F.col("band") - one).alias("low"), F.col("band").alias("high"), F.explode(slots).alias("i"), F.col("slot").alias("j"), F.lit(1).alias("side"))
+    shown = own.union(above).union(below)
+    met = shown.join(sets.withColumnRenamed("doc_id", "rep"), ["rep", "k1", "k2"]).drop("rep")
+
+    def compare(table: pa.Table) -> pa.Table:
+        side = table.column("side").to_numpy()
+        sides = []
+        for s in (0, 1):
+            part = table.filter(pa.array(side == s))
+            keys = np.stack([part.column(k).to_numpy() for k in ("k1", "k2")], 1)
+            keys, first = np.unique(keys, axis=0, return_index=True)  # rows of one text are one set
+            lists = part.column("shingles").take(pa.array(first)).combine_chunks()
+            size = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+            sides.append((keys, [lists.flatten().to_numpy(), np.repeat(np.arange(len(size)), size), size]))
+        (kx, x), (ky, y) = sides
+        within = table.column("low")[0] == table.column("high")[0] and table.column("i")[0] == table.column("j")[0]
+        nx, ny = _tile_links(x, None if within else y, t)
+        keys, n = (kx, nx) if within else (np.concatenate([kx, ky]), np.concatenate([nx, ny]))
+        return pa.table({"k1": keys[:, 0], "k2": keys[:, 1], "n_links": n.astype(np.int64)})
+
+    counted = met.groupBy("component", "low", "high", "i", "j").applyInArrow(compare, "k1 long, k2 long, n_links long")
+    return counted.groupBy("k1", "k2").agg(F.sum("n_links").alias("n_links"))
+
+
 def near_duplicates(
     docs: DataFrame,
     threshold: Fraction = THRESHOLD,
@@ -412,9 +499,10 @@ def near_duplicates(
     rounds: int = 3,
     id_col: str = "doc_id",
     text_col: str = "text",
+    tile: int = TILE,
 ) -> DataFrame:
-    """One row per document row: doc_id, n_shingles, component_id, n_links (linked classes that
-    were compared; 0 for a class that links with nothing but its copies)."""
+    """One row per document row: doc_id, n_shingles, component_id, n_links (all other classes whose
+    set links with the row's; 0 for a class that links with nothing but its copies)."""
     t, spark = threshold, docs.sparkSession
     rows = id_text(docs, id_col, text_col)
     known = rows.where("doc_id IS NOT NULL")
@@ -464,9 +552,9 @@ def near_duplicates(
     links, judged = _pivot_rounds(members_of, sets, t, rounds)
     links.append(stored(_similar(candidates, sets).where(_linked(t)).select("a", "b"), "links"))
     # an id with several sets holds their classes together
-    links.append(sized.join(reps, ["k1", "k2"]).where("doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
-                 .join(sized.groupBy("doc_id").agg(F.countDistinct("k1").alias("c")).where("c > 1").select(F.col("doc_id").alias("b")), "b")
-                 .select("a", "b"))
+    several = sized.join(reps, ["k1", "k2"]).join(
+        sized.groupBy("doc_id").agg(F.countDistinct("k1").alias("c")).where("c > 1").select("doc_id"), "doc_id")
+    links.append(several.where("doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b")))
     edges = stored(_union(links), "edges")
     comps = components(edges)
     more = _open_pairs(judged, comps, info, t)
@@ -475,10 +563,25 @@ def near_duplicates(
         edges = edges.union(late)
         # what is joined so far stays joined as stars, so few rounds are left
         comps = components(comps.select(F.col("component").alias("a"), F.col("doc_id").alias("b")).union(late))
-    degree = edges.select("a", "b").union(edges.select("b", "a")).distinct().groupBy(F.col("a").alias("rep")).agg(F.count(F.lit(1)).alias("n_links"))
+    edges = edges.select("a", "b").union(edges.select("b", "a")).distinct()
+    degree = edges.groupBy(F.col("a").alias("rep")).agg(F.count(F.lit(1)).alias("n_edges"))
 
     label = reps.join(comps, reps["rep"] == comps["doc_id"], "left").select("k1", "k2", "rep", F.coalesce("component", "rep").alias("component"))
-    label = label.join(degree, "rep", "left").drop("rep")
+    # ids with several sets: their edges are not those of one set
+    several = several.select("k1", "k2").distinct().withColumn("several", F.lit(True))
+    label = label.join(several, ["k1", "k2"], "left").join(
+        long.select(F.col("a").alias("rep"), F.lit(True).alias("long")).distinct(), "rep", "left")
+    label = label.join(degree, "rep", "left")
+    label = stored(label, "labels")
+    open_ = label.groupBy("component").agg(
+        F.count(F.lit(1)).alias("m"), F.max("long").alias("long"), F.max("several").alias("several")
+    ).where("m > 1 AND (several OR long AND m > 2)").select("component", "m")
+    sizes = sized.groupBy("k1", "k2").agg(F.first("n").alias("n"))
+    inside = label.join(open_, "component").join(sizes, ["k1", "k2"]).select("k1", "k2", "rep", "n", "component", "m")
+    tiled = _degrees(stored(inside, "inside"), sets, t, tile)
+    # a class that no link holds has no row in a tile of its own and no edge but those of its id
+    label = label.join(tiled, ["k1", "k2"], "left").select(
+        "k1", "k2", "component", F.coalesce("n_links", F.when(F.col("several").isNull(), F.col("n_edges"))).alias("n_links"))
     return members.join(label, ["k1", "k2"], "left").select(
         "doc_id",
         F.col("n").alias("n_shingles"),

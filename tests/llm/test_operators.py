@@ -129,6 +129,30 @@ def test_jaccard_join(docs, long_list, rounds):
             assert (r["n_shingles"], r["component_id"]) == (len(sets[r["doc_id"]]), find(r["doc_id"]))
 
 
+def brute_links(docs):
+    """Number of other sets that each set links with."""
+    sets = {shingles(t) for i, t in docs if i is not None}
+    link = lambda x, y: x and y and x != y and 100 * len(x & y) >= 75 * len(x | y)
+    return {x: sum(bool(link(x, y)) for y in sets) for x in sets}
+
+
+@pytest.mark.parametrize(("long_list", "tile"), [(64, 1024), (64, 7), (2, 16)])
+def test_jaccard_links(spark, long_list, tile):
+    r = random.Random(5)
+    word = lambda: "w%d" % r.randrange(10**6)
+    base, docs = [word() for _ in range(150)], list(DOCS)
+    for i in range(1000, 1100):  # more than a short list holds, all linked
+        words = list(base)
+        words[r.randrange(150)] = word()
+        docs.append((i, " ".join(words[: r.choice([150, 150, 135, 120])])))
+    docs += [(1100, docs[-1][1]), (1100, docs[-1][1])]
+    rows = jaccard_join.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), long_list=long_list, tile=tile)
+    want, text = brute_links(docs), dict(docs)
+    assert max(want.values()) > 64
+    for row in rows.where("doc_id IS NOT NULL").collect():
+        assert row["n_links"] == want[shingles(text[row["doc_id"]])], row
+
+
 def test_relative_parse(docs):
     rows = relative_parse.parse(docs).collect()
     first, want = {}, collections.defaultdict(list)
