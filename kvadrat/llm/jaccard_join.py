@@ -358,7 +358,7 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 #: Rows of long lists; last: where the set's prefix ends; spare: its prefix shingles in lists of
-#: two or more, less the prefix; rank: number of the list among the set's long lists.
+#: two or more, less the prefix; rank: number of the list among the set's long lists of its kind, light or heavy.
 _LONG = ("sig", "a", "n", "last", "spare", "rank")
 
 
@@ -547,8 +547,9 @@ def near_duplicates(
     wanted = candidates.select(F.col("a").alias("doc_id")).union(candidates.select("b")).union(long.select("a")).distinct()
     sets = _sets_of(known, wanted, shingle)
     members_of = long.join(info.select("a", "last", "spare"), "a").select(
-        "sig", "a", "n", "last", F.when(F.col("light"), F.lit(_ANY)).otherwise(F.col("spare")).alias("spare")).distinct()
-    members_of = members_of.withColumn("rank", F.row_number().over(Window.partitionBy("a").orderBy("sig")))
+        "sig", "a", "n", "last", "light", F.when(F.col("light"), F.lit(_ANY)).otherwise(F.col("spare")).alias("spare")).distinct()
+    # the bound counts heavy lists: subsets of a set that is light too take no rank from them
+    members_of = members_of.withColumn("rank", F.row_number().over(Window.partitionBy("a", "light").orderBy("sig"))).drop("light")
     links, judged = _pivot_rounds(members_of, sets, t, rounds)
     links.append(stored(_similar(candidates, sets).where(_linked(t)).select("a", "b"), "links"))
     # an id with several sets holds their classes together

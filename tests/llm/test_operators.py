@@ -153,6 +153,36 @@ def test_jaccard_links(spark, long_list, tile):
         assert row["n_links"] == want[shingles(text[row["doc_id"]])], row
 
 
+def brute_components(docs):
+    """Smallest id that each id reaches; an id holds all its sets together."""
+    sets, least = [(i, shingles(t)) for i, t in docs], {i: i for i, _ in docs}
+    pairs = [(i, j) for i, x in sets for j, y in sets if i < j and 100 * len(x & y) >= 75 * len(x | y)]
+    for _ in least:
+        before = dict(least)
+        for i, j in pairs:
+            least[i] = least[j] = min(least[i], least[j])
+        if before == least:
+            return least
+
+
+@pytest.mark.parametrize("rounds", [1, 3])
+def test_jaccard_boundary(spark, monkeypatch, rounds):
+    """Lists of subsets take no rank from lists of shingles: sets are light, heavy and both."""
+    monkeypatch.setattr(jaccard_join, "_boundary", lambda members, t: 64)
+    r, docs = random.Random(8), []
+    word = lambda: "w%d" % r.randrange(10**6)
+    for group in range(6):
+        base, foot = [word() for _ in range(66)], [word() for _ in range(8)]
+        for k in range(48):
+            words = list(base)
+            words[r.randrange(66)] = word()
+            docs.append((1000 * group + k, " ".join(words if k < 40 else words + foot)))
+    rows = jaccard_join.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), long_list=2, rounds=rounds).collect()
+    want, links = brute_components(docs), brute_links(docs)
+    assert {row["doc_id"]: row["component_id"] for row in rows} == want
+    assert {row["doc_id"]: row["n_links"] for row in rows} == {i: links[shingles(t)] for i, t in docs}
+
+
 def test_relative_parse(docs):
     rows = relative_parse.parse(docs).collect()
     first, want = {}, collections.defaultdict(list)
