@@ -287,16 +287,17 @@ def _overlap(sizes: Column, t: Fraction) -> Column:
 
 def _counted(pairs: DataFrame, info: DataFrame, t: Fraction) -> DataFrame:
     """Heavy pairs that share as many listed prefix shingles as a link requires. The prefix that
-    ends first lies wholly before the other's end, so all its shared shingles are in both."""
+    ends first lies wholly before the other's end, so all its shared shingles are in both. Ids
+    with several sets have no one size or end: their pairs pass without a count."""
     counts = pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("m"))
     for side in ("a", "b"):
-        mine = info.select(*(F.col(c).alias(c if c == side else f"{c}_{side}") for c in (side, "n", "last", "short")))
+        mine = info.select(*(F.col(c).alias(c if c == side else f"{c}_{side}") for c in (side, "n", "last", "short", "several")))
         counts = counts.join(mine, side)
     overlap = _overlap(F.col("n_a") + F.col("n_b"), t)
     need_a = F.col("short_a") - (F.col("n_a") - overlap)
     need_b = F.col("short_b") - (F.col("n_b") - overlap)
     need = F.when(F.col("last_a") <= F.col("last_b"), need_a).otherwise(need_b)
-    return counts.where(F.col("m") >= need).select("a", "b")
+    return counts.where((F.col("m") >= need) | F.col("several_a") | F.col("several_b")).select("a", "b")
 
 
 def _sets_of(rows: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
@@ -358,8 +359,9 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 #: Rows of long lists; last: where the set's prefix ends; spare: its prefix shingles in lists of
-#: two or more, less the prefix; rank: number of the list among the set's long lists of its kind, light or heavy.
-_LONG = ("sig", "a", "n", "last", "spare", "rank")
+#: two or more, less the prefix; rank: number of the list among the set's long lists of its kind, light or heavy;
+#: several: the id has several sets, so its distance to a pivot and its counts bound nothing.
+_LONG = ("sig", "a", "n", "last", "spare", "rank", "several")
 
 
 def _pivot_rounds(lists: DataFrame, sets: DataFrame, t: Fraction, rounds: int) -> tuple[list[DataFrame], list[DataFrame]]:
@@ -397,7 +399,7 @@ def _open_pairs(judged: list[DataFrame], comps: DataFrame, info: DataFrame, t: F
     key = ["turn", "sig"]
     mixed = rows.groupBy(key).agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select(key)
     rows = rows.join(mixed, key).join(info.select("a", *_BITS), "a")
-    names = ("a", "n", "last", "spare", "rank", "d", "in", "component", *_BITS)
+    names = ("a", "n", "last", "spare", "rank", "several", "d", "in", "component", *_BITS)
     x = rows.select(*key, *(F.col(c).alias(f"{c}1") for c in names))
     y = rows.select(*key, *(F.col(c).alias(f"{c}2") for c in names))
     sized = (F.least("n1", "n2") * t.denominator >= F.greatest("n1", "n2") * t.numerator)
@@ -410,7 +412,8 @@ def _open_pairs(judged: list[DataFrame], comps: DataFrame, info: DataFrame, t: F
         F.col("spare2") + F.col("n2") - overlap >= F.col("rank2") - 1)
     apart = sum((F.bit_count(F.col(f"{b}1").bitwiseXOR(F.col(f"{b}2"))) for b in _BITS), F.lit(0))
     enough &= F.coalesce(apart, F.lit(0)) <= F.col("n1") + F.col("n2") - 2 * overlap
-    pairs = x.join(y, key).where(sides & reach & sized & enough & (F.col("component1") != F.col("component2")))
+    bounded = (reach & enough) | F.col("several1") | F.col("several2")
+    pairs = x.join(y, key).where(sides & sized & bounded & (F.col("component1") != F.col("component2")))
     return pairs.select(F.least("a1", "a2").alias("a"), F.greatest("a1", "a2").alias("b")).distinct()
 
 
@@ -526,28 +529,27 @@ def near_duplicates(
 
     # per class: prefix shingles that lie in short lists
     in_long = long.where("NOT light").groupBy("a").agg(F.count(F.lit(1)).alias("n_long"))
-    info = sized.join(reps, ["k1", "k2"]).where("doc_id = rep").groupBy(F.col("doc_id").alias("i")).agg(
-        F.max("n").alias("n"), F.max("last").alias("last"), F.countDistinct("k1").alias("sets"),
-        *(F.max(b).alias(b) for b in _BITS))
+    mine = lambda c: F.max(F.when(F.col("doc_id") == F.col("rep"), F.col(c))).alias(c)
+    info = sized.join(reps, ["k1", "k2"]).groupBy(F.col("doc_id").alias("i")).agg(
+        mine("n"), mine("last"), F.countDistinct("k1").alias("sets"), *(mine(b) for b in _BITS)).where("n IS NOT NULL")
     heavy = pairs.where("NOT light")
     in_short = heavy.select("a", "sig").union(heavy.select("b", "sig")).distinct().groupBy(F.col("a").alias("s")).agg(
         F.count(F.lit(1)).alias("n_short"))
     prefix = F.col("n") - _need(F.col("n"), t) + 1
     n_long, n_short = F.coalesce("n_long", F.lit(0)), F.coalesce("n_short", F.lit(0))
-    # several sets under one id: no count can be asked for
     info = info.join(in_long, info["i"] == in_long["a"], "left").join(in_short, info["i"] == in_short["s"], "left").select(
         "i", "n", "last",
         *(F.when(F.col("sets") == 1, F.col(b)).alias(b) for b in _BITS),
-        F.when(F.col("sets") > 1, F.lit(0)).otherwise(prefix - n_long).alias("short"),
-        F.when(F.col("sets") > 1, F.lit(_ANY)).otherwise(n_long + n_short - prefix).alias("spare"))
+        (prefix - n_long).alias("short"), (n_long + n_short - prefix).alias("spare"),
+        (F.col("sets") > 1).alias("several"))
     info = stored(info.withColumn("a", F.col("i")).withColumnRenamed("i", "b"), "classes")
     candidates = stored(
         _counted(heavy, info, t).union(pairs.where("light").select("a", "b")).distinct(), "candidates")
 
     wanted = candidates.select(F.col("a").alias("doc_id")).union(candidates.select("b")).union(long.select("a")).distinct()
     sets = _sets_of(known, wanted, shingle)
-    members_of = long.join(info.select("a", "last", "spare"), "a").select(
-        "sig", "a", "n", "last", "light", F.when(F.col("light"), F.lit(_ANY)).otherwise(F.col("spare")).alias("spare")).distinct()
+    members_of = long.join(info.select("a", "last", "spare", "several"), "a").select(
+        "sig", "a", "n", "last", "light", "several", F.when(F.col("light"), F.lit(_ANY)).otherwise(F.col("spare")).alias("spare")).distinct()
     # the bound counts heavy lists: subsets of a set that is light too take no rank from them
     members_of = members_of.withColumn("rank", F.row_number().over(Window.partitionBy("a", "light").orderBy("sig"))).drop("light")
     links, judged = _pivot_rounds(members_of, sets, t, rounds)

@@ -183,6 +183,20 @@ def test_jaccard_boundary(spark, monkeypatch, rounds):
     assert {row["doc_id"]: row["n_links"] for row in rows} == {i: links[shingles(t)] for i, t in docs}
 
 
+def test_jaccard_several_sets(spark):
+    """An id with a short and a long text links through either."""
+    r, docs = random.Random(9), []
+    text = lambda n: " ".join("w%d" % r.randrange(10**6) for _ in range(n))
+    for k in range(12):
+        short = text(84)
+        some = [(3 * k + k % 2 + 1, short), (3 * k + k % 2 + 1, text(304)), (3 * k + (k + 1) % 2 + 1, short + " x")]
+        docs += some
+    rows = jaccard_join.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    want, links = brute_components(docs), brute_links(docs)
+    assert {row["doc_id"]: row["component_id"] for row in rows} == want and len(set(want.values())) == 12
+    assert sorted(row["n_links"] for row in rows) == sorted(links[shingles(t)] for _, t in docs)
+
+
 def test_relative_parse(docs):
     rows = relative_parse.parse(docs).collect()
     first, want = {}, collections.defaultdict(list)
