@@ -7,7 +7,9 @@ cost at least ``novelty`` bytes per character cannot be told from what surrounds
 known identifiers, and are reported with kind ``novel``.
 
 The dictionary holds the identifiers that stand near sensitive words, most documents first, at
-most ``dictionary_bytes`` of them; they are counted over all documents. Null or empty text gives
+most ``dictionary_bytes`` of them; they are counted over all documents. Runs of letters and digits
+that could be keys themselves take no part, and other places of a candidate in the text around it
+are blanked before it is measured, so a secret with copies is as novel as one without. Null or empty text gives
 no spans; every row gives one row; rows are judged one by one; an empty table gives an empty
 result. Spans are code points, end exclusive, in order of start, then of kind.
 """
@@ -38,6 +40,8 @@ SENSITIVE = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key",
 _SENSITIVE = re.compile(b"|".join(SENSITIVE))
 _CANDIDATE = re.compile(rb"[A-Za-z0-9+/_=-]{16,}")
 _IDENTIFIER = re.compile(rb"[A-Za-z_][A-Za-z0-9_]{3,}")
+#: Runs as long as a candidate, and values after "=": keys themselves if they mix letters and digits.
+_KEY = re.compile(rb"[A-Za-z0-9+/_-]{16,}|(?<==)[A-Za-z0-9+/_-]+")
 _REACH, _AROUND = 48, 512  # bytes after a sensitive word; bytes of context on either side
 
 
@@ -66,9 +70,17 @@ def candidates(raw: bytes, low: bytes) -> list[tuple[int, int]]:
 
 
 def marginal_bytes(pack, raw: bytes, start: int, end: int) -> int:
-    """Compressed bytes that the string adds to the text around it."""
-    around = raw[max(0, start - _AROUND) : start] + raw[end : end + _AROUND]
-    return len(pack(around + raw[start:end])) - len(pack(around))
+    """Compressed bytes that the string adds to the text around it, other places of it blanked."""
+    text, more = raw[start:end], _AROUND + end - start
+    blank = b" " * len(text)  # whole occurrences are looked for, also across the ends of the context
+    before = raw[max(0, start - more) : start].replace(text, blank)[-_AROUND:]
+    around = before + raw[end : end + more].replace(text, blank)[:_AROUND]
+    return len(pack(around + text)) - len(pack(around))
+
+
+def _without_keys(text: bytes) -> bytes:
+    """The text with key-like runs blanked, in place."""
+    return _KEY.sub(lambda m: b" " * len(m[0]) if re.search(rb"[0-9]", m[0]) and re.search(rb"[A-Za-z]", m[0]) else m[0], text)
 
 
 def _novel(pack, raw: bytes, low: bytes, base: list[tuple[int, int, str]], novelty: float) -> list[tuple[int, int, str]]:
@@ -95,9 +107,10 @@ def identifiers(docs: DataFrame, dictionary_bytes: int) -> bytes:
             found: Counter[str] = Counter()
             for a, b in zip(at[:-1], at[1:]):
                 text = low[a:b].tobytes()
-                names = set()
+                names, plain = set(), None
                 for m in _SENSITIVE.finditer(text):
-                    near = text[max(0, m.start() - _AROUND) : m.end() + _AROUND]
+                    plain = _without_keys(text) if plain is None else plain
+                    near = plain[max(0, m.start() - _AROUND) : m.end() + _AROUND]
                     names.update(x for x in _IDENTIFIER.findall(near) if len(x) <= 40)
                 found.update(x.decode() for x in names)
             yield pa.RecordBatch.from_pydict({"name": pa.array(list(found), pa.string()), "n": pa.array(list(found.values()), pa.int64())})

@@ -269,6 +269,17 @@ def test_secret_scan(spark):
     assert (r[1]["n_assign"], r[1]["spans"]) == (0, "")
 
 
+def test_secret_copies(spark):
+    """A secret in many copies and twice in a text is as novel as one that stands alone."""
+    low, mixed = "q7x2m9vk4t8zr1wn5bc3", "Zk3vQ9xLw2Tn8RbY5mHc"
+    copies = [(i, f"the header says bearer {low} and ends") for i in range(30)]
+    twice = [(100 + k, f"bearer {mixed} and {'again ' * (83 + k)}bearer {mixed} and ends") for k in range(5)]
+    rows = secret_scan.scan(spark.createDataFrame(copies + twice, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["n_novel"] for r in rows} == {i: 1 for i, _ in copies} | {i: 2 for i, _ in twice}
+    names = secret_scan.identifiers(spark.createDataFrame([(i, f"session_token=ab12cd34ef {low} login_token") for i in range(3)], "i int, text string"), 1 << 16)
+    assert set(names.split()) == {b"session_token", b"login_token"}
+
+
 def test_warc(spark):
     rows = [(1, "u", "x"), (2, "u", "x"), (3, None, None), (4, "a b", ""), (None, "n", "x")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
