@@ -18,9 +18,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later repeated runs of lines are cut out of the texts; a document whose lines are all
+    """Later repeated runs of three lines, or of fewer that hold 50 words, are cut out of the texts; a document whose lines are all
     repeats of earlier ones goes, one that had none stays as it is."""
-    return line_dedup.without_repeats(docs)
+    return line_dedup.without_repeats(docs, long_words=line_dedup.LONG_WORDS)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -237,6 +237,20 @@ def test_line_dedup(docs):
         assert (r["text"] or "") == want[r["doc_id"]]
 
 
+def test_line_dedup_long_lines(spark):
+    """Repeated runs of one or two lines go where they hold 50 words; shorter ones stay."""
+    line = lambda tag, n: " ".join(f"{tag}{k}" for k in range(n))
+    two, one, few = f"{line('a', 30)}\n{line('b', 20)}", line("c", 50), f"{line('d', 30)}\n{line('e', 19)}"
+    docs = [(1, two), (2, two), (3, one), (4, f"x\n\n {one} \ny"), (5, few), (6, few), (7, line("a", 30)), (8, None),
+            (9, f"{one}\n{one}")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    rows = {r["doc_id"]: (r["n_lines"], r["n_removed"], r["kept_text"]) for r in line_dedup.dedup_lines(frame, long_words=50).collect()}
+    assert rows == {1: (2, 0, two), 2: (2, 2, ""), 3: (1, 0, one), 4: (3, 1, "x\n\ny"), 5: (2, 0, few), 6: (2, 0, few),
+                    7: (1, 0, line("a", 30)), 8: (0, 0, ""), 9: (2, 2, "")}
+    left = {r["doc_id"]: r["text"] for r in corpus_pipeline.lines(spark, frame, "").collect()}
+    assert left == {1: two, 3: one, 4: "x\n\ny", 5: few, 6: few, 7: line("a", 30), 8: None}
+
+
 def test_weak_rules(docs):
     for r in weak_rules.judge(docs).collect():
         if r["doc_id"] in (105, 106, 107):
