@@ -1,18 +1,20 @@
 """Helpers shared by the training-data operators: scratch tables and vectorised word hashing.
 
-Every operator reads only the columns it is told to (id and text), under private names, so
-extra columns of any name cannot clash with its own.
+Operators that return results of their own read only the columns they are told to (id and text),
+under private names. Those that return the caller's rows carry a row as one struct, or add columns
+under names that the row does not have (``unused``), so extra columns of any name cannot clash.
 """
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kvadrat.session import ensure_checkpoint_dir, ship_package
@@ -49,6 +51,40 @@ def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     )
 
 
+def row_struct(df: DataFrame) -> Column:
+    """The whole row as one struct ``row``, whatever its columns are called."""
+    return F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("row")
+
+
+def unused(names: list[str], *wanted: str) -> list[str]:
+    """``wanted`` with as many underscores before them as keep them apart from ``names``."""
+    taken = {n.lower() for n in names}
+    out = []
+    for name in wanted:
+        while name.lower() in taken:
+            name = "_" + name
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def lean(make: Callable[..., Iterator[pa.RecordBatch]]) -> Callable[..., Iterator[pa.RecordBatch]]:
+    """``make``, giving freed memory back to the system when a task ends: Python workers live on
+    between tasks, and what their allocators keep counts against the executor."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from make(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL("libc.so.6").malloc_trim(0)
+            except (OSError, AttributeError):  # another C library than glibc
+                pass
+
+    return run
+
+
 def steps(batch: pa.RecordBatch, column: str = "text", limit: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of an Arrow batch of about ``limit`` bytes of text each."""
     n = batch.num_rows
@@ -99,12 +135,15 @@ class Words:
     """The words ``[^\\x20\\x09-\\x0D]+`` of a text column, without a Python object per word.
 
     ``starts``/``ends``: byte range of each word in ``data``; ``first``: index of the first
-    word of each row (one more than rows).
+    word of each row (one more than rows). A subclass may give ``fold``, what each byte counts as.
     """
 
+    fold: np.ndarray | None = None
+
     def __init__(self, column: pa.Array, lower: bool = False):
         data, self.offsets = text_buffer(column)
-        self.data = LOWER[data] if lower else data
+        fold = LOWER if lower else self.fold
+        self.data = data if fold is None else fold[data]
         solid = ~_SPACE[self.data]
         edge = np.zeros(len(data) + 1, bool)
         edge[self.offsets] = True
