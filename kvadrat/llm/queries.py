@@ -207,8 +207,8 @@ SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (
 _OP13 = """
 WITH RECURSIVE vectors AS (
   SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
-  WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, x -> x <> 0)) > 0
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+  WHERE label IS NOT NULL AND len(embedding) > 0 AND len([x FOR x IN embedding IF x <> 0]) > 0
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
 ), links AS (
   SELECT a.vec_id AS x, b.vec_id AS y
   FROM vectors a JOIN vectors b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
