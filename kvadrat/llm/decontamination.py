@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kvadrat.llm.common import id_text, stored, text_buffer
+from kvadrat.llm.common import id_text, lean, stored, text_buffer, unused
 from kvadrat.session import ship_package
 
 _KEEP = bytes(
@@ -93,7 +93,7 @@ def _scan(docs: DataFrame, items: list[tuple], size: int, last: bool) -> DataFra
                  pa.array([r[3] for r in rows], pa.list_(pa.int32()))], names=["doc_id", "text", "items", "hits"])
 
     first = "items" not in docs.columns
-    return docs.mapInArrow(scan, _RESULT if last else _STATE)
+    return docs.mapInArrow(lean(scan), _RESULT if last else _STATE)
 
 
 def _result(doc_ids: pa.Array, rows: list[tuple]) -> pa.RecordBatch:
@@ -169,10 +169,13 @@ def without_contaminated(
     """The rows of ``docs`` that share no window with the benchmark, all columns kept; rows are
     judged one by one where they lie, without a shuffle."""
     ship_package(docs.sparkSession)
-    spark, schema = docs.sparkSession, docs.schema
+    spark, names = docs.sparkSession, docs.columns
+    if dict(docs.dtypes)[text_col] != "string":  # judged as its string
+        (text,) = unused(names, text_col)
+        docs, text_col = docs.withColumn(text, F.col(f"`{text_col}`").cast("string")), text
     for items, _ in _parts(benchmark, max_chars, item_id_col, item_text_col):
-        docs = docs.mapInArrow(_clean_rows(spark.sparkContext.broadcast(items), window, text_col), schema)
-    return docs
+        docs = docs.mapInArrow(lean(_clean_rows(spark.sparkContext.broadcast(items), window, text_col)), docs.schema)
+    return docs.select(*(F.col(f"`{c}`") for c in names))
 
 
 def _clean_rows(shared, window: int, text_col: str):

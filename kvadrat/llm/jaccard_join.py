@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kvadrat.llm.common import Words, grams, id_text, mix, signed, steps, stored
+from kvadrat.llm.common import Words, grams, id_text, lean, mix, signed, steps, stored
 
 SHINGLE = 5
 THRESHOLD = Fraction(3, 4)
@@ -112,7 +112,7 @@ def _frequent(rows: DataFrame, shingle: int, at_least: int = 24) -> tuple[np.nda
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(signed(values[n > 2])), pa.array(n[n > 2])], names=["shingle", "n"])
 
-    counts = rows.select("text").mapInArrow(count, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
+    counts = rows.select("text").mapInArrow(lean(count), "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
     top = counts.where(F.col("n") >= at_least).orderBy(F.desc("n"), "shingle").limit(MAX_FREQUENT).toArrow()
     values = top["shingle"].to_numpy().view(np.uint64)
     order = np.argsort(values)
@@ -156,7 +156,7 @@ def _members(rows: DataFrame, frequent, shingle: int, t: Fraction) -> DataFrame:
                     names=["doc_id", "n", "k1", "k2", "last", "probe", *_BITS])
 
     bits = "".join(f", {b} long" for b in _BITS)
-    return rows.mapInArrow(make, "doc_id long, n long, k1 long, k2 long, last long, probe array<long>" + bits)
+    return rows.mapInArrow(lean(make), "doc_id long, n long, k1 long, k2 long, last long, probe array<long>" + bits)
 
 
 def _prefixes(rows: DataFrame, frequent, shingle: int, t: Fraction) -> DataFrame:
@@ -176,7 +176,7 @@ def _prefixes(rows: DataFrame, frequent, shingle: int, t: Fraction) -> DataFrame
                     [step.column("doc_id"), pa.array(sets.size), pa.array(k1), pa.array(k2), prefix],
                     names=["doc_id", "n", "k1", "k2", "prefix"])
 
-    return rows.mapInArrow(make, "doc_id long, n long, k1 long, k2 long, prefix array<long>")
+    return rows.mapInArrow(lean(make), "doc_id long, n long, k1 long, k2 long, prefix array<long>")
 
 
 def _boundary(members: DataFrame, t: Fraction) -> int:
@@ -223,7 +223,7 @@ def _signatures(classes: DataFrame, boundary: int, t: Fraction) -> DataFrame:
                 [pa.array(np.concatenate(sig)), pa.array(doc[row]), pa.array(size[row]), pa.array(np.concatenate(light))],
                 names=["sig", "doc_id", "n", "light"])
 
-    return classes.select("doc_id", "n", "prefix").mapInArrow(make, _LISTED)
+    return classes.select("doc_id", "n", "prefix").mapInArrow(lean(make), _LISTED)
 
 
 _FOUND = "sig long, a long, b long, n long, light boolean"
@@ -277,7 +277,7 @@ def _scan_lists(listed: DataFrame, long_list: int, t: Fraction) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(sig), pa.array(a), b, pa.array(n), pa.array(light)],
                                           names=["sig", "a", "b", "n", "light"])
 
-    return listed.repartition("sig").sortWithinPartitions("sig").mapInArrow(scan, _FOUND)
+    return listed.repartition("sig").sortWithinPartitions("sig").mapInArrow(lean(scan), _FOUND)
 
 
 def _overlap(sizes: Column, t: Fraction) -> Column:
@@ -321,7 +321,7 @@ def _sets_of(rows: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [step.column("doc_id"), pa.array(k1), pa.array(k2), lists], names=["doc_id", "k1", "k2", "shingles"])
 
-    made = rows.withColumn("slot", slot).mapInArrow(make, "doc_id long, k1 long, k2 long, shingles array<long>")
+    made = rows.withColumn("slot", slot).mapInArrow(lean(make), "doc_id long, k1 long, k2 long, shingles array<long>")
     return stored(made, "shingle-sets")
 
 
@@ -503,9 +503,11 @@ def near_duplicates(
     id_col: str = "doc_id",
     text_col: str = "text",
     tile: int = TILE,
+    count_links: bool = True,
 ) -> DataFrame:
     """One row per document row: doc_id, n_shingles, component_id, n_links (all other classes whose
-    set links with the row's; 0 for a class that links with nothing but its copies)."""
+    set links with the row's; 0 for a class that links with nothing but its copies; null where
+    ``count_links`` is off, for callers that need components alone)."""
     t, spark = threshold, docs.sparkSession
     rows = id_text(docs, id_col, text_col)
     known = rows.where("doc_id IS NOT NULL")
@@ -566,6 +568,12 @@ def near_duplicates(
         edges = edges.union(late)
         # what is joined so far stays joined as stars, so few rounds are left
         comps = components(comps.select(F.col("component").alias("a"), F.col("doc_id").alias("b")).union(late))
+    component = F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id"))
+    component = F.when(F.col("doc_id").isNotNull(), component).alias("component_id")
+    if not count_links:
+        label = reps.join(comps, reps["rep"] == comps["doc_id"], "left").select("k1", "k2", F.coalesce("component", "rep").alias("component"))
+        return members.join(label, ["k1", "k2"], "left").select(
+            "doc_id", F.col("n").alias("n_shingles"), component, F.lit(None).cast("long").alias("n_links"))
     edges = edges.select("a", "b").union(edges.select("b", "a")).distinct()
     degree = edges.groupBy(F.col("a").alias("rep")).agg(F.count(F.lit(1)).alias("n_edges"))
 
@@ -588,7 +596,7 @@ def near_duplicates(
     return members.join(label, ["k1", "k2"], "left").select(
         "doc_id",
         F.col("n").alias("n_shingles"),
-        F.when(F.col("doc_id").isNotNull(), F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id"))).alias("component_id"),
+        component,
         F.when(F.col("n") > 0, F.coalesce("n_links", F.lit(0))).otherwise(F.lit(0)).cast("long").alias("n_links"),
     )
 

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kvadrat.functions.text import let
-from kvadrat.llm.common import id_text
+from kvadrat.llm.common import id_text, row_struct
 
 MIN_RUN = 3
 #: Words that make a passage of a run shorter than MIN_RUN.
@@ -137,14 +137,12 @@ def without_repeats(
 ) -> DataFrame:
     """``docs`` with its later repeated runs of lines cut out of ``text_col``, all columns kept.
     Rows that lose every line go."""
-    names = docs.columns
-    rows = id_text(docs, id_col, text_col).withColumn("tie", F.xxhash64("text"))
-    runs = removed_runs(rows, min_run, long_words).select(
-        F.col("doc_id").alias("__id"), F.col("tie").alias("__tie"), F.col("runs").alias("__runs"))
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    joined = docs.join(
-        runs, docs[id_col].cast("long").eqNullSafe(runs["__id"]) & (F.xxhash64(text) == runs["__tie"]), "left")
-    cut = joined.withColumn("__cut", _kept(text, F.col("__runs")))
-    left = F.col("__runs").isNull() | (F.col("__cut.n_removed") < F.col("__cut.n_lines"))
-    new = F.when(F.col("__runs").isNull(), F.col(text_col)).otherwise(F.col("__cut.kept_text"))
-    return cut.where(left).select(*(new.alias(c) if c == text_col else F.col(c) for c in names))
+    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
+    held = docs.select(row_struct(docs), F.col(f"`{id_col}`").cast("long").alias("id"), F.xxhash64(text).alias("tie"), text.alias("whole"))
+    rows = held.select(F.col("id").alias("doc_id"), F.col("whole").alias("text"), "tie")
+    runs = removed_runs(rows, min_run, long_words)
+    joined = held.join(runs, held["id"].eqNullSafe(runs["doc_id"]) & (held["tie"] == runs["tie"]), "left")
+    cut = joined.select("row", "runs", _kept(F.col("whole"), F.col("runs")).alias("cut"))
+    left = F.col("runs").isNull() | (F.col("cut.n_removed") < F.col("cut.n_lines"))
+    new = F.when(F.col("runs").isNull(), F.col("row")[text_col].cast("string")).otherwise(F.col("cut.kept_text"))
+    return cut.where(left).select(*((new if c == text_col else F.col("row")[c]).alias(c) for c in docs.columns))

@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kvadrat.llm.common import id_text, steps, stored
+from kvadrat.llm.common import id_text, lean, steps, stored
 from kvadrat.llm.tokens import encoder
 
 Fill = tuple[int, tuple[int, ...]]  # number of sequences, lengths in each
@@ -132,7 +132,7 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, id_col:
         enc, part = encoder(tokenizer), TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, np.int64)
         for batch in batches:
-            for step in steps(batch, limit=4 << 20):
+            for step in steps(batch):
                 ids, at = enc.encode(step.column("text"))
                 ids = np.insert(ids, at[1:], end_id).astype("<u4")
                 at = at + np.arange(len(at))
@@ -158,7 +158,7 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, id_col:
                     out["ids"] = pa.array([ids[a:b].astype(np.int64) for a, b in zip(first, first + length)], pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_pydict(out)
 
-    return id_text(docs, id_col, text_col).mapInArrow(cut, schema)
+    return id_text(docs, id_col, text_col).mapInArrow(lean(cut), schema)
 
 
 def pack(
@@ -205,7 +205,7 @@ def pack(
     keep = ["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * with_ids
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<long>" * with_ids
     ranked = cut.join(bases, ["length", "part"]).withColumn("rank", F.col("base") + F.col("place"))
-    return ranked.select(*keep, "rank").mapInArrow(place, schema + ", sequence_id long, offset long")
+    return ranked.select(*keep, "rank").mapInArrow(lean(place), schema + ", sequence_id long, offset long")
 
 
 _LINE = np.int64(1) << 48  # more pieces of one length than any table has

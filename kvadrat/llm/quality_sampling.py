@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
-from kvadrat.llm.common import Words, id_text, mix, steps, stored
+from kvadrat.llm.common import Words, id_text, lean, mix, steps, stored, unused
 from kvadrat.session import ship_package
 
 BUCKETS = 1 << 18
@@ -69,7 +69,7 @@ def _counts(rows: DataFrame, target: np.ndarray) -> np.ndarray:
             yield pa.RecordBatch.from_pydict({"block": pa.array(list(sums), pa.int32()), "counts": [s.tobytes() for s in sums.values()]})
 
     schema = "block int, counts binary"
-    summed = rows.mapInArrow(count, schema).repartition("block").mapInArrow(add, schema).toArrow()
+    summed = rows.mapInArrow(lean(count), schema).repartition("block").mapInArrow(lean(add), schema).toArrow()
     out = np.zeros(4 * BUCKETS, np.int64)
     for block, data in zip(summed["block"].to_pylist(), summed["counts"].to_pylist()):
         out[block * _BLOCK : (block + 1) * _BLOCK] = np.frombuffer(data, np.int64)
@@ -107,12 +107,13 @@ def _scored(rows: DataFrame, ratios) -> DataFrame:
                     [step.column("doc_id"), step.column("tie"), pa.array(n), pa.array(total)],
                     names=["doc_id", "tie", "n_grams", "log_ratio"])
 
-    return rows.mapInArrow(make, "doc_id long, tie long, n_grams long, log_ratio double")
+    return rows.mapInArrow(lean(make), "doc_id long, tie long, n_grams long, log_ratio double")
 
 
 def _sums(column: pa.Array, ratios: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     buckets, row, n = _buckets(column)
-    return np.bincount(row, weights=ratios[buckets].astype(float), minlength=len(n)).round(6), n
+    # without any n-gram bincount forgets that the weights are floats
+    return np.bincount(row, weights=ratios[buckets].astype(float), minlength=len(n)).astype(np.float64).round(6), n
 
 
 def _noise(*key: Column) -> Column:
@@ -149,12 +150,15 @@ class Model:
     def __init__(self, ratios: np.ndarray, tilt: float, cut: float, temperature: float):
         self.ratios, self.tilt, self.cut, self.temperature = ratios, tilt, cut, temperature
 
+    def log_weight(self, log_ratio: Column, n_grams: Column) -> Column:
+        return F.round(log_ratio - self.tilt * n_grams, 6)
 
-def _key(temperature: float) -> Column:
-    return F.col("log_weight") / temperature + _noise(F.col("doc_id"), F.col("tie"))
+    def key(self, log_ratio: Column, n_grams: Column, doc_id: Column, tie: Column) -> Column:
+        """What rows are ranked by: log weight over temperature, and Gumbel noise."""
+        return self.log_weight(log_ratio, n_grams) / self.temperature + _noise(doc_id, tie)
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = 50_000, keep_share: float = 0.01, temperature: float = 0.1) -> tuple[Model, DataFrame]:
+def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = 50_000, keep_share: float = 0.01, temperature: float = 1.0) -> tuple[Model, DataFrame]:
     """The model, and every document's doc_id, n_grams, log_weight and key."""
     spark = docs.sparkSession
     rows = id_text(docs).withColumn("tie", F.xxhash64("text"))
@@ -166,11 +170,14 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = 50_000, keep_sha
     mean = scored.where("n_grams > 0").join(good.where(half == 1), "doc_id", "left_semi").select((F.col("log_ratio") / F.col("n_grams")).alias("m"))
     n = mean.count()
     tilt = kth_largest(mean, "m", max(1, n - int(keep_share * n))) if n and len(target) else 0.0
-    weighed = scored.withColumn("log_weight", F.round(F.col("log_ratio") - tilt * F.col("n_grams"), 6))
-    keyed = weighed.withColumn("key", _key(temperature))
+    model = Model(ratios, tilt, float("inf"), temperature)
+    ratio, n_grams = F.col("log_ratio"), F.col("n_grams")
+    keyed = scored.withColumn("log_weight", model.log_weight(ratio, n_grams)).withColumn(
+        "key", model.key(ratio, n_grams, F.col("doc_id"), F.col("tie")))
     k = keyed.where("log_weight >= 0").count()
-    cut = kth_largest(keyed, "key", k) if k else float("inf")
-    return Model(ratios, tilt, cut, temperature), keyed.withColumn("kept", F.col("key") >= cut)
+    if k:
+        model.cut = kth_largest(keyed, "key", k)
+    return model, keyed.withColumn("kept", F.col("key") >= model.cut)
 
 
 def classify(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
@@ -179,22 +186,24 @@ def classify(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
 
 
 def kept_rows(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` that are sampled, all columns as they are; no row is shuffled."""
+    """The rows of ``docs`` that are sampled, all columns as they are; no row is shuffled. Text of
+    another type is judged as its string."""
     ship_package(docs.sparkSession)
     model, _ = fit(docs, labels, **options)
     shared = docs.sparkSession.sparkContext.broadcast(model.ratios)
-    tilt, schema = model.tilt, docs.schema
+    names = docs.columns
+    text, ratio, n_grams = unused(names, "text", "ratio", "n_grams") if dict(docs.dtypes)["text"] != "string" else ("text", *unused(names, "ratio", "n_grams"))
+    if text != "text":
+        docs = docs.withColumn(text, F.col("text").cast("string"))
+    wide = StructType([*docs.schema.fields, StructField(ratio, DoubleType()), StructField(n_grams, LongType())])
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for step in steps(batch):
-                total, n = _sums(step.column("text"), shared.value)
-                yield pa.RecordBatch.from_arrays(
-                    [*step.columns, pa.array(total), pa.array(n)], names=[*schema.names, "__ratio", "__n"])
-
-    wide = StructType([*schema.fields, StructField("__ratio", DoubleType()), StructField("__n", LongType())])
-    weighed = docs.mapInArrow(weigh, wide)
-    weight = F.round(F.col("__ratio") - tilt * F.col("__n"), 6)
-    tie = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
-    key = weight / model.temperature + _noise(F.col("doc_id").cast("long"), tie)
-    return weighed.where(key >= model.cut).select(*schema.names)
+            for step in steps(batch, text):
+                total, n = _sums(step.column(text), shared.value)
+                yield pa.RecordBatch.from_arrays([*step.columns, pa.array(total), pa.array(n)], names=wide.names)
+
+    weighed = docs.mapInArrow(lean(weigh), wide)
+    tie = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+    key = model.key(F.col(ratio), F.col(n_grams), F.col("doc_id").cast("long"), tie)
+    return weighed.where(key >= model.cut).select(*(F.col(f"`{c}`") for c in names))

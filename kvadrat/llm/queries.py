@@ -57,7 +57,7 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+    kept = line_dedup.dedup_lines(table(spark, sf_dir, "documents"), long_words=line_dedup.LONG_WORDS)
     return kept.select("doc_id", "n_lines", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
@@ -109,8 +109,20 @@ WITH lines AS (
   SELECT doc_id, i FROM (
     SELECT doc_id, i, row_number() OVER (PARTITION BY a, b, c ORDER BY doc_id, i) AS k FROM runs WHERE c IS NOT NULL
   ) WHERE k > 1
+), counted AS (
+  SELECT doc_id, i, s AS a, lead(s) OVER w AS b, n AS x, lead(n) OVER w AS y
+  FROM (SELECT *, len(regexp_extract_all(s, '[^ \\t\\x0B\\x0C\\r]+')) AS n FROM solid) WINDOW w AS (PARTITION BY doc_id ORDER BY i)
+), passages AS (
+  SELECT doc_id, i, 1 AS size, a AS p FROM counted WHERE x >= 50
+  UNION ALL SELECT doc_id, i, 2, a || chr(10) || b FROM counted WHERE b IS NOT NULL AND x + y >= 50
+), later_passages AS (
+  SELECT doc_id, i, size FROM (
+    SELECT doc_id, i, size, row_number() OVER (PARTITION BY size, p ORDER BY doc_id, i) AS k FROM passages
+  ) WHERE k > 1
 ), gone AS (
-  SELECT DISTINCT s.doc_id, s.j FROM later l JOIN solid s ON s.doc_id = l.doc_id AND s.i BETWEEN l.i AND l.i + 2
+  SELECT DISTINCT s.doc_id, s.j
+  FROM (SELECT doc_id, i, 3 AS size FROM later UNION ALL FROM later_passages) l
+  JOIN solid s ON s.doc_id = l.doc_id AND s.i BETWEEN l.i AND l.i + l.size - 1
 )
 SELECT l.doc_id,
        count(*) FILTER (WHERE trim(l.line, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) <> '') AS n_lines,

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kvadrat.llm.common import Words, grams, id_text, mix, signed, steps, stored
+from kvadrat.llm.common import Words, grams, id_text, lean, mix, signed, steps, stored
 
 WINDOW, GRAM = 50, 10
 
@@ -90,7 +90,7 @@ def _blocks(rows: DataFrame, window: int, gram: int) -> DataFrame:
                      pa.array(signed(block)), pa.array(at, pa.int32()), pa.array(n, pa.int32())],
                     names=["doc_id", "tie", "anchor", "block", "at", "n"])
 
-    return rows.mapInArrow(make, "doc_id long, tie long, anchor long, block long, at int, n int")
+    return rows.mapInArrow(lean(make), "doc_id long, tie long, anchor long, block long, at int, n int")
 
 
 def _windows(rows: DataFrame, window: int, gram: int) -> DataFrame:
@@ -114,7 +114,7 @@ def _windows(rows: DataFrame, window: int, gram: int) -> DataFrame:
                      pa.array(signed(whole[at])), pa.array(place, pa.int32())],
                     names=["doc_id", "tie", "anchor", "whole", "at"])
 
-    return rows.mapInArrow(make, "doc_id long, tie long, anchor long, whole long, at int")
+    return rows.mapInArrow(lean(make), "doc_id long, tie long, anchor long, whole long, at int")
 
 
 def _parse(spans: list[dict]) -> list[tuple[int, int, int]]:

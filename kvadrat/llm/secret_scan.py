@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kvadrat.llm.common import LOWER, id_text, text_buffer
+from kvadrat.llm.common import LOWER, id_text, lean, text_buffer
 
 KINDS = ("assign", "access", "hex", "novel")
 _ASSIGN = re.compile(
@@ -115,7 +115,7 @@ def identifiers(docs: DataFrame, dictionary_bytes: int) -> bytes:
                 found.update(x.decode() for x in names)
             yield pa.RecordBatch.from_pydict({"name": pa.array(list(found), pa.string()), "n": pa.array(list(found.values()), pa.int64())})
 
-    names = docs.select("text").mapInArrow(count, "name string, n long").groupBy("name").agg(F.sum("n").alias("n"))
+    names = docs.select("text").mapInArrow(lean(count), "name string, n long").groupBy("name").agg(F.sum("n").alias("n"))
     top = names.where("n > 1").orderBy(F.desc("n"), "name").limit(dictionary_bytes // 5).toArrow()["name"].to_pylist()
     out, size = [], 0
     for name in top:
@@ -157,7 +157,7 @@ def scan(docs: DataFrame, novelty: float = 0.7, dictionary_bytes: int = 1 << 16,
                 names=["doc_id", *(f"n_{k}" for k in KINDS), "base_sha256", "spans"])
 
     schema = "doc_id long, " + ", ".join(f"n_{k} long" for k in KINDS) + ", base_sha256 string, spans string"
-    return rows.mapInArrow(find, schema)
+    return rows.mapInArrow(lean(find), schema)
 
 
 def _told(points: np.ndarray, spans: list[tuple[int, int, str]]) -> str:

@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from kvadrat.llm.common import id_text, scratch, steps
+from kvadrat.llm.common import id_text, lean, scratch, steps
 from kvadrat.llm.tokens import encoder
 
 MAGIC = b"KVPLANE1"
@@ -177,7 +177,7 @@ def write_token_files(
         enc = encoder(tokenizer)
         end = np.array([] if end_id is None else [end_id], np.uint32)
         for batch in batches:
-            for step in steps(batch, limit=4 << 20):
+            for step in steps(batch):
                 if out is None:
                     files, root = fs.FileSystem.from_uri(path)
                     files.create_dir(f"{root}/ids", recursive=True)
@@ -195,7 +195,7 @@ def write_token_files(
                 "n_ids": [writer.n_ids], "n_bytes": [writer.at],
             })
 
-    rows.mapInArrow(write, MANIFEST).write.parquet(f"{path}/manifest")
+    rows.mapInArrow(lean(write), MANIFEST).write.parquet(f"{path}/manifest")
     return spark.read.schema(MANIFEST).parquet(f"{path}/manifest")
 
 
@@ -224,7 +224,7 @@ def read_token_files(spark: SparkSession, path: str, with_ids: bool = True) -> D
                     yield _rows(rows, with_ids)
 
     n_files = max(1, manifest.count())
-    return base.select("file", "n_bytes", "start").repartition(n_files).mapInArrow(read, schema)
+    return base.select("file", "n_bytes", "start").repartition(n_files).mapInArrow(lean(read), schema)
 
 
 def _rows(rows: list[tuple], with_ids: bool) -> pa.RecordBatch:

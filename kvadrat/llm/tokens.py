@@ -13,14 +13,15 @@ import itertools
 import json
 import os
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 
 from kvadrat.llm.common import Words
 
-#: Distinct pieces a worker remembers before it forgets all of them (about 50 bytes each).
-MEMO_PIECES = 3_000_000
+#: Bytes of remembered pieces (keys, places, sizes and ids) after which a worker forgets all of them.
+MEMO_BYTES = 48 << 20
 
 # White space outside ASCII can join a run of blanks; texts with it are encoded whole.
 _ODD_SPACE = re.compile(
@@ -29,7 +30,7 @@ _ODD_SPACE = re.compile(
 
 
 class Encoder:
-    def __init__(self, path: str, memo: int = MEMO_PIECES):
+    def __init__(self, path: str, memo: int = MEMO_BYTES):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -47,9 +48,13 @@ class Encoder:
         self.pool, self.used = np.zeros(1 << 16, np.uint32), 0
 
     def _library_ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        found = [e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
-        size = np.fromiter(map(len, found), np.int64, len(found))
-        return np.fromiter(itertools.chain.from_iterable(found), np.uint32, int(size.sum())), size
+        ids, sizes = [], []
+        for part in _parts(texts):
+            found = [e.ids for e in self.library.encode_batch_fast(part, add_special_tokens=False)]
+            size = np.fromiter(map(len, found), np.int64, len(found))
+            ids.append(np.fromiter(itertools.chain.from_iterable(found), np.uint32, int(size.sum())))
+            sizes.append(size)
+        return np.concatenate([np.zeros(0, np.uint32), *ids]), np.concatenate([np.zeros(0, np.int64), *sizes])
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all rows in one array, and where each row's ids start (one more than rows)."""
@@ -75,7 +80,7 @@ class Encoder:
         if not len(words.starts):
             return np.zeros(0, np.uint32), np.zeros(len(words.first), np.int64)
         distinct, sample, which = np.unique(words.hashes(), return_index=True, return_inverse=True)
-        if len(self.keys) > self.limit:
+        if 20 * len(self.keys) + 4 * self.used > self.limit:
             self._forget()
         place = np.searchsorted(self.keys, distinct)
         known = place < len(self.keys)
@@ -92,7 +97,7 @@ class Encoder:
     def _learn(self, keys: np.ndarray, texts: list[str]) -> None:
         ids, size = self._library_ids(texts)
         if self.used + len(ids) > len(self.pool):
-            self.pool = np.concatenate([self.pool, np.zeros(len(self.pool) + len(ids), np.uint32)])
+            self.pool = np.concatenate([self.pool[: self.used], np.zeros(self.used // 2 + len(ids), np.uint32)])
         self.pool[self.used : self.used + len(ids)] = ids
         at = self.used + np.cumsum(size) - size
         self.used += len(ids)
@@ -102,6 +107,19 @@ class Encoder:
         self.size = np.concatenate([self.size, size.astype(np.int32)])[order]
 
 
+def _parts(texts: list[str]) -> Iterator[list[str]]:
+    """Texts in calls of the library of about a quarter of a million characters: what it makes of a
+    call (far larger than the ids) is freed before the next."""
+    first = size = 0
+    for i, text in enumerate(texts):
+        size += len(text) + 32
+        if size >= 1 << 18:
+            yield texts[first : i + 1]
+            first, size = i + 1, 0
+    if first < len(texts):
+        yield texts[first:]
+
+
 def _with_blanks(words: Words) -> None:
     """Make the pieces of a byte-level splitter out of words: the last blank before a word
     goes with it, the rest of a run of white space is one piece, and so is its last character

@@ -2,9 +2,12 @@
 
 Every record is a gzip member of its own. A page whose payload equals another's is a revisit
 record of the one with the largest page_id: it keeps the HTTP head with the payload's length and
-digest but not the payload. The reader checks each member, its record's length and, where there
-is a payload, its digest; after a failure it looks for the next gzip member or version line,
-goes on there and logs the bytes between as a quarantined gap.
+digest but not the payload. The reader checks each member, its records' lengths and, where a record
+tells one, its digest; after a failure it looks for the next gzip member or version line,
+goes on there and logs the bytes between as a quarantined gap. A member may hold any number of
+records: it is unpacked piece by piece and read record by record, what lies between its
+records is logged with its place inside, and of a damaged member the whole records before the
+damage are kept.
 
 Null html is an empty payload. A page with a null page_id is a response that no other page
 revisits. Rows equal in page_id and payload are all responses if that id is the largest. An empty
@@ -14,6 +17,7 @@ table gives no archive and an empty result.
 from __future__ import annotations
 
 import base64
+import contextlib
 import hashlib
 import re
 import uuid
@@ -25,17 +29,20 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kvadrat.llm.common import scratch
+from kvadrat.llm.common import lean, scratch
 from kvadrat.session import ship_package
 
 MANIFEST = "file string, n_records long, n_bytes long"
 RECORD = (
     "page_id long, url string, record_type string, payload_bytes long, payload_digest string, refers_to long"
 )
-GAP = "file string, offset long, n_bytes long, reason string"
+#: inside: place in the unpacked bytes of the member at ``offset``; null for bytes of the archive itself.
+GAP = "file string, offset long, n_bytes long, inside long, reason string"
 _ROLL = 64 << 20  # an archive is closed once it is this large
 _FEED = 1 << 13
+_HEAD = 1 << 16  # the longest head of a record
 _VERSION = re.compile(rb"WARC/1\.[01]\r\n")
+_LENGTH = re.compile(rb"(?i)\r\ncontent-length:[ \t]*(\d+)[ \t]*\r\n")
 _MEMBER = b"\x1f\x8b\x08"
 
 
@@ -111,7 +118,7 @@ def write_archives(pages: DataFrame, path: str, min_bytes: int = 0) -> DataFrame
         if done:
             yield pa.RecordBatch.from_pydict({k: [d[i] for d in done] for i, k in enumerate(("file", "n_records", "n_bytes"))})
 
-    plan_records(pages, min_bytes).mapInArrow(write, MANIFEST).write.parquet(f"{path}/manifest")
+    plan_records(pages, min_bytes).mapInArrow(lean(write), MANIFEST).write.parquet(f"{path}/manifest")
     return pages.sparkSession.read.schema(MANIFEST).parquet(f"{path}/manifest")
 
 
@@ -133,56 +140,170 @@ def _parse(data: bytes) -> dict | None:
         return None
     if not sep or len(rest) < size + 4 or rest[size : size + 4] != b"\r\n\r\n":
         return None
-    http, _, payload = rest[:size].partition(b"\r\n\r\n")
-    kind, digest = fields.get("warc-type"), fields.get("warc-payload-digest", "").removeprefix("sha1:")
-    if kind == "response" and digest != digest_of(payload):
+    block = rest[:size]
+    http, split, payload = block.partition(b"\r\n\r\n")
+    if not split:  # a block without a head of its own is all payload
+        http, payload = b"", block
+    kind = fields.get("warc-type")
+    if kind == "response" and not _agrees(fields.get("warc-payload-digest"), payload):
         return None
+    if not _agrees(fields.get("warc-block-digest"), block):
+        return None
+    algorithm, _, digest = fields.get("warc-payload-digest", "").rpartition(":")
+    if kind == "response" and algorithm.lower() != "sha1":  # none told, or another one
+        digest = digest_of(payload)
     told = re.search(rb"(?im)^content-length:\s*(\d+)", http)
     number = lambda k: int(fields[k]) if fields.get(k, "").lstrip("-").isdigit() else None
     return {"page_id": number("x-page-id"), "url": fields.get("warc-target-uri"), "record_type": kind,
             "payload_bytes": len(payload) if kind == "response" else int(told[1]) if told else None,
-            "payload_digest": digest, "refers_to": number("x-refers-to-page"),
-            "payload": payload if kind == "response" else None, "_size": len(head) + 4 + size + 4}
+            "payload_digest": digest or None, "refers_to": number("x-refers-to-page"),
+            "payload": payload if kind == "response" else None}
+
+
+def _agrees(told: str | None, data: bytes) -> bool:
+    """Whether ``data`` has the digest that is told; an absent one or one of an unknown algorithm
+    rules nothing out. The algorithm's name is read in any case, digests as base32 or hex."""
+    algorithm, colon, digest = (told or "").partition(":")
+    algorithm = algorithm.strip().lower().replace("-", "")
+    if not colon or algorithm not in ("md5", "sha1", "sha256", "sha512"):
+        return True
+    raw = hashlib.new(algorithm, data).digest()
+    digest = digest.strip()
+    return digest.upper().rstrip("=") == base64.b32encode(raw).decode().rstrip("=") or digest.lower() == raw.hex()
+
+
+def _at(data: bytes, at: int, more: bool) -> tuple[dict | None, int]:
+    """The whole record at ``at`` and where it ends; (None, 0) if none is there, (None, -1) if that
+    cannot be told before ``more`` bytes come."""
+    if not _VERSION.match(data, at):
+        return None, -1 if more and len(data) - at < 10 else 0
+    head = data.find(b"\r\n\r\n", at, at + _HEAD)
+    if head < 0:
+        return None, -1 if more and len(data) - at < _HEAD else 0
+    size = _LENGTH.search(data, at, head + 2)
+    if not size:
+        return None, 0
+    end = head + 8 + int(size[1])
+    if end > len(data):
+        return None, -1 if more else 0
+    found = _parse(data[at:end])
+    return found, end if found else 0
+
+
+def _inside(unpacked: Iterator[bytes]) -> Iterator[tuple[str, dict]]:
+    """Events of the unpacked bytes of a member, whose gaps tell their place ``inside``."""
+    held, base, bad = b"", 0, None  # base: place of held[0]; bad: where a gap began
+    for piece in [*_pieces(unpacked), None]:
+        more = piece is not None
+        held, at = held + (piece or b""), 0
+        while at < len(held):
+            found, end = _at(held, at, more)
+            if end < 0:
+                break
+            if found:
+                if bad is not None:
+                    yield "gap", {"inside": bad, "n_bytes": base + at - bad, "reason": "no record inside a member"}
+                    bad = None
+                yield "record", found
+                at = end
+                continue
+            bad = base + at if bad is None else bad
+            line = _VERSION.search(held, at + 1)
+            at = line.start() if line else max(at + 1, len(held) - 9) if more else len(held)
+        held, base = held[at:], base + at
+    if bad is not None:
+        yield "gap", {"inside": bad, "n_bytes": base - bad, "reason": "no record inside a member"}
+
+
+def _pieces(unpacked: Iterator[bytes], least: int = 1 << 20) -> Iterator[bytes]:
+    """The bytes in larger pieces, so that a long record is looked at a few times only."""
+    parts, size = [], 0
+    for part in unpacked:
+        parts.append(part)
+        size += len(part)
+        if size >= least:
+            yield b"".join(parts)
+            parts, size, least = [], 0, min(2 * least, 1 << 26)
+    yield b"".join(parts)
+
+
+class _Unpacked:
+    """Pieces of the member at ``at``; ``end``: where it ends, None if it is damaged or cut."""
+
+    def __init__(self, data: bytes, at: int):
+        self.data, self.at, self.end = data, at, None
+
+    def __iter__(self) -> Iterator[bytes]:
+        unpack, pos = zlib.decompressobj(31), self.at
+        while not unpack.eof and pos < len(self.data):  # unused_data copies what it is given
+            before = unpack.copy()
+            try:
+                part = unpack.decompress(self.data[pos : pos + _FEED])
+            except zlib.error:
+                yield from self._last(before, pos)
+                return
+            yield part
+            pos += _FEED
+        if unpack.eof:
+            self.end = min(pos, len(self.data)) - len(unpack.unused_data)
+
+    def _last(self, unpack, pos: int) -> Iterator[bytes]:
+        """What the piece at ``pos`` gives before it fails."""
+        with contextlib.suppress(zlib.error):
+            for at in range(pos, pos + _FEED, 16):
+                yield unpack.decompress(self.data[at : at + 16])
 
 
 def salvage(data: bytes) -> Iterator[tuple[str, dict]]:
     """("record", fields) of every whole record of an archive, compressed by member or plain, and
-    ("gap", offset, n_bytes, reason) of every stretch of bytes that belongs to none."""
+    ("gap", offset, n_bytes, inside, reason) of every stretch of bytes that belongs to none. Every byte
+    of the archive is in a record, in a whole member with a record, or in a gap."""
     at, bad = 0, None
+
+    def gap(end: int) -> Iterator[tuple[str, dict]]:
+        if bad:
+            yield "gap", {"offset": bad[0], "n_bytes": end - bad[0], "inside": None, "reason": bad[1]}
+
     while at < len(data):
-        found, end, reason = None, at, "no record starts here"
+        end, reason = 0, "no record starts here"
         if data.startswith(_MEMBER, at):
-            unpack = zlib.decompressobj(31)
-            reason = "damaged member"
-            try:
-                parts, pos = [], at
-                while not unpack.eof and pos < len(data):  # unused_data copies what it is given
-                    parts.append(unpack.decompress(data[pos : pos + _FEED]))
-                    pos += _FEED
-                if unpack.eof:
-                    end = min(pos, len(data)) - len(unpack.unused_data)
-                    found, reason = _parse(b"".join(parts)), "damaged record"
-            except zlib.error:
-                pass
+            member, some, reason = _Unpacked(data, at), False, "damaged member"
+            for kind, found in _held_back(_inside(iter(member))):
+                if kind == "record" and not some:
+                    some = True
+                    yield from gap(at)
+                    bad = None
+                if kind == "record" or some and member.end:
+                    yield kind, found if kind == "record" else found | {"offset": at}
+            if member.end:
+                end, reason = member.end if some else 0, "damaged record"
         elif _VERSION.match(data, at):
-            reason, size = "damaged record", re.compile(rb"(?i)\r\ncontent-length:\s*(\d+)\r\n").search(data, at)
-            if size:
-                head = data.find(b"\r\n\r\n", at)
-                found = _parse(data[at : head + 8 + int(size[1])]) if head > 0 else None
-                end = at + found["_size"] if found else at
-        if found:
-            if bad:
-                yield "gap", {"offset": bad[0], "n_bytes": at - bad[0], "reason": bad[1]}
+            reason = "damaged record"
+            found, end = _at(data, at, False)
+            if found:
+                yield from gap(at)
                 bad = None
-            yield "record", found
+                yield "record", found
+        if end:
             at = end
             continue
         bad = bad or (at, reason)
         member = data.find(_MEMBER, at + 1)
         line = _VERSION.search(data, at + 1)
         at = min([len(data), *([member] if member >= 0 else []), *([line.start()] if line else [])])
-    if bad:
-        yield "gap", {"offset": bad[0], "n_bytes": len(data) - bad[0], "reason": bad[1]}
+    yield from gap(len(data))
+
+
+def _held_back(events: Iterator[tuple[str, dict]]) -> Iterator[tuple[str, dict]]:
+    """Gaps after the record that follows them, or at the end: they count once a record is known and
+    the member has been read. There are at most as many as there are records, and one."""
+    gaps = []
+    for kind, found in events:
+        if kind == "gap":
+            gaps.append((kind, found))
+        else:
+            yield kind, found
+    yield from gaps
 
 
 def read_archives(spark: SparkSession, path: str, with_payload: bool = False, gaps: bool = False) -> DataFrame:
@@ -196,7 +317,7 @@ def read_archives(spark: SparkSession, path: str, with_payload: bool = False, ga
         from pyarrow import fs
 
         types = {"page_id": pa.int64(), "payload_bytes": pa.int64(), "refers_to": pa.int64(), "payload": pa.binary(),
-                 "offset": pa.int64(), "n_bytes": pa.int64()}
+                 "offset": pa.int64(), "n_bytes": pa.int64(), "inside": pa.int64()}
 
         def made(rows: list[dict]) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays(
@@ -221,7 +342,7 @@ def read_archives(spark: SparkSession, path: str, with_payload: bool = False, ga
                 yield made(rows)
 
     n = max(1, manifest.count())
-    return manifest.select("file").repartition(n).mapInArrow(read, names)
+    return manifest.select("file").repartition(n).mapInArrow(lean(read), names)
 
 
 def round_trip(spark: SparkSession, pages: DataFrame, min_bytes: int = 0) -> DataFrame:

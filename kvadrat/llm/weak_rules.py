@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kvadrat.llm.common import Words, grams, id_text, mix, steps
+from kvadrat.llm.common import Words, grams, id_text, lean, mix, steps
 
 _SYMBOLS = np.zeros(256, bool)
 _SYMBOLS[list(b"#*$%&|<>")] = True
@@ -104,7 +104,7 @@ def measured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                     names=["doc_id", *_STATS, "pattern"])
 
     schema = "doc_id long, " + ", ".join(f"{s} long" for s in _STATS) + ", pattern int"
-    return id_text(docs, id_col, text_col).mapInArrow(make, schema)
+    return id_text(docs, id_col, text_col).mapInArrow(lean(make), schema)
 
 
 def estimate(patterns: np.ndarray, counts: np.ndarray, rounds: int = 200) -> tuple[float, np.ndarray, np.ndarray]:
