@@ -31,6 +31,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -85,7 +86,8 @@ def _analysed(rows: DataFrame, keep: str) -> DataFrame:
 @dataclass
 class Index:
     """``postings``: one row per shard and term with the strata, tfs and ends of its groups of
-    documents, and the documents of all groups; ``terms``: df of every term."""
+    documents, and the documents of all groups by their number in the shard; and a row per shard
+    without a term, whose documents are the ids of those numbers. ``terms``: df of every term."""
 
     postings: DataFrame
     terms: DataFrame
@@ -108,7 +110,7 @@ def build(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shard
     dealt = analysed.select(shard, "doc_id", normaliser(F.col("n"), n_docs, n_terms).alias("m"), "terms", "tfs")
     schema = "shard int, term long, strata array<long>, tfs array<int>, ends array<int>, docs array<long>"
     postings = stored(dealt.groupBy("shard").applyInArrow(_invert, schema), "postings")
-    terms = stored(postings.groupBy("term").agg(F.sum(F.size("docs")).alias("df")), "terms")
+    terms = stored(postings.where("term IS NOT NULL").groupBy("term").agg(F.sum(F.size("docs")).alias("df")), "terms")
     return Index(postings, terms, n_docs, n_terms)
 
 
@@ -118,7 +120,8 @@ def _invert(table: pa.Table) -> pa.Table:
     term, tf = (x.flatten().to_numpy() for x in lists)
     size = lists[0].value_lengths().to_numpy()
     m = np.repeat(table.column("m").to_numpy(), size)
-    doc = np.repeat(table.column("doc_id").combine_chunks().fill_null(_NO_ID).to_numpy(), size)
+    ids = table.column("doc_id").combine_chunks().fill_null(_NO_ID).to_numpy()
+    doc = np.repeat(np.arange(len(ids)), size)
     order = np.lexsort((doc, tf, m, term))
     term, tf, m, doc = term[order], tf[order], m[order], doc[order]
     first = np.ones(len(term), bool)
@@ -126,14 +129,16 @@ def _invert(table: pa.Table) -> pa.Table:
     group = first.copy()
     group[1:] |= (m[1:] != m[:-1]) | (tf[1:] != tf[:-1])
     groups, terms = np.flatnonzero(group), np.flatnonzero(first)
-    to_groups = pa.array(np.searchsorted(groups, np.concatenate([terms, [len(term)]])), pa.int32())
-    to_docs = pa.array(np.concatenate([terms, [len(term)]]), pa.int32())
-    ends = np.concatenate([groups[1:], [len(term)]]) - np.repeat(terms, np.diff(to_groups.to_numpy()))
-    made = lambda at, values: pa.ListArray.from_arrays(at, pa.array(values))
+    to_groups = np.searchsorted(groups, np.concatenate([terms, [len(term)]]))
+    to_docs = np.concatenate([terms, [len(term)]])
+    ends = np.concatenate([groups[1:], [len(term)]]) - np.repeat(terms, np.diff(to_groups))
+    # the last row has no term and holds the ids
+    made = lambda at, values: pa.ListArray.from_arrays(pa.array([*at, len(values)], pa.int32()), pa.array(values))
     return pa.table({
-        "shard": pa.array(np.full(len(terms), table.column("shard")[0].as_py()), pa.int32()), "term": term[terms],
+        "shard": pa.array(np.full(len(terms) + 1, table.column("shard")[0].as_py()), pa.int32()),
+        "term": pa.concat_arrays([pa.array(term[terms]), pa.nulls(1, pa.int64())]),
         "strata": made(to_groups, m[groups]), "tfs": made(to_groups, tf[groups].astype(np.int32)),
-        "ends": made(to_groups, ends.astype(np.int32)), "docs": made(to_docs, doc),
+        "ends": made(to_groups, ends.astype(np.int32)), "docs": made(to_docs, np.concatenate([doc, ids])),
     })
 
 
@@ -146,12 +151,14 @@ class _Shard:
     """The groups of a shard's postings, term by term."""
 
     def __init__(self, table: pa.Table):
+        named = table.column("term").is_null()
+        self.doc_id = _flat(table.filter(named).column("docs"))[0]
+        table = table.filter(pc.invert(named))
         self.term = table.column("term").to_numpy()
         strata, size = _flat(table.column("strata"))
         self.tf = _flat(table.column("tfs"))[0].astype(np.int64)
         ends = _flat(table.column("ends"))[0].astype(np.int64)
-        docs, n_docs = _flat(table.column("docs"))
-        self.doc_id, self.doc = np.unique(docs, return_inverse=True)
+        self.doc, n_docs = _flat(table.column("docs"))
         self.m, self.stratum = np.unique(strata, return_inverse=True)
         self.m_of = strata
         order = np.argsort(self.term, kind="stable")
@@ -166,8 +173,9 @@ class _Shard:
 
     def groups(self, terms: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The groups of a query's terms, the term of each and its impact for the query."""
-        at = np.minimum(np.searchsorted(self.sorted_term, terms), len(self.sorted_term) - 1)
-        have = self.sorted_term[at] == terms
+        at = np.searchsorted(self.sorted_term, terms)
+        have = at < len(self.sorted_term)
+        have[have] = self.sorted_term[at[have]] == terms[have]
         at, weights = at[have], weights[have]
         size = self.last[at] - self.first[at]
         which = np.repeat(np.arange(len(at)), size)
@@ -254,5 +262,5 @@ def _searched(postings: DataFrame, weighed: DataFrame, k: int) -> DataFrame:
         columns = [np.concatenate(c) for c in zip(*out)] if out else [np.zeros(0, np.int64)] * 3
         return pa.table([pa.array(c, pa.int64()) for c in columns], names=["query", "doc_id", "score"])
 
-    read = postings.join(weighed.select("term").distinct(), "term", "left_semi")
+    read = postings.join(weighed.select("term").distinct(), "term", "left_semi").unionByName(postings.where("term IS NULL"))
     return read.groupBy("shard").applyInArrow(best, schema)
