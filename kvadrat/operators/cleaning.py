@@ -1,9 +1,11 @@
 """Cleaning operators (C1-C11): composite-key dedup, quality filter and their summaries.
 
 "First" copy of a key is the one with the smallest ``_ord`` (the loader attaches it from
-the file position; the test view from its stated column order). Dedup is a hash/sort
-aggregate with map-side partial aggregation, so a key holding a third of all rows is
-reduced to one candidate per map task before the shuffle.
+the file position; the test view from its stated column order). Keys are wide (title and
+description), so rows are grouped by a 128-bit digest of the key: partial aggregation sorts and
+hashes two longs, the shuffle is dealt by them, and a key holding a third of all rows is
+reduced to one candidate per map task before it. A third digest is checked in every group, so two
+keys that share a digest fail the query rather than lose a row.
 """
 
 from __future__ import annotations
@@ -29,17 +31,45 @@ def split_by_key(df: DataFrame, key: list[str] | None = None) -> tuple[DataFrame
     return df.filter(ok), df.filter(~ok)
 
 
-def _first_per_key(complete: DataFrame, key: list[str], order_col: str) -> DataFrame:
-    others = [c for c in complete.columns if c not in key]
-    picked = F.min_by(F.struct(*[F.col(c) for c in others]), F.col(order_col)).alias("_first")
-    return complete.groupBy(*key).agg(picked).select(*key, "_first.*").select(*complete.columns)
+DIGEST = ["_d1", "_d2"]
+
+
+def key_digest(columns: list[str], present: Column | None = None) -> dict[str, Column]:
+    """``_d1``, ``_d2`` (what rows are grouped by) and ``_d3`` (what a group is checked by): hashes
+    of the columns in different orders. A null hashes as a mark of its own; rows that are not
+    ``present`` all have the digest null."""
+    marked = [F.struct(F.col(c).isNull(), F.col(c)) for c in columns]
+    orders = {"_d1": marked, "_d2": [F.lit(2), *marked[::-1]], "_d3": [F.lit(3), *marked[1:], *marked[:1]]}
+    return {n: F.xxhash64(*o) if present is None else F.when(present, F.xxhash64(*o)) for n, o in orders.items()}
+
+
+def _checked(value: Column) -> Column:
+    """``value`` if all rows of a digest group have one key."""
+    same = F.min("_d3").eqNullSafe(F.max("_d3"))
+    return F.when(same, value).otherwise(F.raise_error(F.lit("two keys share a digest")).cast("bigint"))
+
+
+def _first_per_key(df: DataFrame, key: list[str], order_col: str, alone: Column | None = None) -> DataFrame:
+    """The first row of each key. Rows that stand ``alone`` have a digest of their own, a number that
+    no other row has, so they pass the same aggregate as groups of one."""
+    digests = key_digest(key)
+    if alone is not None:
+        number = F.monotonically_increasing_id()
+        own = {"_d1": number, "_d2": F.lit(-1), "_d3": F.lit(0)}
+        digests = {n: F.when(alone, own[n]).otherwise(d) for n, d in digests.items()}
+        digests["_alone"] = alone
+    row = F.struct(*[F.col(c) for c in df.columns])
+    group = [n for n in digests if n != "_d3"]
+    first = df.withColumns(digests).groupBy(*group).agg(
+        F.min_by(row, F.col(order_col)).alias("_first"), _checked(F.count(F.lit(1))).alias("_copies"))
+    return first.filter(F.col("_copies") > 0).select("_first.*")
 
 
 def dedup_keep_first(df: DataFrame, key: list[str] | None = None, order_col: str = ORDER_COL) -> DataFrame:
-    """C2 + C3: one row per complete key (the first copy), then every incomplete-key row."""
+    """C2 + C3: one row per complete key (the first copy) and every incomplete-key row, from one
+    scan and one aggregate."""
     key = key or S.COMPOSITE_KEY
-    complete, incomplete = split_by_key(df, key)
-    return _first_per_key(complete, key, order_col).unionByName(incomplete)
+    return _first_per_key(df, key, order_col, ~complete_key(key))
 
 
 def quality_rules() -> dict[str, Column]:
@@ -62,27 +92,55 @@ def quality_filter(df: DataFrame) -> DataFrame:
 
 
 def build_cleaned(df: DataFrame, key: list[str] | None = None, order_col: str = ORDER_COL) -> DataFrame:
-    """Dedup then quality filter. ``price_eur``/``area_m2`` filters sit on key columns, so
-    Catalyst moves them below the aggregate; rooms/year depend on the chosen copy."""
-    return quality_filter(dedup_keep_first(df, key, order_col))
+    """Dedup then quality filter. The rules on key columns hold for all copies or for none, so rows
+    that fail them go before the shuffle; rooms and year depend on the chosen copy."""
+    key = key or S.COMPOSITE_KEY
+    early = [F.coalesce(r, F.lit(False)) for c, r in quality_rules().items() if c in key]
+    return quality_filter(dedup_keep_first(df.filter(reduce(lambda a, b: a & b, early, F.lit(True))), key, order_col))
+
+
+def set_counts(
+    df: DataFrame, columns: list[str], key: list[str] | None = None, order_col: str = ORDER_COL
+) -> DataFrame:
+    """Raw against cleaned in one pass: distinct values of ``columns`` (columns of the key, so all
+    copies of a listing share them) with ``raw`` and ``cleaned``, the rows that hold them before and
+    after dedup and the quality filter. A value may show in several rows; their counts add up."""
+    key = key or S.COMPOSITE_KEY
+    if not set(columns) <= set(key):
+        raise ValueError(f"only key columns have one value in all copies: {', '.join(sorted(set(columns) - set(key)))}")
+    ok = complete_key(key)
+    carried = list(dict.fromkeys([*columns, "area_m2", "price_eur"]))
+    rows = df.select(*carried, "rooms", "year_built", order_col, ok.alias("_complete"), *(c.alias(n) for n, c in key_digest(key, ok).items()))
+    # the values follow from a digest; without one they are the group
+    groups = rows.groupBy(*DIGEST, "_complete", *carried).agg(
+        _checked(F.count(F.lit(1))).alias("raw"),
+        F.min_by(F.struct("rooms", "year_built"), F.col(order_col)).alias("_first"),
+        F.count_if(passes_quality()).alias("_pass"),
+    )
+    first = groups.select(*carried, "_complete", "raw", "_pass", "_first.rooms", "_first.year_built")
+    cleaned = F.when(F.col("_complete"), passes_quality().cast("bigint")).otherwise(F.col("_pass"))
+    return first.select(*columns, "raw", cleaned.alias("cleaned"))
 
 
 def cleaning_summary(df: DataFrame, key: list[str] | None = None, order_col: str = ORDER_COL) -> DataFrame:
     """The eight counts as one row, from one scan and one aggregate.
 
-    Incomplete-key rows all fall into one group (null key, ``_complete`` false); only
+    Incomplete-key rows all fall into one group (null digest, ``_complete`` false); only
     counts are taken from it and partial aggregation keeps that group map-side.
     """
     key = key or S.COMPOSITE_KEY
     ok = complete_key(key)
-    groups = df.groupBy(*[F.when(ok, F.col(k)).alias(k) for k in key], ok.alias("_complete")).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.min_by(F.struct("rooms", "year_built"), F.col(order_col)).alias("_first"),
+    # of the key, only what the rules read goes along
+    carried = ["area_m2", "price_eur", "rooms", "year_built"]
+    groups = df.select(*carried, order_col, ok.alias("_complete"), *(c.alias(n) for n, c in key_digest(key, ok).items()))
+    groups = groups.groupBy(*DIGEST, "_complete").agg(
+        _checked(F.count(F.lit(1))).alias("n"),
+        F.min_by(F.struct(*carried), F.col(order_col)).alias("_first"),
         F.count_if(passes_quality()).alias("n_pass"),
     )
     first_ok = F.coalesce(
-        F.col("area_m2").between(*S.AREA_RANGE)
-        & F.col("price_eur").between(*S.PRICE_RANGE)
+        F.col("_first.area_m2").between(*S.AREA_RANGE)
+        & F.col("_first.price_eur").between(*S.PRICE_RANGE)
         & (F.col("_first.rooms").isNull() | F.col("_first.rooms").between(*S.ROOMS_RANGE))
         & (F.col("_first.year_built").isNull() | F.col("_first.year_built").between(*S.YEAR_RANGE)),
         F.lit(False),
@@ -186,14 +244,17 @@ def top_duplicate_groups(df: DataFrame, n: int = 10, key: list[str] | None = Non
     """The ``n`` most repeated complete keys (ties by key, ascending)."""
     key = key or S.COMPOSITE_KEY
     complete, _ = split_by_key(df, key)
-    counts = complete.groupBy(*key).agg(F.count(F.lit(1)).alias("copies")).filter(F.col("copies") > 1)
+    counts = complete.withColumns(key_digest(key)).groupBy(*DIGEST).agg(
+        F.min(F.struct(*key)).alias("_key"), _checked(F.count(F.lit(1))).alias("copies"))
+    counts = counts.filter(F.col("copies") > 1).select("_key.*", "copies")
     return counts.orderBy(F.col("copies").desc(), *[F.col(k).asc() for k in key]).limit(n)
 
 
 def exact_duplicates(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Fully identical rows beyond the first (nulls equal)."""
-    columns = columns or S.RAW_COLUMNS
-    per_row = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("n"))
+    """Fully identical rows beyond the first (nulls equal). Rows are counted by digest alone:
+    a hash aggregate of fixed width, whatever the columns hold."""
+    per_row = df.select(*(c.alias(n) for n, c in key_digest(columns or S.RAW_COLUMNS).items()))
+    per_row = per_row.groupBy(*DIGEST).agg(_checked(F.count(F.lit(1))).alias("n"))
     return per_row.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("bigint").alias("exact_duplicate_rows"))
 
 

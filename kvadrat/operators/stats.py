@@ -6,7 +6,7 @@ Rules followed throughout:
 * small derived frames joined back are one-row aggregates or ``limit(k)`` results, so their
   ``broadcast`` has a proven size bound;
 * no window without ``partitionBy`` runs over data that grows with the input; global ranks
-  go through ``value_ranks``, which splits the value domain into buckets first.
+  go through ``ranked_values``, whose rows are dealt by range first.
 * numpy rounds half-to-even on the scaled value, so rounding is ``rint(x * 10^d) / 10^d``.
 """
 
@@ -166,7 +166,8 @@ def clip_upper(
 
 
 def histogram(df: DataFrame, column: str, bins: int = 45, group_cols: list[str] | None = None) -> DataFrame:
-    """Equal-width bins over the observed [min, max], last bin closed on the right.
+    """Equal-width bins over the observed [min, max], last bin closed on the right. A column
+    ``_n`` counts as the copies of its row.
 
     Range is a one-row aggregate per group (broadcast when ungrouped); counts are a
     partial/final hash aggregate on (group, bin)."""
@@ -190,7 +191,8 @@ def histogram(df: DataFrame, column: str, bins: int = 45, group_cols: list[str]
     raw = F.least(F.floor((x - lo) / (hi - lo) * F.lit(float(bins))), F.lit(bins - 1)).cast("int")
     down = F.when(x < edge(raw), raw - 1).otherwise(raw)
     b = F.when((x >= edge(down + 1)) & (down != bins - 1), down + 1).otherwise(down)
-    counts = joined.groupBy(*group_cols, b.alias("bin"), "_lo", "_hi").agg(F.count(F.lit(1)).alias("count"))
+    copies = F.sum("_n") if "_n" in df.columns else F.count(F.lit(1))
+    counts = joined.groupBy(*group_cols, b.alias("bin"), "_lo", "_hi").agg(copies.alias("count"))
     return counts.select(
         *group_cols,
         "bin",
@@ -200,11 +202,48 @@ def histogram(df: DataFrame, column: str, bins: int = 45, group_cols: list[str]
     )
 
 
+# ---------------------------------------------------------------------------
+# Raw against cleaned
+# ---------------------------------------------------------------------------
+
+
+def by_dataset(sets: DataFrame, name: str = "dataset") -> DataFrame:
+    """Rows of ``cleaning.set_counts`` dealt to the datasets they belong to: the value columns, the
+    dataset's name and ``_n``, the rows of it with these values."""
+    values = [c for c in sets.columns if c not in ("raw", "cleaned")]
+    each = F.explode(F.array(*[F.struct(F.lit(d).alias(name), F.col(d).alias("_n")) for d in ("raw", "cleaned")]))
+    return sets.select(*values, each.alias("_s")).select(*values, "_s.*").filter(F.col("_n") > 0)
+
+
+def repeated(df: DataFrame, n: str = "_n", portion: int = 1 << 12) -> DataFrame:
+    """Each row ``n`` times, without an array longer than ``portion`` in any of them (up to its square)."""
+    starts = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1, F.lit(portion).cast("bigint")))
+    some = df.withColumn("_start", starts)
+    size = F.least(F.lit(portion).cast("bigint"), F.col(n) - F.col("_start"))
+    return some.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), size))).drop("_start", "_copy", n)
+
+
 # ---------------------------------------------------------------------------
 # Label counts
 # ---------------------------------------------------------------------------
 
 
+def set_value_counts_top(sets: DataFrame, column: str, n: int = 10, name: str = "stage") -> DataFrame:
+    """E5 for both datasets: the ``n`` most frequent labels of each (ties by label)."""
+    counts = sets.filter(F.col(column).isNotNull()).groupBy(column).agg(F.sum("raw").alias("raw"), F.sum("cleaned").alias("cleaned"))
+    order = Window.partitionBy(name).orderBy(F.col("_n").desc(), F.col(column).asc())
+    top = by_dataset(counts, name).withColumn("_rn", F.row_number().over(order)).filter(F.col("_rn") <= n)
+    return top.select(name, column, F.col("_n").alias("n"))
+
+
+def set_before_after(sets: DataFrame, column: str = "city", n: int = 10) -> DataFrame:
+    """E6 from ``cleaning.set_counts``: one aggregate, no join."""
+    counts = sets.filter(F.col(column).isNotNull()).groupBy(column).agg(
+        F.sum("raw").cast("bigint").alias("raw_rows"), F.sum("cleaned").cast("bigint").alias("cleaned_rows"))
+    counts = counts.withColumn("removed", F.col("raw_rows") - F.col("cleaned_rows"))
+    return counts.orderBy(F.col("raw_rows").desc(), F.col(column).asc()).limit(n)
+
+
 def value_counts_top(df: DataFrame, column: str, n: int = 10) -> DataFrame:
     """E5: the ``n`` most frequent non-null labels (ties by label)."""
     counts = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
@@ -334,13 +373,12 @@ def pearson(a: str = "area_m2", b: str = "price_eur") -> Column:
     return F.corr(F.col(a), F.col(b))
 
 
-def value_ranks(df: DataFrame, column: str, group_cols: list[str] | None = None, buckets: int = 256) -> DataFrame:
+def value_ranks(df: DataFrame, column: str, group_cols: list[str] | None = None) -> DataFrame:
     """Rank of every distinct value of ``column`` (per group): ``rows_below`` (0-based
     rank of its first copy), ``ties`` and ``avg_rank`` (1-based, ties averaged).
-
     Distributed (see ``ranked_values``): no task sees all values of a group."""
     g = list(group_cols or [])
-    r = ranked_values(df, column, g, buckets)
+    r = ranked_values(df, column, g)
     return r.select(
         *g,
         column,
@@ -352,17 +390,29 @@ def value_ranks(df: DataFrame, column: str, group_cols: list[str] | None = None,
 
 def spearman(df: DataFrame, a: str = "area_m2", b: str = "price_eur", group_cols: list[str] | None = None) -> DataFrame:
     """Spearman correlation = Pearson over average ranks, on rows with both values,
-    per group (e.g. a dataset tag, so several frames rank in one pass).
+    per group (e.g. a dataset tag, so several frames rank in one pass). A column ``_n`` counts as
+    the copies of its row.
 
-    The projection is checkpointed once; both rank tables and the final joins read it.
-    Ranks join back on (group, value): one build row per value, and AQE splits a skewed
-    probe side (a value held by a third of the rows)."""
+    Distinct pairs with their counts are written once; they feed the ranking of both columns
+    (one pass, the column's name being a part of the group) and the joins that bring the ranks
+    back on (group, value), whose skewed values AQE splits."""
     g = list(group_cols or [])
-    pairs = checkpointed(df.select(*g, a, b).filter(F.col(a).isNotNull() & F.col(b).isNotNull()))
-    ra = value_ranks(pairs, a, g).select(*g, a, F.col("avg_rank").alias("_ra"))
-    rb = value_ranks(pairs, b, g).select(*g, b, F.col("avg_rank").alias("_rb"))
-    joined = pairs.join(ra, [*g, a]).join(rb, [*g, b])
-    return joined.groupBy(*g).agg(F.corr("_ra", "_rb").alias("spearman"))
+    copies = F.sum("_n") if "_n" in df.columns else F.count(F.lit(1))
+    valid = [F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double")) for c in (a, b)]
+    pairs = df.filter(valid[0] & valid[1]).groupBy(*g, a, b).agg(copies.alias("_rows"))
+    pairs = checkpointed(pairs)
+    named = stacked(pairs.select(*g, F.col(a).cast("double"), F.col(b).cast("double"), "_rows"), [a, b], "_column", "_value", [*g, "_rows"])
+    ranks = value_ranks(named.withColumnRenamed("_rows", "_n"), "_value", [*g, "_column"]).select(*g, "_column", "_value", "avg_rank")
+    of = lambda c, to: ranks.filter(F.col("_column") == c).select(*g, F.col("_value").alias(c), F.col("avg_rank").alias(to))
+    cast = pairs.select(*g, F.col(a).cast("double").alias(a), F.col(b).cast("double").alias(b), "_rows")
+    joined = cast.join(of(a, "_ra"), [*g, a]).join(of(b, "_rb"), [*g, b])
+    # Pearson over rows from sums over distinct pairs; ranks are centred first, so nothing cancels
+    n, x, y, w = F.sum("_rows"), F.col("_ra"), F.col("_rb"), F.col("_rows")
+    centre = joined.groupBy(*g).agg((n + 1).alias("_n1"))
+    joined = joined.join(F.broadcast(centre), g) if g else joined.crossJoin(F.broadcast(centre))
+    x, y = x - F.col("_n1") / 2.0, y - F.col("_n1") / 2.0
+    return joined.groupBy(*g).agg(
+        F.try_divide(F.sum(w * x * y), F.sqrt(F.sum(w * x * x)) * F.sqrt(F.sum(w * y * y))).alias("spearman"))
 
 
 CORR_COLUMNS = ["price_eur", "area_m2", "rooms", "year_built", "floor", "total_floors", "building_age", "price_per_m2"]
@@ -436,33 +486,49 @@ def regions_by_city(df: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 
-def ranked_values(df: DataFrame, value: str, group_cols: list[str] | None = None, buckets: int = 256) -> DataFrame:
+def _ranges(df: DataFrame, value: str, group_cols: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Distinct (group, value) rows with ``_n`` copies, dealt by range, with their range ``_p``;
+    and the ranges of each group with ``_rows`` (copies in it), ``_offset`` (copies in the ranges
+    before it) and ``_size`` (copies in the group).
+
+    Both frames read one shuffle (a reused exchange). Its number of ranges is the session's and is stated,
+    so no coalescing renumbers them; ``_same_range`` fails a query that would read two different ones."""
+    g, v = list(group_cols), F.col(value)
+    copies = F.sum("_n") if "_n" in df.columns else F.count(F.lit(1))
+    counts = df.filter(v.isNotNull() & ~F.isnan(v.cast("double"))).groupBy(*g, value).agg(copies.alias("_n"))
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = counts.repartitionByRange(n, *g, value).withColumn("_p", F.spark_partition_id())
+    # at most one row per group and range that holds some of it
+    totals = ranged.groupBy(*g, "_p").agg(F.sum("_n").alias("_rows"))
+    whole = Window.partitionBy(*g)
+    before = whole.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    totals = totals.select(
+        *g, "_p", "_rows", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"), F.sum("_rows").over(whole).alias("_size"))
+    return ranged, totals
+
+
+def _ranked(rows: DataFrame, value: str, group_cols: list[str]) -> DataFrame:
+    """Ranks ``_first`` of range rows joined with their ranges: the offset of the range and the
+    copies of smaller values in it."""
+    part = Window.partitionBy(*group_cols, "_p")
+    before = part.orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    same = F.when(F.sum("_n").over(part) == F.col("_rows"), F.col("_offset")).otherwise(
+        F.raise_error(F.lit("ranges of values were dealt twice")).cast("long"))
+    return rows.withColumn("_first", same + F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_offset", "_rows", "_p")
+
+
+def ranked_values(df: DataFrame, value: str, group_cols: list[str] | None = None) -> DataFrame:
     """Distinct (group, value) rows with ``_n`` copies, ``_first`` (0-based rank of the
-    first copy within the group) and ``_size`` (non-null rows in the group).
+    first copy within the group) and ``_size`` (non-null rows in the group). A column ``_n`` of
+    ``df`` counts as the copies of its row.
 
-    Plan: distinct (group, value) counts (partial aggregation); per group, value buckets
-    from approximate quantiles of the distinct values (a sketch of bounded size); the
-    bucketed table is checkpointed once (it feeds two branches); running counts inside each
-    (group, bucket) window; bucket offsets from a window over at most ``buckets`` bucket
-    totals per group. A hot group is spread over its buckets: no task holds a whole group."""
+    Plan: distinct (group, value) counts (partial aggregation); these are dealt by range, so a
+    group of any size lies in consecutive ranges; ranges are counted, and a running sum over the
+    few counts of a group gives each range its offset, which is joined back. Running
+    counts need one window per (group, range). A hot value is one row, a hot group many ranges."""
     g = list(group_cols or [])
-    v = F.col(value)
-    counts = df.filter(v.isNotNull() & ~F.isnan(v.cast("double"))).groupBy(*g, value).agg(F.count(F.lit(1)).alias("_n"))
-    fractions = [i / buckets for i in range(1, buckets)]
-    per_group = counts.groupBy(*g).agg(
-        F.percentile_approx(v, fractions, 10 * buckets).alias("_bounds"), F.sum("_n").alias("_size")
-    )
-    rows = counts.join(per_group, g) if g else counts.crossJoin(F.broadcast(per_group))
-    rows = rows.withColumn("_b", F.size(F.filter(F.col("_bounds"), lambda x: x < v))).drop("_bounds")
-    rows = checkpointed(rows)
-
-    w_in = Window.partitionBy(*g, "_b").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    rows = rows.withColumn("_in", F.coalesce(F.sum("_n").over(w_in), F.lit(0)))
-    totals = rows.groupBy(*g, "_b").agg(F.sum("_n").alias("_bn"))
-    w_b = (Window.partitionBy(*g) if g else Window).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*g, "_b", F.coalesce(F.sum("_bn").over(w_b), F.lit(0)).alias("_offset"))
-    rows = rows.join(offsets, [*g, "_b"]) if g else rows.join(F.broadcast(offsets), "_b")
-    return rows.withColumn("_first", F.col("_offset") + F.col("_in")).drop("_offset", "_in", "_b")
+    ranged, totals = _ranges(df, value, g)
+    return _ranked(ranged.join(totals, [*g, "_p"]), value, g)
 
 
 def exact_quantiles(
@@ -470,25 +536,26 @@ def exact_quantiles(
     value: str,
     qs: list[float],
     group_cols: list[str] | None = None,
-    buckets: int = 256,
 ) -> DataFrame:
     """Exact quantiles (numpy's linear interpolation, bit for bit) of ``value`` per group,
     as columns ``q0..q{k-1}`` plus ``n`` (non-null count).
 
-    Every distinct value knows its rank range (``ranked_values``) and keeps only the order
-    statistics some quantile needs, so the final aggregate sees at most two values per
-    quantile and group."""
+    The ranges' offsets tell which ranges hold the order statistics that some quantile needs; only
+    those ranges are ranked, and the final aggregate sees at most two values per quantile and group."""
     g = list(group_cols or [])
     v = F.col(value)
-    rows = ranked_values(df, value, g, buckets)
-    first = F.col("_first")
-    last = first + F.col("_n") - 1
+    ranged, totals = _ranges(df, value, g)
     wanted = []
     for i, q in enumerate(qs):
         pos = F.lit(float(q)) * (F.col("_size") - 1)
         for side, r in (("lo", F.floor(pos)), ("hi", F.ceil(pos))):
-            wanted.append(F.when((r >= first) & (r <= last), F.struct(F.lit(i).alias("qi"), F.lit(side).alias("side"))))
-    picked = rows.select(*g, "_size", v.cast("double").alias("_v"), F.explode(F.array_compact(F.array(*wanted))).alias("w"))
+            wanted.append(F.struct(F.lit(i).alias("qi"), F.lit(side).alias("side"), r.cast("long").alias("rank")))
+    held = F.filter(F.array(*wanted), lambda w: (w["rank"] >= F.col("_offset")) & (w["rank"] < F.col("_offset") + F.col("_rows")))
+    totals = totals.withColumn("_wanted", held).filter(F.size("_wanted") > 0)
+    rows = _ranked(ranged.join(totals, [*g, "_p"]), value, g)
+    first = F.col("_first")
+    hit = F.filter("_wanted", lambda w: (w["rank"] >= first) & (w["rank"] < first + F.col("_n")))
+    picked = rows.select(*g, "_size", v.cast("double").alias("_v"), F.explode(hit).alias("w"))
     per_q = picked.groupBy(*g, "_size", F.col("w.qi").alias("qi")).agg(
         F.max(F.when(F.col("w.side") == "lo", F.col("_v"))).alias("v_lo"),
         F.max(F.when(F.col("w.side") == "hi", F.col("_v"))).alias("v_hi"),
@@ -503,7 +570,10 @@ def exact_quantiles(
     return wide.withColumnRenamed("_size", "n")
 
 
-def stacked(df: DataFrame, columns: list[str], name: str = "column_name", value: str = "value") -> DataFrame:
-    """Long form (column_name, value) of several numeric columns, for one grouped pass."""
+def stacked(
+    df: DataFrame, columns: list[str], name: str = "column_name", value: str = "value", keep: list[str] | None = None
+) -> DataFrame:
+    """Long form (column_name, value) of several numeric columns, for one grouped pass; ``keep``
+    columns go along."""
     items = [F.struct(F.lit(c).alias(name), F.col(c).cast("double").alias(value)) for c in columns]
-    return df.select(F.explode(F.array(*items)).alias("_s")).select("_s.*")
+    return df.select(*(keep or []), F.explode(F.array(*items)).alias("_s")).select(*(keep or []), "_s.*")

@@ -29,6 +29,11 @@ def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.build_cleaned(raw(spark, sf_dir))
 
 
+def sets(spark: SparkSession, sf_dir: str, columns: list[str]) -> DataFrame:
+    """Values of key columns with their raw and cleaned rows, from one pass over the raw stage."""
+    return C.set_counts(raw(spark, sf_dir), columns)
+
+
 def model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return FE.add_model_features(cleaned(spark, sf_dir))
 

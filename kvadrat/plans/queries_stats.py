@@ -146,26 +146,24 @@ series as (
 
 
 def _clip_series(spark, sf):
-    raw, cleaned = frames.raw(spark, sf), frames.cleaned(spark, sf)
-    # both p99 bounds of the raw data in one pass (one row per column)
-    bounds = E.quantile_columns(raw, ["price_eur", "area_m2"], [0.99])
-    out = None
-    for name, df, col, scale in [
-        ("raw_price_k", raw, "price_eur", 1000.0),
-        ("cleaned_price_k", cleaned, "price_eur", 1000.0),
-        ("raw_area", raw, "area_m2", 1.0),
-        ("cleaned_area", cleaned, "area_m2", 1.0),
-    ]:
-        bound = bounds.filter(F.col("column_name") == col).select(F.col("q0").alias("_upper"))
-        clipped = E.clip_upper(df.filter(F.col(col).isNotNull()).select(col), col, 0.99, bound=bound)
-        part = clipped.select(F.lit(name).alias("series"), (F.col(f"{col}_clipped") / scale).alias("value"))
-        out = part if out is None else out.unionByName(part)
-    return out
+    """(series, value, _n): raw and cleaned values clipped at the raw p99, from one pass over the
+    listings, whose narrow counts are written once; both bounds are one ranking."""
+    sets = checkpointed(frames.sets(spark, sf, ["price_eur", "area_m2"]))
+    raw = sets.select("price_eur", "area_m2", F.col("raw").alias("_n"))
+    bounds = E.exact_quantiles(E.stacked(raw, ["price_eur", "area_m2"], keep=["_n"]), "value", [0.99], ["column_name"])
+    series = [("raw_price_k", "price_eur", "raw", 1000.0), ("cleaned_price_k", "price_eur", "cleaned", 1000.0),
+              ("raw_area", "area_m2", "raw", 1.0), ("cleaned_area", "area_m2", "cleaned", 1.0)]
+    each = F.explode(F.array(*[
+        F.struct(F.lit(name).alias("series"), F.lit(col).alias("column_name"), F.col(col).alias("value"), F.col(n).alias("_n"), F.lit(scale).alias("scale"))
+        for name, col, n, scale in series]))
+    rows = sets.select(each.alias("s")).select("s.*").filter("_n > 0 AND value IS NOT NULL")
+    clipped = rows.join(F.broadcast(bounds.select("column_name", "q0")), "column_name")  # two rows
+    return clipped.select("series", (F.least("value", "q0") / F.col("scale")).alias("value"), "_n")
 
 
 @register("e3_clip_at_quantile", q(_CLIP_SQL + f"select series, {_re('value')} as value from series"))
 def e3(spark, sf):
-    s = _clip_series(spark, sf)
+    s = E.repeated(_clip_series(spark, sf))
     return s.select("series", _rs("value"))
 
 
@@ -193,7 +191,7 @@ from binned group by series, bin, lo, hi
     ),
 )
 def e4(spark, sf):
-    h = E.histogram(checkpointed(_clip_series(spark, sf)), "value", 45, group_cols=["series"])
+    h = E.histogram(_clip_series(spark, sf), "value", 45, group_cols=["series"])
     return h.select("series", "bin", _rs("bin_lo"), _rs("bin_hi"), "count")
 
 
@@ -210,9 +208,7 @@ select * from (select 'cleaned' as stage, city, count(*) as n from cleaned where
     ),
 )
 def e5(spark, sf):
-    a = E.value_counts_top(frames.raw(spark, sf), "city").select(F.lit("raw").alias("stage"), "city", "n")
-    b = E.value_counts_top(frames.cleaned(spark, sf), "city").select(F.lit("cleaned").alias("stage"), "city", "n")
-    return a.unionByName(b)
+    return E.set_value_counts_top(frames.sets(spark, sf, ["city"]), "city")
 
 
 @register(
@@ -229,7 +225,7 @@ order by raw_rows desc, city limit 10
     ),
 )
 def e6(spark, sf):
-    return E.before_after_counts(frames.raw(spark, sf), frames.cleaned(spark, sf), "city")
+    return E.set_before_after(frames.sets(spark, sf, ["city"]), "city")
 
 
 @register(
@@ -256,7 +252,8 @@ sub as (select * from model where city in (select city from top8))
     q(_TOP8_SQL + "select city, region, area_m2, price_eur, price_per_m2 from sub"),
 )
 def e8(spark, sf):
-    sub = E.top_k_semi_join(frames.model(spark, sf), frames.cleaned(spark, sf), "city", 8)
+    cleaned = frames.cleaned_checkpointed(spark, sf)
+    sub = E.top_k_semi_join(FE.add_model_features(cleaned), cleaned, "city", 8)
     return sub.select("city", "region", "area_m2", "price_eur", "price_per_m2")
 
 
@@ -340,12 +337,8 @@ union all select 'cleaned', {_re('corr(area_m2, price_eur)')} from cleaned
     ),
 )
 def e13(spark, sf):
-    a = frames.raw(spark, sf).agg(E.pearson("area_m2", "price_eur").alias("pearson"))
-    b = frames.cleaned(spark, sf).agg(E.pearson("area_m2", "price_eur").alias("pearson"))
-    return (
-        a.select(F.lit("raw").alias("dataset"), _rs("pearson"))
-        .unionByName(b.select(F.lit("cleaned").alias("dataset"), _rs("pearson")))
-    )
+    rows = E.by_dataset(frames.sets(spark, sf, ["area_m2", "price_eur"]))
+    return E.repeated(rows).groupBy("dataset").agg(E.pearson("area_m2", "price_eur").alias("pearson")).select("dataset", _rs("pearson"))
 
 
 def _spearman_sql(src: str) -> str:
@@ -365,10 +358,8 @@ union all select 'cleaned', {_re(_spearman_sql('cleaned'))}
     ),
 )
 def e14(spark, sf):
-    raw = frames.raw(spark, sf).select(F.lit("raw").alias("dataset"), "area_m2", "price_eur")
-    cleaned = frames.cleaned(spark, sf).select(F.lit("cleaned").alias("dataset"), "area_m2", "price_eur")
-    out = E.spearman(raw.unionByName(cleaned), group_cols=["dataset"])
-    return out.select("dataset", _rs("spearman"))
+    rows = E.by_dataset(frames.sets(spark, sf, ["area_m2", "price_eur"]))
+    return E.spearman(rows, group_cols=["dataset"]).select("dataset", _rs("spearman"))
 
 
 def _corr_sql() -> str:

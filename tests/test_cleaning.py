@@ -84,3 +84,27 @@ def test_cleaned_rows_are_in_range(spark, sf_dir):
 
     bad = frames.cleaned(spark, sf_dir).filter(~C.passes_quality())
     assert bad.count() == 0
+
+
+def test_set_counts_add_up_to_the_two_datasets(spark):
+    rows = [("A", "x", 50.0, 90000.0, "N", 2.0, 2000.0, 1)] * 1 + [("A", "x", 50.0, 90000.0, "N", 99.0, 2000.0, 0)]
+    rows += [("B", "x", 50.0, 90000.0, "N", 2.0, None, 3), ("B", "x", 50.0, 90000.0, "N", 99.0, None, 4)]
+    rows += [(None, "x", 50.0, 90000.0, "N", 2.0, None, 5)] * 3 + [(None, "x", 50.0, 90000.0, "N", 99.0, None, 6), ("C", "x", 5.0, None, None, None, None, 7)]
+    df = _frame(spark, rows)
+    sets = C.set_counts(df, ["city", "price_eur"])
+    got = {(r["city"], r["price_eur"]): (r["raw"], r["cleaned"]) for r in sets.groupBy("city", "price_eur").agg(F.sum("raw").alias("raw"), F.sum("cleaned").alias("cleaned")).collect()}
+    assert got == {("N", 90000.0): (8, 4), (None, None): (1, 0)}  # A's first copy fails, B's passes, three incomplete rows pass
+    assert C.build_cleaned(df).count() == 4 and C.dedup_keep_first(df).count() == 7
+    assert C.exact_duplicates(df, ["title", "rooms", "_ord"]).first()[0] == 2
+
+
+def test_values_that_hash_alike_in_other_places_are_told_apart(spark):
+    df = spark.createDataFrame([(None, "a", 1), ("a", None, 2), (None, None, 3), ("", "a", 4)], "x string, y string, _ord long")
+    assert C.exact_duplicates(df, ["x", "y"]).first()[0] == 0
+
+
+def test_repeated_rows(spark):
+    from kvadrat.operators import stats as E
+
+    df = spark.createDataFrame([("a", 1), ("b", 3), ("c", 10_000)], "x string, _n long")
+    assert {r["x"]: r["count"] for r in E.repeated(df).groupBy("x").count().collect()} == {"a": 1, "b": 3, "c": 10_000}

@@ -1,23 +1,50 @@
 """Plan checks: the physical plans have the shape the operators were designed for."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from kvadrat import schema as S
 from kvadrat.operators import cleaning as C
 from kvadrat.operators import stats as E
-from kvadrat.plans import frames
+from kvadrat.plans import frames, registry
 
 
 def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_dedup_shuffles_once_on_the_key(spark, sf_dir):
+def test_dedup_shuffles_once_on_the_digest(spark, sf_dir):
     plan = _plan(C.dedup_keep_first(frames.raw(spark, sf_dir)))
-    assert plan.count("hashpartitioning(title") == 1
+    assert plan.count("hashpartitioning(_d1") == 1 and "hashpartitioning(title" not in plan
+    assert "SortAggregate(key=[title" not in plan and plan.count("lineitem.parquet") == plan.count("part.parquet") == 1
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan and "MapInPandas" not in plan
 
 
+def test_exact_duplicates_hash_fixed_width(spark, sf_dir):
+    plan = _plan(C.exact_duplicates(frames.raw(spark, sf_dir)))
+    assert "SortAggregate" not in plan and "HashAggregate(keys=[_d1" in plan
+
+
+@pytest.mark.parametrize("name", ["c3_concat_deduped", "c4_quality_filter", "c5_cleaning_summary", "e5_value_counts_top", "e6_before_after_counts", "e13_pearson"])
+def test_raw_against_cleaned_joins_the_listings_once(spark, sf_dir, name):
+    assert _plan(registry.queries()[name](spark, sf_dir)).count("lineitem.parquet") == 1
+
+
+def test_ranks_are_dealt_by_range_and_the_shuffle_is_shared(spark):
+    df = spark.range(5000).select((F.col("id") % 3).alias("g"), (F.col("id") * 7 % 1000).cast("double").alias("v"))
+    ranks = E.ranked_values(df, "v", ["g"])
+    assert ranks.count() == 3000
+    ranks.collect()
+    plan = ranks._jdf.queryExecution().executedPlan().toString().split("+- == Initial Plan ==")[0]
+    assert "rangepartitioning(g" in plan and "ReusedExchange" in plan and "percentile" not in plan
+    top = {(r["g"], r["v"]): r["_first"] for r in ranks.collect()}
+    want = {}
+    for g in range(3):
+        values = sorted(float(i * 7 % 1000) for i in range(5000) if i % 3 == g)
+        want |= {(g, v): values.index(v) for v in set(values)}
+    assert top == want
+
+
 def test_cleaning_summary_is_one_aggregate_shuffle(spark, sf_dir):
     plan = _plan(C.cleaning_summary(frames.raw(spark, sf_dir)))
     assert plan.count("hashpartitioning(") == 1
