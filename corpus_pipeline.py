@@ -26,7 +26,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates, that with the smallest doc_id; documents
     without words and rows without an id are no group and stay. Rows equal in id are one."""
-    found = stored(jaccard_join.near_duplicates(docs), "groups")
+    found = stored(jaccard_join.near_duplicates(docs, count_links=False), "groups")
     copies = found.where("doc_id <> component_id").select(F.col("doc_id").alias("__copy")).distinct()
     return docs.join(copies, docs["doc_id"] == copies["__copy"], "left_anti")
 
