@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kvadrat import schema as S
+from kvadrat.sources import quoted_csv
 
 class ListingsValidationError(ValueError):
     """The listings table does not match the expected shape."""
@@ -31,20 +32,12 @@ def position_order() -> Column:
     )
 
 def read_raw(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
-    """S1 scan: every column as it is in the file (strings for CSV) plus ``_ord``."""
+    """S1 scan: every column as it is in the file (strings for CSV) plus ``_ord``, the file's rank or
+    path, the split and the place in it."""
     try:
-        if fmt == "csv":
-            reader = (
-                spark.read.option("header", True)
-                .option("multiLine", True)
-                .option("quote", '"')
-                .option("escape", '"')
-                .option("inferSchema", False)
-                .option("mode", "PERMISSIVE")
-            )
-            df = reader.csv(path)
-        else:
-            df = spark.read.format(fmt).load(path)
+        if fmt == "csv":  # in as many tasks as the files have splits, line breaks in quotes or not
+            return quoted_csv.read(spark, path)
+        df = spark.read.format(fmt).load(path)
     except AnalysisException as exc:
         if "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc):
             raise FileNotFoundError(f"Dataset file does not exist: {path}") from exc
@@ -62,7 +55,8 @@ def numeric_problems(df: DataFrame, columns: list[str] | None = None) -> DataFra
     aggs = [F.count(F.lit(1)).alias("rows")]
     for c in columns:
         text = F.col(c).cast("string")
-        bad = text.isNotNull() & (F.trim(text) != "") & F.trim(text).try_cast("double").isNull()
+        bare = F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+        bad = text.isNotNull() & (bare != "") & bare.try_cast("double").isNull()
         aggs.append(F.count_if(bad).alias(c))
     return df.agg(*aggs)
 
