@@ -2,7 +2,7 @@
 
 * Split (M1) is a hash of the row's content against a threshold: stable across runs,
   engines and partitionings, no shuffle. ``exact=True`` takes exactly ceil(n * test_size)
-  rows by distributed hash rank instead.
+  rows by radix selection on the hash instead.
 * Preprocessing (M2-M5) is a ``Pipeline``: exact train medians and population standard
   deviations (a small Python estimator whose fit is one aggregate), then
   ``StringIndexer(keep, alphabetAsc)`` + ``OneHotEncoder(dropLast)`` so an unseen label is
@@ -15,6 +15,7 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark import keyword_only
@@ -24,7 +25,7 @@ from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCols, HasLabelCol, HasOutputCols, HasPredictionCol
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kvadrat.session import checkpointed
@@ -45,6 +46,36 @@ def split_threshold(test_size: float) -> str:
     return format(int(test_size * 16**8), "08x")
 
 
+KEY_BITS = 60
+
+
+def smallest(df: DataFrame, keys: list[str], k: int, digit: int = 12) -> Column:
+    """Condition that holds for exactly the ``k`` rows of ``df`` with the smallest keys, by radix
+    selection: rows are counted by the highest ``digit`` bits of the key, then by the next ones among the
+    rows of the digit that holds the k-th, and so on; each count returns at most 2^digit rows, and
+    few rounds are needed, for a round that takes or leaves a whole digit is the last. ``keys`` are
+    long columns of ``KEY_BITS`` bits, a later one telling rows apart that are equal in those before."""
+    below, same = F.lit(False), F.lit(True)
+    if k <= 0:
+        return below
+    for key in keys:
+        prefix = 0
+        for shift in range(KEY_BITS - digit, -1, -digit):
+            inside = same & (F.shiftright(key, shift + digit) == prefix)
+            counts = df.filter(inside).groupBy(F.shiftright(key, shift).alias("prefix")).agg(F.count(F.lit(1)).alias("n")).collect()
+            for row in sorted(counts, key=lambda r: r["prefix"]):
+                if k <= row["n"]:
+                    break
+                k -= row["n"]
+            else:  # fewer rows than asked for: all of them
+                return below | same
+            prefix = row["prefix"]
+            if k == row["n"]:
+                return below | (same & (F.shiftright(key, shift) <= prefix))
+        below, same = below | (same & (F.col(key) < prefix)), same & (F.col(key) == prefix)
+    raise ValueError("rows with equal keys cannot be told apart")
+
+
 def with_split(
     df: DataFrame,
     test_size: float = S.TEST_SIZE,
@@ -54,22 +85,22 @@ def with_split(
 ) -> DataFrame:
     """M1: add ``is_test``. Default: md5(seed, key) prefix below the threshold (about
     ``test_size`` of the rows, decided row by row). ``exact``: the ceil(n * test_size)
-    rows with the smallest hash, found by distributed ranks (no single-task sort); rows
-    with identical key content share a hash and always land on the same side."""
+    rows with the smallest hash, no more and no fewer. Rows that share a hash of the key are told
+    apart by a hash of all their columns, equal rows by their numbers in the written frame."""
     key = key or SPLIT_KEY
     h = E.row_hash(key, seed)
     if not exact:
         return df.withColumn("is_test", F.substring(h, 1, 8) < F.lit(split_threshold(test_size)))
-    hashed = df.withColumn("_h", F.conv(F.substring(h, 1, 15), 16, 10).cast("long"))
-    n = hashed.agg(F.count(F.lit(1)).alias("_n"))
-    ranks = E.value_ranks(hashed, "_h").select("_h", "rows_below")
-    k = F.ceil(F.col("_n") * test_size)
-    return (
-        hashed.join(ranks, "_h")
-        .crossJoin(F.broadcast(n))
-        .withColumn("is_test", F.col("rows_below") < k)
-        .drop("_h", "rows_below", "_n")
-    )
+    bits = lambda c: F.shiftrightunsigned(c, 64 - KEY_BITS)
+    whole = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    # written once: the numbers stay, and the selection reads three longs a row
+    keyed = checkpointed(df.withColumns({
+        "_k1": F.conv(F.substring(h, 1, KEY_BITS // 4), 16, 10).cast("long"),
+        "_k2": bits(whole),
+        "_k3": bits(F.xxhash64(F.monotonically_increasing_id())),
+    }))
+    k = math.ceil(keyed.count() * test_size)
+    return keyed.withColumn("is_test", smallest(keyed, ["_k1", "_k2", "_k3"], k)).drop("_k1", "_k2", "_k3")
 
 
 # ---------------------------------------------------------------------------
@@ -180,32 +211,41 @@ class ConstantModel(Model, HasPredictionCol, DefaultParamsReadable, DefaultParam
 class RidgeRegressor(Estimator, HasLabelCol, HasPredictionCol, DefaultParamsReadable, DefaultParamsWritable):
     """M8: ridge with penalty ``alpha * ||w||^2`` on the unscaled objective.
 
-    Spark's normal-equation solver scales the L2 term by the label's standard deviation
-    and averages the loss over n rows, so ``regParam = alpha * stddev_pop(y) / n``; the
-    two statistics are one aggregate at fit time."""
+    Spark scales the L2 term by the label's standard deviation and averages the loss over n rows, so
+    ``regParam = alpha * std(y) / n``; the statistics are one aggregate at fit time. Up to
+    ``NORMAL_FEATURES`` features the normal equations are solved (std is the population's there).
+    Beyond, where their matrix would not fit, L-BFGS needs one gradient a pass and no matrix (std is the
+    sample's there); both minimise the same objective."""
+
+    #: Spark's normal-equation solver takes no more.
+    NORMAL_FEATURES = 4096
 
     alpha = Param(Params._dummy(), "alpha", "L2 strength", TypeConverters.toFloat)
     featuresCol = Param(Params._dummy(), "featuresCol", "features column", TypeConverters.toString)
+    maxIter = Param(Params._dummy(), "maxIter", "passes of the wide solver", TypeConverters.toInt)
 
     @keyword_only
-    def __init__(self, *, alpha=1.0, featuresCol=FEATURES_COL, labelCol="label", predictionCol="prediction"):
+    def __init__(self, *, alpha=1.0, featuresCol=FEATURES_COL, labelCol="label", predictionCol="prediction", maxIter=500):
         super().__init__()
-        self._setDefault(alpha=1.0, featuresCol=FEATURES_COL, labelCol="label", predictionCol="prediction")
+        self._setDefault(alpha=1.0, featuresCol=FEATURES_COL, labelCol="label", predictionCol="prediction", maxIter=500)
         self._set(**self._input_kwargs)
 
     def _fit(self, dataset: DataFrame):
-        y = self.getLabelCol()
-        st = dataset.agg(F.count(F.col(y)).alias("n"), F.stddev_pop(y).alias("s")).first()
-        std = st["s"] or 1.0
-        reg = self.getOrDefault("alpha") * std / max(st["n"], 1)
+        y, features = self.getLabelCol(), self.getOrDefault("featuresCol")
+        st = dataset.agg(F.count(F.col(y)).alias("n"), F.stddev_pop(y).alias("pop"), F.stddev_samp(y).alias("samp")).first()
+        first = dataset.select(features).first()
+        wide = first is not None and first[0].size > self.NORMAL_FEATURES
+        std = (st["samp"] if wide else st["pop"]) or 1.0
         lr = LinearRegression(
-            featuresCol=self.getOrDefault("featuresCol"),
+            featuresCol=features,
             labelCol=y,
             predictionCol=self.getPredictionCol(),
-            regParam=reg,
+            regParam=self.getOrDefault("alpha") * std / max(st["n"], 1),
             elasticNetParam=0.0,
             standardization=False,
-            solver="normal",
+            solver="l-bfgs" if wide else "normal",
+            maxIter=self.getOrDefault("maxIter"),
+            tol=1e-10,
         )
         return lr.fit(dataset)
 
@@ -425,8 +465,8 @@ def train_candidates(
         fitted = dict(fit(s) for s in specs)
     fitted = {name: fitted[name] for name, _ in specs}
     preds = predictions_long(fitted, test, ["_row"])
-    check_metrics(preds)
-    metrics = rank_models(checkpointed(regression_metrics(preds)))  # one row per model, scored once
+    metrics = rank_models(regression_metrics(preds))  # one row per model, scored once
+    check_metrics(metrics, [name for name, _ in specs])
     best = metrics.filter(F.col("rank_by_mae") == 1).first()
     counts = split.groupBy("is_test").count().collect()
     n = {r["is_test"]: r["count"] for r in counts}
@@ -452,27 +492,37 @@ def regression_metrics(preds: DataFrame, model: str = "model", y: str = "y", p:
     err = F.col(y) - F.col(p)
     g = preds.groupBy(model).agg(
         F.count(F.lit(1)).alias("n"),
+        F.count(y).alias("n_y"),
+        F.count(p).alias("n_p"),
         F.avg(F.abs(err)).alias("mae"),
         F.sqrt(F.avg(err * err)).alias("rmse"),
         F.sum(err * err).alias("_sse"),
         F.var_pop(y).alias("_var"),
     )
     r2 = F.when(F.col("_var") > 0, 1 - F.col("_sse") / (F.col("_var") * F.col("n")))
-    return g.select(model, "mae", "rmse", r2.alias("r2"), "n")
+    return g.select(model, "mae", "rmse", r2.alias("r2"), "n", "n_y", "n_p")
+
+
+EMPTY = "Regression evaluation requires at least one prediction."
 
 
-def check_metrics(preds: DataFrame, y: str = "y", p: str = "p") -> None:
-    """Raise like the reference for empty or misaligned prediction sets."""
-    st = preds.agg(F.count(F.lit(1)).alias("n"), F.count(y).alias("ny"), F.count(p).alias("np")).first()
-    if st["n"] == 0:
-        raise ValueError("Regression evaluation requires at least one prediction.")
-    if st["ny"] != st["np"]:
+def check_metrics(metrics: DataFrame, models: list[str] | None = None) -> None:
+    """Raise like the reference for empty or misaligned prediction sets, from the metrics' own rows:
+    the predictions are not made again. ``models`` are those that must have some."""
+    rows = metrics.collect()  # one row per model
+    if not rows or set(models or []) - {r["model"] for r in rows}:
+        raise ValueError(EMPTY)
+    if any(r["n"] != r["n_y"] or r["n"] != r["n_p"] for r in rows):
         raise ValueError("y_true and y_pred must have the same length.")
 
 
 def rank_models(metrics: DataFrame) -> DataFrame:
-    """Rank 1..n by MAE ascending (ties by name). The metrics frame has one row per
-    model, so its single ordered window is bounded by the number of candidates."""
+    """Rank 1..n by MAE ascending (ties by name); a frame without a model raises, as the
+    reference does. The metrics frame has one row per model: it is written once, and its single
+    ordered window is bounded by the number of candidates."""
+    metrics = checkpointed(metrics)
+    if metrics.isEmpty():
+        raise ValueError(EMPTY)
     w = Window.orderBy(F.col("mae").asc(), F.col("model").asc())
     return metrics.withColumn("rank_by_mae", F.row_number().over(w))
 

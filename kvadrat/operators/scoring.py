@@ -186,17 +186,24 @@ def model_lookup(registry: DataFrame, metrics: DataFrame) -> DataFrame:
 
 def region_options(requests: DataFrame, regions_by_city: DataFrame, all_regions: DataFrame | None = None) -> DataFrame:
     """Region choices per requested city: that city's regions; else 'Nepoznato' when a
-    per-city map exists; else every region; else 'Nepoznato'. Long form (city, pos, region)."""
-    cities = requests.select(F.col("city")).distinct()
-    j = cities.join(regions_by_city, "city", "left")
-    has_map = regions_by_city.agg((F.count(F.lit(1)) > 0).alias("_has_map"))
-    j = j.crossJoin(F.broadcast(has_map))
-    fallback = F.array(F.lit(S.UNKNOWN))
-    if all_regions is not None:
-        every = all_regions.agg(F.array_sort(F.collect_set("region")).alias("_all"))
-        j = j.crossJoin(F.broadcast(every))
-        no_map = F.when(F.size("_all") > 0, F.col("_all")).otherwise(fallback)
-    else:
-        no_map = fallback
-    opts = F.when(F.size("regions") > 0, F.col("regions")).when(F.col("_has_map"), fallback).otherwise(no_map)
-    return j.select("city", F.posexplode(opts).alias("pos", "region"))
+    per-city map exists; else every region; else 'Nepoznato'. Long form (city, pos, region), from a map
+    in long form; no list of regions is collected."""
+    cities = requests.select("city").distinct()
+    mapped = cities.join(regions_by_city, "city")
+    rest = cities.join(regions_by_city.select("city").distinct(), "city", "left_anti")
+    unknown = rest.select("city", F.lit(0).alias("pos"), F.lit(S.UNKNOWN).alias("region"))
+    if not regions_by_city.isEmpty() or all_regions is None:
+        return mapped.unionByName(unknown)
+    every = all_regions.where("region IS NOT NULL").select("region").distinct()
+    if every.isEmpty():
+        return unknown
+    # every region for every city is the result asked for, one row per choice
+    return rest.crossJoin(_numbered(every)).select("city", "pos", "region")
+
+
+def _numbered(regions: DataFrame) -> DataFrame:
+    """pos (from 0, by name) of distinct regions."""
+    from kvadrat.operators import stats as E
+
+    ranges, totals = E.value_ranges(regions, "region", [])
+    return E.ranked(ranges.join(totals, "_p"), "region", []).select(F.col("_first").cast("int").alias("pos"), "region")

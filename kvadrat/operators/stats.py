@@ -125,15 +125,18 @@ def numeric_ranges(df: DataFrame, columns: list[str] | None = None, approx: bool
 
 
 def shape_summary(df: DataFrame) -> DataFrame:
-    """Row count, column count and each column's type."""
-    spark = df.sparkSession
+    """Row count, column count and each column's name and type, one row per column."""
     cols = [c for c in df.columns if not c.startswith("_")]
-    types = spark.createDataFrame(
-        [(i, c, t) for i, (c, t) in enumerate(df.select(*cols).dtypes, 1)],
-        "ordinal int, column_name string, data_type string",
-    )
-    n = df.agg(F.count(F.lit(1)).alias("n_rows"))
-    return types.crossJoin(F.broadcast(n)).withColumn("n_columns", F.lit(len(cols)))
+    types = dict(df.dtypes)
+    each = F.explode(F.array(*[
+        F.struct(F.lit(i).alias("ordinal"), F.lit(c).alias("column_name"), F.lit(types[c]).alias("data_type")) for i, c in enumerate(cols, 1)]))
+    n = df.agg(F.count(F.lit(1)).alias("n_rows"))  # one row
+    return n.select(each.alias("c"), "n_rows", F.lit(len(cols)).alias("n_columns")).select("c.*", "n_rows", "n_columns")
+
+
+def first_rows(df: DataFrame, n: int = 5, order_col: str = "_ord") -> DataFrame:
+    """The first ``n`` rows, by their position: a bounded top-k."""
+    return df.orderBy(F.col(order_col).asc_nulls_first()).limit(n)
 
 
 # ---------------------------------------------------------------------------
@@ -475,10 +478,11 @@ def category_options(df: DataFrame, columns: list[str] | None = None) -> DataFra
 
 
 def regions_by_city(df: DataFrame) -> DataFrame:
-    """Sorted region list per city (``array_sort(collect_set)``; the set per city is
-    bounded by the distinct regions of that city and is partially aggregated map-side)."""
-    data = df.filter(F.col("city").isNotNull() & F.col("region").isNotNull())
-    return data.groupBy("city").agg(F.array_sort(F.collect_set("region")).alias("regions"))
+    """The sorted regions of every city in long form (city, pos, region): distinct pairs,
+    numbered per city. No list is collected, and copies are dropped before the shuffle."""
+    pairs = df.filter(F.col("city").isNotNull() & F.col("region").isNotNull()).select("city", "region").distinct()
+    place = F.row_number().over(Window.partitionBy("city").orderBy("region")) - 1
+    return pairs.select("city", place.alias("pos"), "region")
 
 
 # ---------------------------------------------------------------------------
@@ -486,16 +490,17 @@ def regions_by_city(df: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 
-def _ranges(df: DataFrame, value: str, group_cols: list[str]) -> tuple[DataFrame, DataFrame]:
+def value_ranges(df: DataFrame, value: str, group_cols: list[str]) -> tuple[DataFrame, DataFrame]:
     """Distinct (group, value) rows with ``_n`` copies, dealt by range, with their range ``_p``;
     and the ranges of each group with ``_rows`` (copies in it), ``_offset`` (copies in the ranges
     before it) and ``_size`` (copies in the group).
 
     Both frames read one shuffle (a reused exchange). Its number of ranges is the session's and is stated,
-    so no coalescing renumbers them; ``_same_range`` fails a query that would read two different ones."""
+    so no coalescing renumbers them; ``ranked`` fails a query that would read two different ones."""
     g, v = list(group_cols), F.col(value)
     copies = F.sum("_n") if "_n" in df.columns else F.count(F.lit(1))
-    counts = df.filter(v.isNotNull() & ~F.isnan(v.cast("double"))).groupBy(*g, value).agg(copies.alias("_n"))
+    valid = v.isNotNull() if dict(df.dtypes)[value] == "string" else v.isNotNull() & ~F.isnan(v.cast("double"))
+    counts = df.filter(valid).groupBy(*g, value).agg(copies.alias("_n"))
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = counts.repartitionByRange(n, *g, value).withColumn("_p", F.spark_partition_id())
     # at most one row per group and range that holds some of it
@@ -507,7 +512,7 @@ def _ranges(df: DataFrame, value: str, group_cols: list[str]) -> tuple[DataFrame
     return ranged, totals
 
 
-def _ranked(rows: DataFrame, value: str, group_cols: list[str]) -> DataFrame:
+def ranked(rows: DataFrame, value: str, group_cols: list[str]) -> DataFrame:
     """Ranks ``_first`` of range rows joined with their ranges: the offset of the range and the
     copies of smaller values in it."""
     part = Window.partitionBy(*group_cols, "_p")
@@ -527,8 +532,8 @@ def ranked_values(df: DataFrame, value: str, group_cols: list[str] | None = None
     few counts of a group gives each range its offset, which is joined back. Running
     counts need one window per (group, range). A hot value is one row, a hot group many ranges."""
     g = list(group_cols or [])
-    ranged, totals = _ranges(df, value, g)
-    return _ranked(ranged.join(totals, [*g, "_p"]), value, g)
+    ranged, totals = value_ranges(df, value, g)
+    return ranked(ranged.join(totals, [*g, "_p"]), value, g)
 
 
 def exact_quantiles(
@@ -544,7 +549,7 @@ def exact_quantiles(
     those ranges are ranked, and the final aggregate sees at most two values per quantile and group."""
     g = list(group_cols or [])
     v = F.col(value)
-    ranged, totals = _ranges(df, value, g)
+    ranged, totals = value_ranges(df, value, g)
     wanted = []
     for i, q in enumerate(qs):
         pos = F.lit(float(q)) * (F.col("_size") - 1)
@@ -552,7 +557,7 @@ def exact_quantiles(
             wanted.append(F.struct(F.lit(i).alias("qi"), F.lit(side).alias("side"), r.cast("long").alias("rank")))
     held = F.filter(F.array(*wanted), lambda w: (w["rank"] >= F.col("_offset")) & (w["rank"] < F.col("_offset") + F.col("_rows")))
     totals = totals.withColumn("_wanted", held).filter(F.size("_wanted") > 0)
-    rows = _ranked(ranged.join(totals, [*g, "_p"]), value, g)
+    rows = ranked(ranged.join(totals, [*g, "_p"]), value, g)
     first = F.col("_first")
     hit = F.filter("_wanted", lambda w: (w["rank"] >= first) & (w["rank"] < first + F.col("_n")))
     picked = rows.select(*g, "_size", v.cast("double").alias("_v"), F.explode(hit).alias("w"))

@@ -34,7 +34,9 @@ def _split(spark, sf):
     """Labelled model rows with ``is_test`` and a stable row id, checkpointed once: every
     fit and metric of the query reads it, and a lost executor does not redo the dedup."""
     m = frames.model(spark, sf).filter(F.col(S.TARGET).isNotNull())
-    return checkpointed(M.with_split(m).withColumn("_row", E.row_hash(M.SPLIT_KEY)))
+    split = M.with_split(m).withColumn("_row", E.row_hash(M.SPLIT_KEY))
+    # what no fit or metric reads is not written
+    return checkpointed(split.select(*S.MODEL_NUMERIC_FEATURES, *S.MODEL_CATEGORICAL_FEATURES, S.TARGET, "is_test", "_row"))
 
 
 @register("m1_split", q(_SPLIT_SQL + "select _row, price_eur, is_test from split"))
@@ -313,14 +315,14 @@ def m4(spark, sf):
     q(
         f"""
 , labelled as (select *, {KEY_SQL} as _row from model where price_eur is not null),
-ex as (select _row, price_eur, rank() over (order by substr(_row, 1, 15)) - 1 as below,
+ex as (select _row, price_eur, row_number() over (order by substr(_row, 1, 15)) as place,
               count(*) over () as n from labelled)
-select _row, price_eur, below < ceil(n * {S.TEST_SIZE}::double) as is_test from ex
+select _row, price_eur, place <= ceil(n * {S.TEST_SIZE}::double) as is_test from ex
 """
     ),
 )
 def m1_exact(spark, sf):
-    """Exact test size: the ceil(n * 0.2) rows with the smallest content hash (ranked
-    without a single-task sort); identical rows share a hash and a side."""
+    """Exact test size: the ceil(n * 0.2) rows with the smallest content hash."""
     m = frames.model(spark, sf).filter(F.col(S.TARGET).isNotNull())
-    return M.with_split(m, exact=True).select(E.row_hash(M.SPLIT_KEY).alias("_row"), "price_eur", "is_test")
+    keep = m.select(*dict.fromkeys([*M.SPLIT_KEY, S.TARGET]))
+    return M.with_split(keep, exact=True).select(E.row_hash(M.SPLIT_KEY).alias("_row"), "price_eur", "is_test")

@@ -221,3 +221,19 @@ select city, (row_number() over (partition by city order by region) - 1)::int as
 def p7(spark, sf):
     rbc = E.regions_by_city(frames.model(spark, sf))
     return P.region_options(testview.score_inputs(spark, sf), rbc)
+
+
+@register(
+    "p7_options_all_regions",
+    q(
+        SCORE_SQL
+        + """, every as (select region, (row_number() over (order by region) - 1)::int as pos
+          from (select distinct region from model where region is not null))
+select city, pos, region from (select distinct city from score_input where city is not null), every"""
+    ),
+)
+def p7_all(spark, sf):
+    """No map of regions by city: every region is a choice."""
+    model = frames.model(spark, sf)
+    none = E.regions_by_city(model.select("city", "region").limit(0))
+    return P.region_options(testview.score_inputs(spark, sf).filter("city IS NOT NULL"), none, model.select("region"))

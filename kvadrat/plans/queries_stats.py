@@ -12,6 +12,7 @@ from kvadrat.operators import stats as E
 from kvadrat.plans import flagship, frames
 from kvadrat.plans.oracle import q, qc
 from kvadrat.plans.registry import register
+from kvadrat.sources import testview
 
 R6 = 6
 
@@ -422,8 +423,7 @@ from (select distinct city, region from model where city is not null and region
     ),
 )
 def e18(spark, sf):
-    r = E.regions_by_city(frames.model(spark, sf))
-    return r.select("city", F.posexplode("regions").alias("pos", "region"))
+    return E.regions_by_city(frames.model(spark, sf))
 
 
 @register(
@@ -440,10 +440,27 @@ def e19(spark, sf):
     return E.numeric_ranges(frames.model(spark, sf))
 
 
+_TYPES = " ".join(f"when '{duck}' then '{name}'" for duck, name in (("VARCHAR", "string"), ("DOUBLE", "double")))
+_DTYPES = ", ".join(f"case typeof(any_value({c})) {_TYPES} else typeof(any_value({c})) end as {c}" for c in S.RAW_COLUMNS)
+
+
 @register(
     "e20_shape_summary",
-    q("select count(*) as n_rows, 13 as n_columns from raw"),
+    q(
+        f", n as (select count(*) as n_rows, {_DTYPES} from raw) "
+        + " union all ".join(
+            f"select {i} as ordinal, '{c}' as column_name, {c} as data_type, n_rows, {len(S.RAW_COLUMNS)} as n_columns from n"
+            for i, c in enumerate(S.RAW_COLUMNS, 1)
+        )
+    ),
 )
 def e20(spark, sf):
-    s = E.shape_summary(frames.raw(spark, sf))
-    return s.select("n_rows", "n_columns").distinct()
+    return E.shape_summary(frames.raw(spark, sf))
+
+
+@register(
+    "e20_first_rows",
+    q(f"select {', '.join(S.RAW_COLUMNS)} from raw order by {', '.join(f'{c} asc nulls first' for c in testview.FIRST_ORDER)} limit 5"),
+)
+def e20_head(spark, sf):
+    return E.first_rows(frames.raw(spark, sf)).select(*S.RAW_COLUMNS)

@@ -26,7 +26,7 @@ def ui_options(model_df: DataFrame) -> dict[str, DataFrame]:
     """E17-E19 tables behind the scoring form."""
     return {
         "category_options": E.category_options(model_df),
-        "regions_by_city": E.regions_by_city(model_df).select("city", F.posexplode("regions").alias("pos", "region")),
+        "regions_by_city": E.regions_by_city(model_df),
         "numeric_ranges": E.numeric_ranges(model_df),
     }
 

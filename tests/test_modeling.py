@@ -24,9 +24,58 @@ def test_rank_models(spark):
 
 
 def test_check_metrics_rejects_empty(spark):
-    empty = spark.createDataFrame([], "model string, y double, p double")
-    with pytest.raises(ValueError):
-        M.check_metrics(empty)
+    preds = spark.createDataFrame([], "model string, y double, p double")
+    with pytest.raises(ValueError, match="at least one prediction"):
+        M.check_metrics(M.regression_metrics(preds))
+    with pytest.raises(ValueError, match="at least one prediction"):
+        M.rank_models(M.regression_metrics(preds))
+    some = spark.createDataFrame([("a", 1.0, 2.0), ("a", 1.0, None)], "model string, y double, p double")
+    with pytest.raises(ValueError, match="same length"):
+        M.check_metrics(M.regression_metrics(some))
+    with pytest.raises(ValueError, match="at least one prediction"):
+        M.check_metrics(M.regression_metrics(some.limit(1)), ["a", "b"])
+
+
+def test_wide_ridge_matches_closed_form(spark):
+    """5,000 one-hot features, beyond the normal equations."""
+    from pyspark.ml.linalg import Vectors
+
+    rng = np.random.default_rng(6)
+    width, n = 5000, 400
+    hot = rng.integers(0, 60, (n, 2)) * np.array([1, 83])
+    y = rng.normal(size=n) * 5 + hot[:, 0] % 7 * 3 + 20
+    x = np.zeros((n, width))
+    for i, h in enumerate(hot):
+        x[i, h] = 1
+    rows = [(Vectors.sparse(width, sorted({int(a): 1.0 for a in h}.items())), float(t)) for h, t in zip(hot, y)]
+    model = M.RidgeRegressor(alpha=1.0, labelCol="y").fit(spark.createDataFrame(rows, ["features", "y"]))
+    xc, yc = x - x.mean(0), y - y.mean()
+    w = xc.T @ np.linalg.solve(xc @ xc.T + np.eye(n), yc)  # the dual form: n unknowns, not 5,000
+    assert np.abs(model.coefficients.toArray() - w).max() < 2e-3
+    assert model.intercept == pytest.approx(y.mean() - x.mean(0) @ w, abs=1e-2)
+
+
+def _exact(spark, rows, size=0.2):
+    df = spark.createDataFrame(rows, "url string, title string, v double")
+    for c in M.SPLIT_KEY:
+        if c not in df.columns:
+            df = df.withColumn(c, F.lit("x"))
+    return M.with_split(df.repartition(5), size, exact=True)
+
+
+def test_exact_split_size_with_planted_ties(spark):
+    same = [("u", "t", 1.0)] * 700 + [("u", "t", float(i)) for i in range(150)] + [(f"u{i}", "t", 0.0) for i in range(153)]
+    for size in (0.2, 0.5, 0.001, 1.0):
+        counts = {r["is_test"]: r["count"] for r in _exact(spark, same, size).groupBy("is_test").count().collect()}
+        assert counts.get(True, 0) == int(np.ceil(1003 * size)) and sum(counts.values()) == 1003
+    empty = _exact(spark, same, 0.2).limit(0).drop("is_test")
+    assert M.with_split(empty, exact=True).count() == 0
+
+
+def test_exact_split_takes_the_smallest_hashes(spark):
+    out = _exact(spark, [(f"u{i}", "t", 0.0) for i in range(500)]).withColumn("h", F.substring(M.E.row_hash(M.SPLIT_KEY), 1, 15)).collect()
+    ranked = sorted(out, key=lambda r: r["h"])
+    assert [r["is_test"] for r in ranked] == [True] * 100 + [False] * 400
 
 
 def _model_rows(spark, cities):
@@ -94,5 +143,4 @@ def test_split_is_disjoint_complete_and_stable(spark, sf_dir):
     assert a.filter("is_test").count() == b.filter("is_test").count()
     exact = M.with_split(m, exact=True)
     k = int(np.ceil(n * 0.2))
-    max_tie = m.groupBy(*M.SPLIT_KEY).count().agg(F.max("count")).first()[0]
-    assert k <= exact.filter("is_test").count() < k + max_tie
+    assert exact.filter("is_test").count() == k

@@ -71,13 +71,15 @@ def test_price_range_and_clamp(spark):
 def test_region_options_fallbacks(spark):
     reqs = _req(spark, [("1", "A", "r", None, "50", None, "c", "d", None, None, None, False, False, False),
                         ("2", "B", "r", None, "50", None, "c", "d", None, None, None, False, False, False)])
-    rbc = spark.createDataFrame([("A", ["x", "y"])], "city string, regions array<string>")
+    rbc = spark.createDataFrame([("A", 0, "x"), ("A", 1, "y")], "city string, pos int, region string")
     out = {(r["city"], r["pos"]): r["region"] for r in P.region_options(reqs, rbc).collect()}
     assert out == {("A", 0): "x", ("A", 1): "y", ("B", 0): "Nepoznato"}
-    empty = spark.createDataFrame([], "city string, regions array<string>")
-    every = spark.createDataFrame([("z",), ("w",)], "region string")
-    out2 = sorted((r["city"], r["region"]) for r in P.region_options(reqs, empty, every).collect())
-    assert out2 == [("A", "w"), ("A", "z"), ("B", "w"), ("B", "z")]
+    empty = spark.createDataFrame([], "city string, pos int, region string")
+    every = spark.createDataFrame([("z",), ("w",), ("z",), (None,)], "region string")
+    out2 = sorted(map(tuple, P.region_options(reqs, empty, every).collect()))
+    assert out2 == [("A", 0, "w"), ("A", 1, "z"), ("B", 0, "w"), ("B", 1, "z")]
+    for none in (None, every.limit(0)):
+        assert sorted(map(tuple, P.region_options(reqs, empty, none).collect())) == [("A", 0, "Nepoznato"), ("B", 0, "Nepoznato")]
 
 
 def test_strict_mode_fails_the_job(spark):
