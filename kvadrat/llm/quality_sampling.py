@@ -21,6 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
@@ -47,7 +48,7 @@ def _buckets(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def _counts(rows: DataFrame, target: np.ndarray) -> np.ndarray:
     """n-gram counts of all rows and of the target ids: each task counts into two vectors of fixed
-    size, whose blocks are summed by block number."""
+    size, whose blocks (compressed, for most counts of a task are 0) are summed by block number."""
     shared = rows.sparkSession.sparkContext.broadcast(target)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -64,15 +65,15 @@ def _counts(rows: DataFrame, target: np.ndarray) -> np.ndarray:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for block, data in zip(batch.column("block").to_pylist(), batch.column("counts").to_pylist()):
-                sums[block] = sums.get(block, 0) + np.frombuffer(data, np.int64)
+                sums[block] = sums.get(block, 0) + _unpacked(data)
         if sums:
-            yield pa.RecordBatch.from_pydict({"block": pa.array(list(sums), pa.int32()), "counts": [s.tobytes() for s in sums.values()]})
+            yield pa.RecordBatch.from_pydict({"block": pa.array(list(sums), pa.int32()), "counts": [_packed(s) for s in sums.values()]})
 
     schema = "block int, counts binary"
     summed = rows.mapInArrow(lean(count), schema).repartition("block").mapInArrow(lean(add), schema).toArrow()
     out = np.zeros(4 * BUCKETS, np.int64)
     for block, data in zip(summed["block"].to_pylist(), summed["counts"].to_pylist()):
-        out[block * _BLOCK : (block + 1) * _BLOCK] = np.frombuffer(data, np.int64)
+        out[block * _BLOCK : (block + 1) * _BLOCK] = _unpacked(data)
     return out.reshape(2, -1)
 
 
@@ -80,7 +81,15 @@ def _as_blocks(total: np.ndarray) -> Iterator[pa.RecordBatch]:
     blocks = total.reshape(-1, _BLOCK)
     some = np.flatnonzero(blocks.any(axis=1))
     if len(some):
-        yield pa.RecordBatch.from_pydict({"block": pa.array(some, pa.int32()), "counts": [blocks[i].tobytes() for i in some]})
+        yield pa.RecordBatch.from_pydict({"block": pa.array(some, pa.int32()), "counts": [_packed(blocks[i]) for i in some]})
+
+
+def _packed(counts: np.ndarray) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(counts.tobytes())
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.int64)
 
 
 def _ratios(counts: np.ndarray, prior: float = 8.0) -> np.ndarray:
