@@ -81,12 +81,19 @@ def _stream_table(spark, sf, name: str):
     return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf)
 
 
-@register("r1_stream_ingest", "select distinct url from pages")
+@register("r1_stream_ingest", "select url, batch_id from (select distinct url, 0::bigint as batch_id from pages) union all "
+          "select distinct url || '?again', 1::bigint from pages")
 def r1(spark, sf):
-    sink, ckpt = _scratch(spark, "r1-sink"), _scratch(spark, "r1-ckpt")
-    q_ = jobs.ingest_pages(spark, _stream_table(spark, sf, "pages"), sink, ckpt)
-    q_.awaitTermination()
-    return spark.read.parquet(sink).select("url")
+    """Two batches: all pages, then all pages again along with as many under new URLs; of the second
+    only those are stored."""
+    src, sink, ckpt = _scratch(spark, "r1-in"), _scratch(spark, "r1-sink"), _scratch(spark, "r1-ckpt")
+    pages = testview.read_table(spark, sf, "pages").select("url", "html")
+    new = pages.select(F.concat("url", F.lit("?again")).alias("url"), "html")
+    for batch in (pages, pages.unionByName(new)):
+        batch.write.mode("append").parquet(src)
+        stream = spark.readStream.schema(pages.schema).parquet(src)
+        jobs.ingest_pages(spark, stream, sink, ckpt, buckets=8).awaitTermination()
+    return spark.read.parquet(sink).select("url", F.col("batch_id").cast("bigint").alias("batch_id"))
 
 
 @register(

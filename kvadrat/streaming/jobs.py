@@ -3,8 +3,9 @@
 R1 ingests fetched pages and appends the listings of URLs not stored before; only their pages
 are parsed, once, and pages that cannot be parsed go to a side output. The
 listing model has no event time, so a ``dropDuplicates`` state would grow without bound;
-the default mode therefore checks each micro-batch against the stored table inside
-``foreachBatch`` (state lives in the table, which can also be seeded by a batch backfill).
+the default mode therefore checks each micro-batch against a store of seen URLs inside
+``foreachBatch`` (``sources.seen``: hash buckets with Bloom filters, so a batch reads the buckets
+that may hold one of its URLs and no others; a backfill is added like a batch).
 ``mode="state"`` keeps the URL set in the state store instead (use the RocksDB provider
 for large state). Each batch writes
 its own ``batch_id=<n>`` folder in overwrite mode, so a replayed batch replaces its own
@@ -16,17 +17,12 @@ sink, rejected rows (with their errors) to a side sink, both per batch and idemp
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kvadrat.operators import extraction as X
 from kvadrat.operators import scoring as P
-from kvadrat.sources.scan import if_present
-
-
-def _stored_urls(spark: SparkSession, path: str, before_batch: int) -> DataFrame | None:
-    df = if_present(lambda: spark.read.schema("url string, batch_id long").parquet(path))
-    return None if df is None else df.filter(F.col("batch_id") < before_batch).select("url")
+from kvadrat.sources.seen import SeenUrls
 
 
 def ingest_pages(
@@ -37,10 +33,13 @@ def ingest_pages(
     mode: str = "anti_join",
     available_now: bool = True,
     failures: str | None = None,
+    seen: str | None = None,
+    buckets: int = 256,
 ):
     """Pages stream -> listings not yet stored (by url) -> append to ``sink``; url and
-    error of pages that cannot be parsed go to ``failures`` if it is given. Of a batch's pages
-    with one url, that with the smallest html is taken."""
+    error of pages that cannot be parsed go to ``failures`` if it is given, and such pages are
+    tried again when they come again. Of a batch's pages with one url, that with the smallest html is
+    taken. ``seen`` is the folder of the URL store (default: beside the sink), ``buckets`` its size."""
     if mode == "state":
         q = (
             X.extract_listings(pages_stream.dropDuplicates(["url"]))
@@ -52,17 +51,12 @@ def ingest_pages(
     else:
 
         def write_batch(batch: DataFrame, batch_id: int) -> None:
-            fresh = batch.groupBy("url").agg(F.min("html").alias("html"))
-            stored = _stored_urls(batch.sparkSession, sink, batch_id)
-            if stored is not None:
-                # probe the stored URLs with this batch's URLs (the small side, which a
-                # semi join may broadcast), then drop the few hits from the batch: the
-                # stored table is scanned (url column only) but never shuffled
-                seen = stored.join(fresh.select("url"), "url", "left_semi")
-                fresh = fresh.join(seen, "url", "left_anti")
+            store = SeenUrls(batch.sparkSession, seen or f"{sink.rstrip('/')}-seen", buckets)
+            fresh = store.fresh(batch.groupBy("url").agg(F.min("html").alias("html")), batch_id)
             results = X.extract_results(fresh).persist()
             ok, failed = X.split_failures(results)
             ok.write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
+            store.add(ok, batch_id)  # after the rows: a batch cut off between the two is replayed whole
             if failures is not None:
                 failed.write.mode("overwrite").parquet(f"{failures}/batch_id={batch_id}")
             results.unpersist()

@@ -80,3 +80,26 @@ def test_ingest_state_mode_dedups_across_batches(spark):
     rows = spark.read.parquet(sink).collect()
     assert sorted(r["url"] for r in rows) == ["u1", "u2"]
     assert [r["title"] for r in rows if r["url"] == "u1"] == ["a"]
+
+
+def test_seen_store_reads_only_touched_buckets(spark, tmp_path):
+    from kvadrat.sources.seen import SeenUrls
+
+    store = SeenUrls(spark, str(tmp_path / "seen"), buckets=16, bits=1 << 12)
+    urls = lambda names: spark.createDataFrame([(n, 1) for n in names], "url string, x int")
+    first = urls([f"u{i}" for i in range(200)] + ["u1", None])
+    assert store.fresh(first, 0).count() == 202  # nothing is stored yet
+    store.add(first, 0)
+    store.add(urls(["v1", "v2"]), 1)
+    again = urls(["u3", "new1", "new2", "v1"])
+    assert {r["url"] for r in store.fresh(again, 2).collect()} == {"new1", "new2"}
+    assert {r["url"] for r in store.fresh(again, 1).collect()} == {"new1", "new2", "v1"}  # a replay of batch 1
+    maybe = [r["bucket"] for r in store.maybe_seen(urls(["u3"]), 2).collect()]
+    assert len(maybe) == 1
+    some = store.urls(2, maybe)
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "bucket" in plan.split("PartitionFilters")[1].split("PushedFilters")[0]
+    # every stored url is found: a filter never says "never" of one
+    assert store.fresh(urls([f"u{i}" for i in range(200)]), 2).count() == 0
+    store.add(urls(["w"]), 1)  # replaces what batch 1 had stored
+    assert {r["url"] for r in store.fresh(urls(["v1", "w"]), 2).collect()} == {"v1"}
