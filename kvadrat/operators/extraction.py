@@ -20,7 +20,7 @@ from kvadrat import schema as S
 from kvadrat.functions import html as H
 from kvadrat.functions.numbers import parse_price_text, safe_float
 from kvadrat.functions.text import capitalize, clean_text, first_present, normalize_key
-from kvadrat.functions.urls import build_page_url, canonicalize_url, comparable_url, page_count
+from kvadrat.functions.urls import build_page_url, canonicalize_url, comparable_url, page_count, uri_part
 from kvadrat.session import ship_package
 
 OFFER = T.StructType(
@@ -225,24 +225,31 @@ def explode_links(
     link_selectors: list[str] | None = None,
     netloc: str | None = S.BASE_NETLOC,
     path_pattern: str = S.LISTING_PATH_PATTERN,
+    keep: list[str] | None = None,
+    own_host: bool = False,
 ) -> DataFrame:
     """(page url, pos, canonical url) of offer links, first occurrence per page only.
 
     DOM step in Arrow batches; canonicalization and the order-preserving in-page distinct
-    (min position per (page, url)) are Catalyst."""
-    link_selectors = link_selectors or OFFER_LINKS
+    (min position per (page, url)) are Catalyst. ``keep`` columns tell pages apart besides their URL;
+    with ``own_host`` links are made absolute by the page's host and any host is taken."""
+    link_selectors, keep = link_selectors or OFFER_LINKS, keep or []
+    kinds = dict(pages.dtypes)
 
     def batches(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in it:
-            yield pd.DataFrame({"url": pdf["url"], "hrefs": [H.card_links(h, card_selector, link_selectors) for h in pdf["html"]]})
+            yield pdf[[*keep, "url"]].assign(hrefs=[H.card_links(h, card_selector, link_selectors) for h in pdf["html"]])
 
     ship_package(pages.sparkSession)
-    raw = pages.select("url", "html").mapInPandas(batches, "url string, hrefs array<string>")
-    links = raw.select(F.col("url").alias("page_url"), F.posexplode("hrefs").alias("pos", "href"))
-    canon = links.select("page_url", "pos", canonicalize_url("href", netloc, path_pattern).alias("url")).filter(
-        F.col("url").isNotNull()
-    )
-    return canon.groupBy("page_url", "url").agg(F.min("pos").alias("pos"))
+    fields = "".join(f"`{c}` {kinds[c]}, " for c in keep)
+    raw = pages.select(*keep, "url", "html").mapInPandas(batches, f"{fields}url string, hrefs array<string>")
+    links = raw.select(*keep, F.col("url").alias("page_url"), F.posexplode("hrefs").alias("pos", "href"))
+    if own_host:
+        url = canonicalize_url("href", None, path_pattern, uri_part(F.col("page_url"), "netloc"))
+    else:
+        url = canonicalize_url("href", netloc, path_pattern)
+    canon = links.select(*keep, "page_url", "pos", url.alias("url")).filter(F.col("url").isNotNull())
+    return canon.groupBy(*keep, "page_url", "url").agg(F.min("pos").alias("pos"))
 
 
 def filter_links(pages: DataFrame, heading_text: str, base_host: str = S.BASE_HOST) -> DataFrame:

@@ -12,7 +12,6 @@ from kvadrat.operators import extraction as X
 from kvadrat.plans import frames
 from kvadrat.plans.oracle import q
 from kvadrat.plans.registry import register
-from kvadrat.session import ship_package
 from kvadrat.sources.testview import read_table
 
 _WS = r"'^\s+|\s+$'"
@@ -215,34 +214,14 @@ links as (select page_id, page_url, url, min(pos)::int as pos from canon where u
 """
 
 
-def nav_links(spark, sf):
+def _nav_links(spark, sf):
     """(page_id, page_url, url, pos) of the canonical navigation links of every page."""
-    from collections.abc import Iterator
-
-    import pandas as pd
-
-    from kvadrat.functions import html as H
-
-    pages = read_table(spark, sf, "pages")
-
-    def batches(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in it:
-            yield pd.DataFrame(
-                {"page_id": pdf["page_id"], "url": pdf["url"], "hrefs": [H.card_links(h, NAV_CARDS, NAV_LINKS) for h in pdf["html"]]}
-            )
-
-    ship_package(spark)
-    raw = pages.select("page_id", "url", "html").mapInPandas(batches, "page_id long, url string, hrefs array<string>")
-    x = raw.select("page_id", F.col("url").alias("page_url"), U.uri_part(F.col("url"), "netloc").alias("host"), F.posexplode("hrefs").alias("pos", "href"))
-    canon = x.select(
-        "page_id", "page_url", "pos", U.canonicalize_url("href", None, NAV_PATH_PATTERN, F.col("host")).alias("url")
-    ).filter(F.col("url").isNotNull())
-    return canon.groupBy("page_id", "page_url", "url").agg(F.min("pos").alias("pos"))
+    return X.explode_links(read_table(spark, sf, "pages"), NAV_CARDS, NAV_LINKS, None, NAV_PATH_PATTERN, keep=["page_id"], own_host=True)
 
 
 @register("x16_explode_links", _LINKS_SQL + "select page_id, page_url, url, pos from links")
 def x16(spark, sf):
-    return nav_links(spark, sf).select("page_id", "page_url", "url", "pos")
+    return _nav_links(spark, sf).select("page_id", "page_url", "url", "pos")
 
 
 _FRONTIER_SQL = _LINKS_SQL + f""",
@@ -255,7 +234,7 @@ frontier as (select url, stage, page, pos from firsts where rn = 1 and url not i
 
 
 def _frontier(spark, sf):
-    links = nav_links(spark, sf)
+    links = _nav_links(spark, sf)
     cand = links.select(
         F.regexp_extract("page_url", "/([a-z]{2})/", 1).alias("stage"), F.col("page_id").alias("page"), "pos", "url"
     )
@@ -277,7 +256,7 @@ firsts as (select url, min(line) as line from lines where trim(url) <> '' group
 select url, line from firsts where url not in (select trim(url) from pages)""",
 )
 def x18(spark, sf):
-    lines = nav_links(spark, sf).select("url", (F.col("page_id") * 100000 + F.col("pos")).alias("line"))
+    lines = _nav_links(spark, sf).select("url", (F.col("page_id") * 100000 + F.col("pos")).alias("line"))
     return X.resume_anti_join(lines, read_table(spark, sf, "pages").select("url"), "line")
 
 
@@ -342,7 +321,7 @@ select stage, added, (sum(added) over (order by stage rows between unbounded pre
 from per, tot""",
 )
 def x24(spark, sf):
-    observed = nav_links(spark, sf).agg(F.count_distinct("url").alias("observed"))
+    observed = _nav_links(spark, sf).agg(F.count_distinct("url").alias("observed"))
     return X.coverage(_frontier(spark, sf), observed).select("stage", "added", "unique_total", "coverage", "stop_after")
 
 

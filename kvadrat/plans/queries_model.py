@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from kvadrat.session import checkpointed
 from kvadrat import schema as S
 from kvadrat.operators import modeling as M
+from kvadrat.operators import target_statistics as T
 from kvadrat.operators import stats as E
 from kvadrat.plans import frames
 from kvadrat.plans.oracle import q, qc
@@ -30,6 +31,10 @@ test as (select * from split where is_test)
 """
 
 
+_CATS = {c: f"coalesce(cast({c} as varchar), '{S.UNKNOWN}')" for c in S.MODEL_CATEGORICAL_FEATURES}
+_LABELS = " + ".join(f"(select count(distinct {c}) from train)" for c in _CATS.values())
+
+
 def _split(spark, sf):
     """Labelled model rows with ``is_test`` and a stable row id, checkpointed once: every
     fit and metric of the query reads it, and a lost executor does not redo the dedup."""
@@ -222,6 +227,97 @@ def m23(spark, sf):
     return r.select("model", "metric", _rs("value"), "position")
 
 
+# --- ridge and log target on one feature, which SQL can fit in closed form -----------
+
+
+def _one_feature(spark, sf, regressor, log: bool):
+    split = _split(spark, sf).select("area_m2", S.TARGET, "is_test", "_row")
+    y = F.log1p(S.TARGET) if log else F.col(S.TARGET)
+    data = VectorAssembler(inputCols=["area_m2"], outputCol="features").transform(split.withColumn("_y", y))
+    fitted = regressor.fit(data.filter(~F.col("is_test")))
+    p = F.expm1("prediction") if log else F.col("prediction")
+    scored = fitted.transform(data.filter("is_test"))
+    return scored.select(F.lit("one_feature").alias("model"), F.col(S.TARGET).alias("y"), p.alias("p"))
+
+
+def _one_feature_sql(fit: str, p: str) -> str:
+    return _SPLIT_SQL + f", fit as ({fit}), preds as (select 'one_feature' as model, price_eur as y, {p} as p from test, fit)"
+
+
+@register(
+    "m8_ridge_one_feature",
+    q(
+        _one_feature_sql(
+            "select b, avg_y - b * avg_x as a from (select covar_pop(price_eur, area_m2) * count(*) / (var_pop(area_m2) * count(*) + 500000.0) as b, "
+            "avg(price_eur) as avg_y, avg(area_m2) as avg_x from train)",
+            "a + b * area_m2",
+        )
+        + _METRICS_SQL
+        + _METRICS_SELECT
+    ),
+)
+def m8_one(spark, sf):
+    """Ridge with a penalty that shows (alpha 500,000 against an area's sum of squares)."""
+    return _metrics_out(M.regression_metrics(_one_feature(spark, sf, M.RidgeRegressor(alpha=500000.0, labelCol="_y"), False)))
+
+
+@register(
+    "m15_log_target_one_feature",
+    q(
+        _one_feature_sql(
+            "select regr_slope(ln(1 + price_eur), area_m2) as b, regr_intercept(ln(1 + price_eur), area_m2) as a from train",
+            "exp(a + b * area_m2) - 1",
+        )
+        + _METRICS_SQL
+        + _METRICS_SELECT
+    ),
+)
+def m15_one(spark, sf):
+    regressor = LinearRegression(labelCol="_y", regParam=0.0, solver="normal", standardization=False)
+    return _metrics_out(M.regression_metrics(_one_feature(spark, sf, regressor, True)))
+
+
+@register(
+    "m13_target_statistics",
+    q(
+        _SPLIT_SQL
+        + ", prior as (select avg(price_eur) as p from train), long as ("
+        + " union all ".join(f"select _row, '{c}' as column_name, {x} as label, price_eur as y from train" for c, x in _CATS.items())
+        + f"""), encoded as (
+  select _row, column_name, (coalesce(sum(y) over w, 0) + p) / (count(*) over w + 1) as encoded from long, prior
+  window w as (partition by column_name, label order by _row rows between unbounded preceding and 1 preceding))
+select _row, column_name, {_re('encoded', 2)} as encoded from encoded"""
+    ),
+)
+def m13_statistics(spark, sf):
+    """Ordered target statistics of the training rows: what the booster on categories learns from."""
+    train = _split(spark, sf).filter(~F.col("is_test"))
+    out = T.ordered_target_statistics(train, S.MODEL_CATEGORICAL_FEATURES, S.TARGET, "_row")
+    return out.select("_row", "column_name", _rs("encoded", 2))
+
+
+@register(
+    "m13_target_scores",
+    q(
+        _SPLIT_SQL
+        + ", prior as (select avg(price_eur) as p from train), "
+        + ", ".join(f"t_{c} as (select {x} as label, sum(price_eur) as s, count(*) as n from train group by 1)" for c, x in _CATS.items())
+        + " "
+        + " union all ".join(
+            f"select _row, '{c}' as column_name, {_re('(coalesce(s, 0) + p) / (coalesce(n, 0) + 1)', 2)} as encoded "
+            f"from test left join t_{c} on t_{c}.label = {x.replace(f'cast({c}', f'cast(test.{c}')}, prior"
+            for c, x in _CATS.items()
+        )
+    ),
+)
+def m13_scores(spark, sf):
+    """Target statistics of the test rows, from all training rows; unseen labels get the prior."""
+    split = _split(spark, sf)
+    train, test = split.filter(~F.col("is_test")), split.filter("is_test")
+    out = T.target_statistics(train, test, S.MODEL_CATEGORICAL_FEATURES, S.TARGET, "_row")
+    return out.select("_row", "column_name", _rs("encoded", 2))
+
+
 # --- ensembles and the full candidate run (rows-only) --------------------------------
 
 
@@ -262,9 +358,19 @@ for _key in [
     register(_id)(_single(_key))
 
 
-@register("m5_preprocessor")
+@register(
+    "m5_preprocessor",
+    q(
+        _SPLIT_SQL
+        + " union all ".join(
+            f"select '{part}' as part, ({len(S.MODEL_NUMERIC_FEATURES)} + {_LABELS})::int as width, count(*) as rows, "
+            f"0::bigint as missing_after from {part}"
+            for part in ("train", "test")
+        )
+    ),
+)
 def m5(spark, sf):
-    """Rows-only: transformed train/test feature vectors have no missing values."""
+    """Transformed train/test feature vectors have no missing values."""
     split = _split(spark, sf)
     train, test = split.filter(~F.col("is_test")), split.filter(F.col("is_test"))
     pm = M.build_preprocessor().fit(train)
@@ -288,9 +394,19 @@ def m17(spark, sf):
     return _metrics_out(res.metrics).join(res.metrics.select("model", "rank_by_mae"), "model")
 
 
-@register("m4_one_hot")
+@register(
+    "m4_one_hot",
+    q(
+        _SPLIT_SQL
+        + " union all ".join(
+            f"select '{c}' as column_name, (select count(distinct {x}) from train)::int as width, count(*) as rows, "
+            f"count_if({x} not in (select {x} from train))::bigint as unseen_rows from test"
+            for c, x in _CATS.items()
+        )
+    ),
+)
 def m4(spark, sf):
-    """Rows-only: per categorical input, test rows whose label was unseen in training
+    """Per categorical input, test rows whose label was unseen in training
     (all-zero one-hot block) and the block width."""
     split = _split(spark, sf)
     train, test = split.filter(~F.col("is_test")), split.filter(F.col("is_test"))
