@@ -19,7 +19,7 @@ import math
 from dataclasses import dataclass
 
 from pyspark import keyword_only
-from pyspark.ml import Estimator, Model, Pipeline
+from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCols, HasLabelCol, HasOutputCols, HasPredictionCol
@@ -376,15 +376,21 @@ SUPPORTED_MODELS = sorted(
 )
 
 
+def parse_key(model_key: str) -> tuple[str, bool]:
+    """(regressor, fitted on the log of the label) of a model key."""
+    log_target = model_key.endswith(S.LOG_TARGET_SUFFIX)
+    base = model_key[: -len(S.LOG_TARGET_SUFFIX)] if log_target else model_key
+    if base not in SUPPORTED_MODELS:
+        raise ValueError(f"Unknown model '{base}'. Supported models: {', '.join(SUPPORTED_MODELS)}")
+    return base, log_target
+
+
 def build_model_pipeline(
     model_key: str, sizes: Sizes = REFERENCE, max_bins: int = 32, label: str = S.TARGET
 ) -> Pipeline:
     """M16 (+M15): model key -> full Spark ML pipeline; ``*_log_target`` fits log1p(y)
     and returns expm1 of the prediction. Unknown keys raise listing the supported ones."""
-    log_target = model_key.endswith(S.LOG_TARGET_SUFFIX)
-    base = model_key[: -len(S.LOG_TARGET_SUFFIX)] if log_target else model_key
-    if base not in SUPPORTED_MODELS:
-        raise ValueError(f"Unknown model '{base}'. Supported models: {', '.join(SUPPORTED_MODELS)}")
+    base, log_target = parse_key(model_key)
     # the native-category booster works on indexed categories (nominal splits, which need a bin
     # for each category), no one-hot; the others have numeric features only and keep fixed bins
     max_bins = max_bins if base == "catboost" else 32
@@ -392,7 +398,7 @@ def build_model_pipeline(
     if log_target:
         stages = [SQLTransformer(statement=f"SELECT *, log1p({label}) AS _log_label FROM __THIS__")] + stages
         stages.append(_regressor(base, "_log_label", "_log_prediction", sizes, max_bins))
-        stages.append(SQLTransformer(statement="SELECT *, expm1(_log_prediction) AS prediction FROM __THIS__"))
+        stages.append(SQLTransformer(statement=EXPM1))
     else:
         stages.append(_regressor(base, label, "prediction", sizes, max_bins))
     return Pipeline(stages=stages)
@@ -431,6 +437,54 @@ def predictions_long(fitted: dict, test: DataFrame, id_cols: list[str], label: s
     return out
 
 
+EXPM1 = "SELECT *, expm1(_log_prediction) AS prediction FROM __THIS__"
+
+
+def fit_candidates(
+    train: DataFrame, specs: list[tuple[str, str]], sizes: Sizes = REFERENCE, parallelism: int = 1, label: str = S.TARGET
+) -> dict:
+    """{name: (key, PipelineModel)}: preprocessing is fitted once per kind (one-hot or indexed) and
+    shared by the pipelines, of which only the regressor is fitted for itself."""
+    parsed = {key: parse_key(key) for _, key in specs}
+    hot = {key: base != "catboost" for key, (base, _) in parsed.items()}
+    shared = {kind: build_preprocessor(one_hot=kind, scale=kind).fit(train) for kind in sorted(set(hot.values()))}
+    bins = category_bins(train) if False in shared else 32
+    prepared = {
+        kind: pre.transform(train).select(FEATURES_COL, label, F.log1p(label).alias("_log_label")) for kind, pre in shared.items()}
+
+    def fit(spec):
+        name, key = spec
+        (base, log_target), kind = parsed[key], hot[key]
+        y, p = ("_log_label", "_log_prediction") if log_target else (label, "prediction")
+        fitted = _regressor(base, y, p, sizes, 32 if kind else bins).fit(prepared[kind])
+        stages = [shared[kind], fitted] + ([SQLTransformer(statement=EXPM1)] if log_target else [])
+        return name, (key, PipelineModel(stages=stages))
+
+    if parallelism > 1:
+        from concurrent.futures import ThreadPoolExecutor
+
+        with ThreadPoolExecutor(parallelism) as pool:
+            return dict(pool.map(fit, specs))
+    return dict(fit(s) for s in specs)
+
+
+def predictions_at_once(fitted: dict, test: DataFrame, id_cols: list[str], label: str = S.TARGET) -> DataFrame:
+    """(model, ids, y, p) of all models of ``fit_candidates`` from one pass over the test rows: each
+    preprocessing is applied once, every model adds a column, and the columns are exploded."""
+    inputs = list(dict.fromkeys([*id_cols, label, *S.MODEL_NUMERIC_FEATURES, *S.MODEL_CATEGORICAL_FEATURES]))
+    rows, columns = test.select(*inputs), {}
+    for pre in {id(pm.stages[0]): pm.stages[0] for _, pm in fitted.values()}.values():
+        scored = pre.transform(rows)
+        for name, (key, pm) in fitted.items():
+            if pm.stages[0] is pre:
+                out = f"_p{len(columns)}"
+                scored = pm.stages[1].transform(scored).withColumnRenamed(pm.stages[1].getPredictionCol(), out)
+                columns[name] = F.expm1(out) if parse_key(key)[1] else F.col(out).cast("double")
+        rows = scored.select(*inputs, *[f"_p{i}" for i in range(len(columns))])
+    each = F.explode(F.array(*[F.struct(F.lit(n).alias("model"), c.alias("p")) for n, c in columns.items()])).alias("_m")
+    return rows.select(each, *id_cols, F.col(label).alias("y")).select("_m.model", *id_cols, "y", "_m.p")
+
+
 def train_candidates(
     model_df: DataFrame,
     specs: list[tuple[str, str]] | None = None,
@@ -442,7 +496,7 @@ def train_candidates(
     """Fit every spec on the same split, score the same test rows, rank by MAE.
 
     The split is checkpointed once (lineage cut, survives executor loss) and reused by all
-    fits; each fit is a distributed Spark ML job. ``parallelism`` > 1 submits several fits
+    fits; preprocessing is fitted once and the test rows are read once for all models. Each fit is a distributed Spark ML job. ``parallelism`` > 1 submits several fits
     at once from a driver thread pool (as Spark's tuning estimators do)."""
     specs = specs or S.DEFAULT_MODEL_CANDIDATES
     data = model_df.filter(F.col(S.TARGET).isNotNull())
@@ -450,21 +504,8 @@ def train_candidates(
     split = checkpointed(split)
     train = split.filter(~F.col("is_test"))
     test = split.filter(F.col("is_test"))
-    max_bins = category_bins(train)
-
-    def fit(spec):
-        name, key = spec
-        return name, (key, build_model_pipeline(key, sizes, max_bins).fit(train))
-
-    if parallelism > 1:
-        from concurrent.futures import ThreadPoolExecutor
-
-        with ThreadPoolExecutor(parallelism) as pool:
-            fitted = dict(pool.map(fit, specs))
-    else:
-        fitted = dict(fit(s) for s in specs)
-    fitted = {name: fitted[name] for name, _ in specs}
-    preds = predictions_long(fitted, test, ["_row"])
+    fitted = fit_candidates(train, specs, sizes, parallelism)
+    preds = predictions_at_once(fitted, test, ["_row"])
     metrics = rank_models(regression_metrics(preds))  # one row per model, scored once
     check_metrics(metrics, [name for name, _ in specs])
     best = metrics.filter(F.col("rank_by_mae") == 1).first()

@@ -35,14 +35,22 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+#: Groups of queries, the quickest first; those without SQL follow them all.
+_GROUPS = "xscfeprm"
+
+
+def _in_order(names) -> list[str]:
+    return sorted(names, key=lambda n: (n not in _ORACLES, _GROUPS.index(n[0])))
+
+
 def queries() -> dict[str, QueryFn]:
     _load_all()
-    return dict(_QUERIES)
+    return {n: _QUERIES[n] for n in _in_order(_QUERIES)}
 
 
 def oracle_sql() -> dict[str, str]:
     _load_all()
-    return dict(_ORACLES)
+    return {n: _ORACLES[n] for n in _in_order(_ORACLES)}
 
 
 def _load_all() -> None:

@@ -144,3 +144,19 @@ def test_split_is_disjoint_complete_and_stable(spark, sf_dir):
     exact = M.with_split(m, exact=True)
     k = int(np.ceil(n * 0.2))
     assert exact.filter("is_test").count() == k
+
+
+def test_candidates_are_scored_in_one_pass(spark):
+    train = _model_rows(spark, [f"c{i % 5}" for i in range(60)]).withColumn("_row", F.monotonically_increasing_id().cast("string"))
+    specs = [("a", "dummy_median"), ("b", "linear_regression"), ("c", "ridge_regression_log_target"), ("d", "catboost"), ("e", "ridge_regression")]
+    fitted = M.fit_candidates(train, specs, M.SMALL)
+    assert fitted["b"][1].stages[0] is fitted["e"][1].stages[0]  # one preprocessing
+    test = _model_rows(spark, ["c1", "unseen", "c3"]).withColumn("_row", F.col("city"))
+    at_once = M.predictions_at_once(fitted, test, ["_row"])
+    want = {(r["model"], r["_row"]): (r["y"], r["p"]) for r in M.predictions_long(fitted, test, ["_row"]).collect()}
+    got = {(r["model"], r["_row"]): (r["y"], r["p"]) for r in at_once.collect()}
+    assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k]) for k in want) and len(got) == 15
+    plan = at_once._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan ExistingRDD") == 1 and "Union" not in plan
+    with pytest.raises(ValueError, match="Unknown model"):
+        M.fit_candidates(train, [("x", "nothing")])
