@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from kvadrat import schema as S
 from kvadrat.functions import html as H
 from kvadrat.functions.numbers import parse_price_text, safe_float
-from kvadrat.functions.text import capitalize, clean_text, first_present, normalize_key
+from kvadrat.functions.text import capitalize, clean_text, first_present, normalize_key, strip
 from kvadrat.functions.urls import build_page_url, canonicalize_url, comparable_url, page_count, uri_part
 from kvadrat.session import ship_package
 
@@ -302,8 +302,8 @@ def added_per_stage(frontier: DataFrame, stage_col: str = "stage") -> DataFrame:
 def resume_anti_join(urls: DataFrame, scraped: DataFrame, order_col: str = "line", limit: int = 0) -> DataFrame:
     """URLs still to fetch: stripped, not blank, not already scraped, first copy only
     (by ``order_col``), optionally the first ``limit`` of them."""
-    u = urls.select(F.trim(F.col("url")).alias("url"), order_col).filter(F.col("url") != "")
-    s = scraped.select(F.trim(F.col("url")).alias("url")).filter(F.col("url") != "").distinct()
+    u = urls.select(strip("url").alias("url"), order_col).filter(F.col("url") != "")
+    s = scraped.select(strip("url").alias("url")).filter(F.col("url") != "").distinct()
     first = u.groupBy("url").agg(F.min(order_col).alias(order_col))
     todo = first.join(s, "url", "left_anti")
     if limit > 0:

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from kvadrat.session import checkpointed
 from kvadrat.operators import cleaning as C
 from kvadrat.operators import features as FE
-from kvadrat.sources import testview
+from kvadrat.plans import testview
 
 # the regional price summary covers the two largest markets of the data
 SUMMARY_TOP_CITIES = 2

@@ -8,7 +8,7 @@ as views), independently of the Spark code path.
 from __future__ import annotations
 
 from kvadrat import schema as S
-from kvadrat.sources import testview
+from kvadrat.plans import testview
 
 RAW = ", ".join(S.RAW_COLUMNS)
 KEY = ", ".join(S.COMPOSITE_KEY)

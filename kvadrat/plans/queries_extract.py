@@ -12,7 +12,7 @@ from kvadrat.operators import extraction as X
 from kvadrat.plans import frames
 from kvadrat.plans.oracle import q
 from kvadrat.plans.registry import register
-from kvadrat.sources.testview import read_table
+from kvadrat.plans.testview import read_table
 
 _WS = r"'^\s+|\s+$'"
 

@@ -1,5 +1,5 @@
 """Registry entries for page extraction over the listing and index pages of
-``sources/pageview``. The oracles compute the expected values from the source columns a page
+``plans/pageview``. The oracles compute the expected values from the source columns a page
 was written from; they never read the markup."""
 
 from __future__ import annotations
@@ -12,8 +12,8 @@ from kvadrat.functions import urls as U
 from kvadrat.operators import extraction as X
 from kvadrat.plans.registry import register
 from kvadrat.sources import listings as L
-from kvadrat.sources import pageview
-from kvadrat.sources.testview import read_table
+from kvadrat.plans import pageview
+from kvadrat.plans.testview import read_table
 
 
 def _area(k: str = "k") -> str:

@@ -18,7 +18,7 @@ from kvadrat.plans.oracle import feature_ctes, q
 from kvadrat.plans.queries_model import _METRICS_SQL, _PRED_SQL, _fit_two_models, _split, _two_model_predictions
 from kvadrat.plans.queries_stats import _re, _rs
 from kvadrat.plans.registry import register
-from kvadrat.sources import testview
+from kvadrat.plans import testview
 
 _WS = r"'^\s+|\s+$'"
 

@@ -16,7 +16,7 @@ from kvadrat.plans.registry import register
 from kvadrat.session import checkpoint_dir
 from kvadrat.sources import listings as L
 from kvadrat.sources import sinks
-from kvadrat.sources import testview
+from kvadrat.plans import testview
 from kvadrat.streaming import jobs
 
 _TEXT = [c for c in S.RAW_COLUMNS if c not in S.NUMERIC_RAW_COLUMNS]

@@ -12,7 +12,7 @@ from kvadrat.operators import stats as E
 from kvadrat.plans import flagship, frames
 from kvadrat.plans.oracle import q, qc
 from kvadrat.plans.registry import register
-from kvadrat.sources import testview
+from kvadrat.plans import testview
 
 R6 = 6
 

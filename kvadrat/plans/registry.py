@@ -16,7 +16,7 @@ from kvadrat import schema as S
 from kvadrat.operators import cleaning as C
 from kvadrat.operators import stats as E
 from kvadrat.plans import frames
-from kvadrat.sources import testview
+from kvadrat.plans import testview
 from kvadrat.plans.oracle import COMPLETE, KEY, QUALITY, RAW, RULE_AREA, RULE_PRICE, RULE_ROOMS, RULE_YEAR, q
 
 QueryFn = Callable[[SparkSession, str], DataFrame]

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kvadrat import schema as S
+from kvadrat.functions.text import strip
 from kvadrat.sources import quoted_csv
 
 class ListingsValidationError(ValueError):
@@ -55,7 +56,7 @@ def numeric_problems(df: DataFrame, columns: list[str] | None = None) -> DataFra
     aggs = [F.count(F.lit(1)).alias("rows")]
     for c in columns:
         text = F.col(c).cast("string")
-        bare = F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+        bare = strip(text)
         bad = text.isNotNull() & (bare != "") & bare.try_cast("double").isNull()
         aggs.append(F.count_if(bad).alias(c))
     return df.agg(*aggs)
@@ -87,7 +88,7 @@ def typed(df: DataFrame) -> DataFrame:
     out = {}
     for c in S.RAW_COLUMNS:
         if c in S.NUMERIC_RAW_COLUMNS:
-            v = na_to_null(F.trim(F.col(c).cast("string"))).try_cast("double")
+            v = na_to_null(strip(F.col(c).cast("string"))).try_cast("double")
             out[c] = F.when(~F.isnan(v), v)
         else:
             out[c] = na_to_null(F.col(c).cast("string"))

@@ -20,7 +20,7 @@ def test_normalize_number(spark, text, expected):
 
 @pytest.mark.parametrize(
     "text,expected",
-    [("Kvadratura: 342.85 m²", 342.85), ("53 m²", 53.0), ("nema", None), ("1 234,5 EUR", 1234.5)],
+    [("Povrsina oko 71.25 kvm", 71.25), ("118 kvm", 118.0), ("nema", None), ("1 234,5 EUR", 1234.5)],
 )
 def test_safe_float(spark, text, expected):
     df = spark.createDataFrame([(text,)], "t string")
@@ -38,8 +38,8 @@ BASE = "https://www.nekretnine.rs"
 @pytest.mark.parametrize(
     "href,expected",
     [
-        ("/stambeni-objekti/stanovi/stan-a/NkABC123/?utm=x#photos", BASE + "/stambeni-objekti/stanovi/stan-a/NkABC123/"),
-        (BASE + "/stambeni-objekti/stanovi/stan-b/NkDEF456", BASE + "/stambeni-objekti/stanovi/stan-b/NkDEF456/"),
+        ("/stambeni-objekti/stanovi/dvosoban-kod-parka/Nk7Qz09/?ref=mail&x=2#mapa", BASE + "/stambeni-objekti/stanovi/dvosoban-kod-parka/Nk7Qz09/"),
+        (BASE + "/stambeni-objekti/stanovi/garsonjera/Nk00W", BASE + "/stambeni-objekti/stanovi/garsonjera/Nk00W/"),
         ("https://other.example/stan/NkX1/", None),
         ("/stambeni-objekti/stanovi/lista/", None),
         ("", None),
