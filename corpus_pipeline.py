@@ -27,7 +27,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """One document of each group of near duplicates, that with the smallest doc_id; documents
     without words and rows without an id are no group and stay. Rows equal in id are one."""
     found = stored(jaccard_join.near_duplicates(docs, count_links=False), "groups")
-    copies = found.where("doc_id <> component_id").select(F.col("doc_id").alias("__copy")).distinct()
+    # a table of its own, so Spark knows its size: few ids are broadcast, and no text is shuffled
+    copies = stored(found.where("doc_id <> component_id").select(F.col("doc_id").alias("__copy")).distinct(), "copies")
     return docs.join(copies, docs["doc_id"] == copies["__copy"], "left_anti")
 
 
@@ -49,8 +50,8 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("pack", pack),
 ]
 
-#: SQL cannot say what the classifier's and the packer's stages do; tests/llm holds the stages
-#: against brute-force versions instead.
+#: SQL cannot say what the classifier's and the packer's stages do. tests/llm holds the operators
+#: behind the stages against brute-force versions, and the stages' rows and columns.
 ORACLE_SQL = None
 
 
