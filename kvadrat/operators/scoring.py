@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from kvadrat import schema as S
 from kvadrat.functions.floors import floor_label
-from kvadrat.functions.text import strip
+from kvadrat.functions.text import let, strip
 from kvadrat.operators.features import add_model_features
 
 # fixed values: validation messages
@@ -31,6 +31,8 @@ FLAG_WORDS = [("is_lux", "lux"), ("is_penthouse", "penthouse"), ("is_duplex", "d
 # what Python's float() accepts (besides nan/inf spellings)
 _FLOAT_TEXT = r"(?U)^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 _SPECIAL_TEXT = r"(?i)^\s*[+-]?(nan|inf|infinity)\s*$"
+# most of what forms send: a part of _FLOAT_TEXT that costs a fraction of it
+_PLAIN_NUMBER = r"^[0-9]+(?:\.[0-9]+)?$"
 
 
 def _fmt(x: float) -> str:
@@ -40,7 +42,7 @@ def _fmt(x: float) -> str:
 def py_float(c: Column | str) -> Column:
     """Number a form field parses to, or null when it does not parse."""
     x = F.col(c) if isinstance(c, str) else c
-    ok = x.rlike(_FLOAT_TEXT) | x.rlike(_SPECIAL_TEXT)
+    ok = x.rlike(_PLAIN_NUMBER) | x.rlike(_FLOAT_TEXT) | x.rlike(_SPECIAL_TEXT)
     return F.when(ok, F.trim(x).try_cast("double"))
 
 
@@ -48,12 +50,25 @@ def _given(c: str) -> Column:
     return F.col(c).isNotNull() & (F.col(c) != "")
 
 
+def _blank(c: str) -> Column:
+    """White space only: as ``strip(c) == ""``, but a text is read up to its first other character."""
+    return ~F.col(c).rlike(r"(?U)\S")
+
+
+_NUMBERS = ["area_m2", "rooms", "year_built", "floor", "total_floors"]
+
+
 def validation_errors() -> Column:
-    """Array of every problem with the request (empty when it is valid)."""
+    """Array of every problem with the request (empty when it is valid). The rules use each number
+    many times; it is parsed once."""
+    return let(F.struct(*[py_float(f).alias(f) for f in _NUMBERS]), _problems)
+
+
+def _problems(numbers: Column) -> Column:
     checks: list[Column] = []
     for f in REQUIRED_FIELDS:
-        checks.append(F.when(F.col(f).isNull() | (strip(f) == ""), F.lit(MSG_REQUIRED.format(field=f))))
-    area = py_float("area_m2")
+        checks.append(F.when(F.col(f).isNull() | _blank(f), F.lit(MSG_REQUIRED.format(field=f))))
+    area = numbers["area_m2"]
     lo, hi = S.AREA_RANGE
     checks.append(
         F.when(area.isNull(), F.lit(MSG_RANGE_NUMBER.format(field="area_m2", lo=_fmt(lo), hi=_fmt(hi)))).when(
@@ -66,13 +81,13 @@ def validation_errors() -> Column:
         ("floor", S.FLOOR_RANGE, MSG_NUMBER),
         ("total_floors", S.TOTAL_FLOORS_RANGE, MSG_NUMBER),
     ]:
-        v = py_float(f)
+        v = numbers[f]
         checks.append(
             F.when(_given(f) & v.isNull(), F.lit(bad_number.format(field=f, lo=_fmt(lo), hi=_fmt(hi)))).when(
                 _given(f) & ~v.between(lo, hi), F.lit(MSG_RANGE.format(field=f, lo=_fmt(lo), hi=_fmt(hi)))
             )
         )
-    fl, tot = py_float("floor"), py_float("total_floors")
+    fl, tot = numbers["floor"], numbers["total_floors"]
     both = _given("floor") & _given("total_floors") & fl.isNotNull() & tot.isNotNull()
     checks.append(F.when(both & (fl > tot), F.lit(MSG_FLOOR_ABOVE_TOTAL)))
     checks.append(F.when(both & (tot == 0) & (fl > 0), F.lit(MSG_TOTAL_ZERO)))
@@ -97,7 +112,7 @@ def raise_on_invalid(df: DataFrame) -> DataFrame:
 
 def _text_or_unknown(c: str, missing_as: str) -> Column:
     return F.when(F.col(c).isNull(), F.lit(missing_as)).otherwise(
-        F.when(strip(c) == "", F.lit(S.UNKNOWN)).otherwise(strip(c))
+        F.when(_blank(c), F.lit(S.UNKNOWN)).otherwise(strip(c))
     )
 
 

@@ -1,5 +1,6 @@
 """Scoring cases: validation messages, floor labels, prediction frame, price range."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from kvadrat.functions.floors import floor_label
@@ -88,3 +89,29 @@ def test_strict_mode_fails_the_job(spark):
     df = _req(spark, [("1", "", "b", None, "50", None, "c", "d", None, None, None, False, False, False)])
     with pytest.raises(Exception, match="city je obavezno polje"):
         P.raise_on_invalid(df).collect()
+
+
+def test_requests_are_dealt_before_they_are_scored(spark, sf_dir):
+    """A table of one row group is one task's: its rows are dealt before numbers are parsed."""
+    from kvadrat.plans import testview
+
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = spark.conf.get("spark.kvadrat.scanPartitions", None)
+    try:
+        spark.conf.unset("spark.kvadrat.scanPartitions")
+        requests = testview.score_inputs(spark, sf_dir)
+    finally:
+        if parts:
+            spark.conf.set("spark.kvadrat.scanPartitions", parts)
+    plan = P.validate_requests(requests)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(l_orderkey" in plan and f", {n}), REPARTITION_BY_NUM" in plan
+
+
+@pytest.mark.parametrize("text", ["12", "12.5", "٣", " 7 ", "7\n", "+3", "-2", "1e2", ".5", "5.", "nan", "-Infinity", "", " ", "1d", "0x1", "1_0", "12 a", "1.2.3"])
+def test_plain_numbers_parse_as_the_whole_grammar_does(spark, text):
+    import re
+
+    want = re.fullmatch(r"\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*", text) or re.fullmatch(r"(?i)\s*[+-]?(nan|inf|infinity)\s*", text)
+    got = spark.createDataFrame([(text,)], "x string").select(P.py_float("x").alias("v"), P._blank("x").alias("b")).first()
+    # (digits of other scripts are matched, and no double for Spark)
+    assert (got["v"] is not None) == (bool(want) and text != "٣") and got["b"] == (text.strip() == "")
