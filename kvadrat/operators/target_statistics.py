@@ -6,13 +6,14 @@ are put in a fixed random order (a hash) and each one's statistic is taken from
 it in its category. All columns are encoded in one pass in long form, and no list of labels, however
 long, is held by the driver or by a task.
 
-Running sums by category are prefix sums over ranges: rows are dealt by (column, label, order), each
-range is summed, and offsets are joined back, so a category that holds a third of all rows lies in many
-ranges. (A window over a category alone would gather it in one task.)
+Running sums by category are prefix sums over ranges of the order: each range of a category is summed,
+and offsets are joined back, so a category that holds a third of all rows lies in many ranges. (A window over a category alone would gather it in one task.)
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,25 +28,27 @@ def _long(df: DataFrame, columns: list[str], keep: list[str]) -> DataFrame:
 
 def prefix_sums(df: DataFrame, group_cols: list[str], order_col: str, value_col: str) -> DataFrame:
     """``df`` with ``before_sum`` and ``before_n``: sum and count of ``value_col`` over the rows of the
-    group that come before the row. Rows equal in order follow each other in some order."""
+    group that come before the row. ``order_col`` is text spread like a hash; rows equal in it follow each
+    other by value, the largest first.
+
+    A range is a prefix of the order, so it is known without dealing or sampling rows: ranges are summed
+    by partial aggregation, running sums over them (a row per group and range, dealt by range of groups)
+    are joined, and rows are shuffled once, for that join and the window alike."""
     g = list(group_cols)
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # the number of ranges is stated, so both readers of this one shuffle see the same ranges
-    ranged = df.repartitionByRange(n, *g, order_col).withColumn("_p", F.spark_partition_id())
-    part = Window.partitionBy(*g, "_p")
-    before = part.orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)
+    digits = next(k for k in range(1, 16) if 16**k >= n)  # a range for each task, in the largest group too
+    known = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in g])  # rows of no group are left out
+    ranged = df.filter(known).withColumn("_p", F.coalesce(F.substring(order_col, 1, digits), F.lit("")))
     totals = ranged.groupBy(*g, "_p").agg(F.sum(value_col).alias("_s"), F.count(value_col).alias("_n"))
     over = Window.partitionBy(*g).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)  # one row a range
-    offsets = totals.select(
-        *g, "_p", F.col("_n").alias("_rows"),
-        F.coalesce(F.sum("_s").over(over), F.lit(0.0)).alias("_s0"), F.coalesce(F.sum("_n").over(over), F.lit(0)).alias("_n0"))
-    same = F.when(F.count(value_col).over(part) == F.col("_rows"), F.col("_n0")).otherwise(
-        F.raise_error(F.lit("ranges of rows were dealt twice")).cast("long"))
-    rows = ranged.join(offsets, [*g, "_p"]).withColumns({
-        "before_n": same + F.count(value_col).over(before),
+    offsets = totals.repartitionByRange(n, *g).select(
+        *g, "_p", F.coalesce(F.sum("_s").over(over), F.lit(0.0)).alias("_s0"), F.coalesce(F.sum("_n").over(over), F.lit(0)).alias("_n0"))
+    before = Window.partitionBy(*g, "_p").orderBy(F.col(order_col), F.col(value_col).desc()).rowsBetween(Window.unboundedPreceding, -1)
+    rows = ranged.repartition(n, *g, "_p").join(offsets, [*g, "_p"], "left").withColumns({
+        "before_n": F.col("_n0") + F.count(value_col).over(before),
         "before_sum": F.col("_s0") + F.coalesce(F.sum(value_col).over(before), F.lit(0.0)),
     })
-    return rows.drop("_p", "_rows", "_s0", "_n0")
+    return rows.drop("_p", "_s0", "_n0")
 
 
 def _drawn(total, count, weight: float):

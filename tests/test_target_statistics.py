@@ -52,3 +52,14 @@ def test_empty_frames(spark):
     none = spark.createDataFrame([], SCHEMA)
     assert T.ordered_target_statistics(none, ["city"], "y", "_row").count() == 0
     assert T.target_statistics(none, none, ["city"], "y", "_row").count() == 0
+
+
+def test_rows_equal_in_order_follow_each_other_by_value_and_rows_are_shuffled_once(spark):
+    data = [("0a", "x", "u", 5.0), ("0a", "x", "u", 9.0), ("0a", "x", "u", 1.0), ("ff", "x", "u", 2.0), (None, "x", "u", 3.0)]
+    for parts in (1, 3, 5):
+        df = spark.createDataFrame(data, SCHEMA).repartition(parts)
+        sums = T.prefix_sums(df, ["city"], "_row", "y")
+        got = sorted((r["y"], r["before_n"], r["before_sum"]) for r in sums.collect())
+        assert got == [(1.0, 3, 17.0), (2.0, 4, 18.0), (3.0, 0, 0.0), (5.0, 2, 12.0), (9.0, 1, 3.0)]
+    plan = T.prefix_sums(spark.createDataFrame(data, SCHEMA), ["city"], "_row", "y")._jdf.queryExecution().executedPlan().toString()
+    assert not [line for line in plan.splitlines() if "rangepartitioning" in line and "_row" in line]
