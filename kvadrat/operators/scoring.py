@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kvadrat import schema as S
+from kvadrat.session import checkpointed
 from kvadrat.functions.floors import floor_label
 from kvadrat.functions.text import let, strip
 from kvadrat.operators.features import add_model_features
@@ -202,14 +203,16 @@ def model_lookup(registry: DataFrame, metrics: DataFrame) -> DataFrame:
 def region_options(requests: DataFrame, regions_by_city: DataFrame, all_regions: DataFrame | None = None) -> DataFrame:
     """Region choices per requested city: that city's regions; else 'Nepoznato' when a
     per-city map exists; else every region; else 'Nepoznato'. Long form (city, pos, region), from a map
-    in long form; no list of regions is collected."""
+    in long form; no list of regions is collected. The map and the regions are read several times: their
+    distinct rows are written once, so the listings behind them are cleaned once."""
+    regions_by_city = checkpointed(regions_by_city)
     cities = requests.select("city").distinct()
     mapped = cities.join(regions_by_city, "city")
     rest = cities.join(regions_by_city.select("city").distinct(), "city", "left_anti")
     unknown = rest.select("city", F.lit(0).alias("pos"), F.lit(S.UNKNOWN).alias("region"))
     if not regions_by_city.isEmpty() or all_regions is None:
         return mapped.unionByName(unknown)
-    every = all_regions.where("region IS NOT NULL").select("region").distinct()
+    every = checkpointed(all_regions.where("region IS NOT NULL").select("region").distinct())
     if every.isEmpty():
         return unknown
     # every region for every city is the result asked for, one row per choice

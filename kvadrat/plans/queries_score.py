@@ -219,7 +219,7 @@ select city, (row_number() over (partition by city order by region) - 1)::int as
     ),
 )
 def p7(spark, sf):
-    rbc = E.regions_by_city(frames.model(spark, sf))
+    rbc = E.regions_by_city(frames.model(spark, sf, frames.OPTION_COLUMNS))
     return P.region_options(testview.score_inputs(spark, sf), rbc)
 
 
@@ -234,6 +234,6 @@ select city, pos, region from (select distinct city from score_input where city
 )
 def p7_all(spark, sf):
     """No map of regions by city: every region is a choice."""
-    model = frames.model(spark, sf)
+    model = frames.model(spark, sf, frames.OPTION_COLUMNS)
     none = E.regions_by_city(model.select("city", "region").limit(0))
     return P.region_options(testview.score_inputs(spark, sf).filter("city IS NOT NULL"), none, model.select("region"))

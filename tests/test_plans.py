@@ -85,3 +85,16 @@ def test_frames_are_partition_independent(spark, sf_dir):
     cols = S.RAW_COLUMNS
     cleaned = frames.cleaned(spark, sf_dir).select(*cols)
     assert cleaned.filter(~F.col("area_m2").between(*S.AREA_RANGE)).count() == 0
+
+
+@pytest.mark.parametrize("name", ["p7_options_fallback", "p7_options_all_regions"])
+def test_options_clean_the_listings_once(spark, sf_dir, name, monkeypatch):
+    """The regions are written once and read from there; the texts of listings are not carried."""
+    from kvadrat.operators import scoring
+
+    written = []
+    monkeypatch.setattr(scoring, "checkpointed", lambda df, f=scoring.checkpointed: (written.append(_plan(df)), f(df))[1])
+    plan = _plan(registry.queries()[name](spark, sf_dir))
+    assert "_d1" not in plan and sum("hashpartitioning(_d1" in p for p in written) == 1
+    for p in written:
+        assert "p_name" not in [line for line in p.splitlines() if "Exchange hashpartitioning(_d1" in line] and "_first.title" not in p
