@@ -139,10 +139,11 @@ def s9_s10(spark, sf):
 
     out = _scratch(spark, "models")
     specs = [("Baseline - DummyRegressor median", "dummy_median"), ("LinearRegression", "linear_regression")]
-    res = training.train_and_save(spark, frames.raw(spark, sf), out, specs, sizes=M.SMALL)
+    res = training.train_and_save(
+        spark, frames.ordered(spark, sf), out, specs, sizes=M.SMALL, order_col=testview.FIRST_ORDER)
     name, best = sinks.load_best(spark, out)
     metrics = spark.read.json(f"{res['metadata_dir']}/metrics")
-    labelled = frames.model(spark, sf).filter(F.col(S.TARGET).isNotNull())
+    labelled = res["model"].filter(F.col(S.TARGET).isNotNull())
     test = M.with_split(labelled).filter("is_test")
     scored = best.transform(test).agg(F.count_if(~F.isnan("prediction")).alias("scored_with_best"))
     return (

@@ -15,11 +15,13 @@ from kvadrat.operators import stats as E
 from kvadrat.sources import sinks
 
 
-def prepare_modeling_data(raw: DataFrame, current_year: int = S.CURRENT_YEAR) -> tuple[DataFrame, DataFrame]:
+def prepare_modeling_data(
+    raw: DataFrame, current_year: int = S.CURRENT_YEAR, order_col: str | list[str] = C.ORDER_COL
+) -> tuple[DataFrame, DataFrame]:
     """(model frame, cleaning summary). The model frame is checkpointed: every candidate
     fit and every statistic reads it, and a lost executor must not recompute the dedup."""
-    model_df = checkpointed(FE.add_model_features(C.build_cleaned(raw), current_year))
-    return model_df, C.cleaning_summary(raw)
+    model_df = checkpointed(FE.add_model_features(C.build_cleaned(raw, order_col=order_col), current_year))
+    return model_df, C.cleaning_summary(raw, order_col=order_col)
 
 
 def ui_options(model_df: DataFrame) -> dict[str, DataFrame]:
@@ -40,9 +42,11 @@ def train_and_save(
     test_size: float = S.TEST_SIZE,
     seed: int = S.RANDOM_STATE,
     parallelism: int = 1,
+    order_col: str | list[str] = C.ORDER_COL,
 ) -> dict:
-    """Train every candidate, save all pipelines (best flagged) and the metadata tables."""
-    model_df, summary = prepare_modeling_data(raw)
+    """Train every candidate, save all pipelines (best flagged) and the metadata tables. ``model`` of the
+    result is the written model frame, so what scores it does not clean the listings again."""
+    model_df, summary = prepare_modeling_data(raw, order_col=order_col)
     res = M.train_candidates(model_df, specs, test_size, seed, sizes, parallelism)
     registry = sinks.save_models(spark, res.models, res.best_model_name, out_dir)
     run = spark.createDataFrame(
@@ -63,4 +67,4 @@ def train_and_save(
     tables = {"run": run, "metrics": res.metrics, "cleaning_summary": summary, "registry": registry}
     tables.update(ui_options(model_df))
     sinks.write_run_metadata({k: v for k, v in tables.items() if k != "registry"}, f"{out_dir}/metadata")
-    return {"result": res, "registry": registry, "metadata_dir": f"{out_dir}/metadata"}
+    return {"model": model_df, "result": res, "registry": registry, "metadata_dir": f"{out_dir}/metadata"}
