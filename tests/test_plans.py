@@ -50,6 +50,15 @@ def test_cleaning_summary_is_one_aggregate_shuffle(spark, sf_dir):
     assert plan.count("hashpartitioning(") == 1
 
 
+def test_rows_are_dealt_before_listings_are_made_of_them(spark, sf_dir):
+    for df in (frames.sets(spark, sf_dir, ["area_m2"]), frames.model(spark, sf_dir, deal=True)):
+        plan = _plan(df)
+        assert plan.count("hashpartitioning(l_orderkey") == 1 and "RoundRobinPartitioning" not in plan
+        assert plan.index("_d1") < plan.index("p_partkey") < plan.index("hashpartitioning(l_orderkey")
+    rows = [sorted(map(str, frames.raw(spark, sf_dir, deal).drop("_ord").collect())) for deal in (False, True)]
+    assert rows[0] == rows[1]
+
+
 def test_scan_reads_only_needed_columns(spark, sf_dir):
     plan = _plan(frames.raw(spark, sf_dir).select("city", "price_eur"))
     scan = [line for line in plan.splitlines() if "lineitem.parquet" in line][0]
