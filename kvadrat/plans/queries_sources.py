@@ -39,7 +39,7 @@ def s1(spark, sf):
     """Listings written as CSV (quoted, multi-line safe) by Spark, then loaded, validated
     and typed by the listings source."""
     path = _scratch(spark, "listings-csv")
-    sinks.append_listings(frames.raw(spark, sf), path)
+    sinks.append_listings(frames.raw(spark, sf, deal=True), path)
     return L.load_listings(spark, path, min_rows=1).select(*S.RAW_COLUMNS)
 
 

@@ -85,14 +85,12 @@ def validate(df: DataFrame, min_rows: int = 1000, required: list[str] | None = N
 
 def typed(df: DataFrame) -> DataFrame:
     """NA tokens to null on text columns, numbers via ``try_cast`` (NaN to null)."""
-    out = {}
-    for c in S.RAW_COLUMNS:
-        if c in S.NUMERIC_RAW_COLUMNS:
-            v = na_to_null(strip(F.col(c).cast("string"))).try_cast("double")
-            out[c] = F.when(~F.isnan(v), v)
-        else:
-            out[c] = na_to_null(F.col(c).cast("string"))
-    return df.withColumns(out)
+    numbers = [c for c in S.RAW_COLUMNS if c in S.NUMERIC_RAW_COLUMNS]
+    # one step after the other: what a step names twice is made once
+    bare = df.withColumns({c: strip(F.col(c).cast("string")) for c in numbers})
+    read = bare.withColumns({c: na_to_null(c).try_cast("double") for c in numbers})
+    out = {c: F.when(~F.isnan(c), F.col(c)) if c in numbers else na_to_null(F.col(c).cast("string")) for c in S.RAW_COLUMNS}
+    return read.withColumns(out)
 
 def load_listings(
     spark: SparkSession, path: str, fmt: str = "csv", min_rows: int = 1000, validate_data: bool = True

@@ -64,18 +64,35 @@ def _text(value: str | None) -> str:
     return value[:-1] if value.endswith("\r") else value
 
 
+def _closed(values: pa.Array, ends: np.ndarray) -> pa.Array:
+    """The records that end at ``ends`` after the first, without empty ones. Most are a line each, so they
+    stay in Arrow."""
+    starts, stops = ends[:-1] + 1, ends[1:]
+    if (starts == stops).all():
+        found = values.slice(ends[0] + 1, len(starts))
+        cut = pc.utf8_slice_codeunits(found, 0, -1)
+        found = pc.if_else(pc.ends_with(found, "\r"), cut, found)
+    else:
+        lines = values.to_pylist()
+        found = pa.array([_text("\n".join(lines[i : j + 1])) for i, j in zip(starts.tolist(), stops.tolist())], pa.string())
+    return found.filter(pc.not_equal(found, ""))
+
+
 def records(spark: SparkSession, path: str) -> DataFrame:
     """file (its rank by path), block, pos (order in the block) and record of every record that is not empty."""
     ship_package(spark)
     lines = _lines(spark, path)
     before = spark.sparkContext.broadcast(_parities(lines))
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def cut(batches: Iterator[pa.RecordBatch], borders: bool) -> Iterator[pa.RecordBatch]:
+        """Whole records, or else the pieces at ``borders``, in either case numbered alike."""
         now, split, parity, pending, part, pos = None, None, 0, [], 0, 0
 
-        def made(rows: list[tuple]) -> pa.RecordBatch:
+        def made(records: pa.Array, first: int, part: int) -> pa.RecordBatch:
+            n = len(records)
             return pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.string()))],
+                [pa.array(np.full(n, split[0], "int64")), pa.array(np.full(n, split[1], "int64")), pa.array(np.arange(first, first + n)),
+                 pa.array(np.full(n, part, "int32")), records.cast(pa.string())],
                 names=["file", "block", "pos", "part", "record"])
 
         for batch in batches:
@@ -85,37 +102,41 @@ def records(spark: SparkSession, path: str) -> DataFrame:
             for a, b in zip([0, *change], [*change, batch.num_rows]):
                 if a == b:
                     continue
-                rows = []
                 if now != (int(file[a]), int(block[a])):
-                    if pending:  # goes on in a later split
-                        rows.append((*split, pos, part | 2, "\n".join(pending)))
+                    if pending and borders:  # goes on in a later split
+                        yield made(pa.array(["\n".join(pending)]), pos, part | 2)
                     now = int(file[a]), int(block[a])
                     rank, parity = before.value[now]
                     split, pending, pos = (rank, now[1]), [], 0
                     part = parity  # begins inside a record
                 after = (parity + np.cumsum(odd[a:b])) & 1
+                parity = int(after[-1])
                 values = batch.column("value").slice(a, b - a)
                 ends = np.flatnonzero(after == 0)
-                first = 0
-                for end in ends.tolist():
-                    record = _text("\n".join([*pending, *(v.as_py() for v in values.slice(first, end + 1 - first))]))
-                    if part or record:
-                        rows.append((*split, pos, part, record))
-                        pos += 1
-                    pending, part, first = [], 0, end + 1
-                pending += [v.as_py() for v in values.slice(first)]
-                parity = int(after[-1])
-                if rows:
-                    yield made(rows)
-        if pending:
-            yield made([(*split, pos, part | 2, "\n".join(pending))])
-
-    pieces = lines.select("value", "file", "block").mapInArrow(cut, _CUT)
-    whole = pieces.where("part = 0").drop("part")
+                if not len(ends):
+                    pending += values.to_pylist()
+                    continue
+                record = _text("\n".join([*pending, *values.slice(0, ends[0] + 1).to_pylist()]))
+                if part or record:
+                    if borders == (part > 0):
+                        yield made(pa.array([record]), pos, part)
+                    pos += 1
+                found = _closed(values, ends)
+                if len(found) and not borders:
+                    yield made(found, pos, 0)
+                pos += len(found)
+                pending, part = values.slice(ends[-1] + 1).to_pylist(), 0
+        if pending and borders:
+            yield made(pa.array(["\n".join(pending)]), pos, part | 2)
+
+    def pieces(borders: bool) -> DataFrame:
+        return lines.select("value", "file", "block").mapInArrow(lambda batches: cut(batches, borders), _CUT)
+
+    whole = pieces(False).drop("part")
     # a piece belongs to the last split before it in which a record began and did not end
     order = Window.partitionBy("file").orderBy("block", "pos")
     began = F.last(F.when(F.col("part") == 2, F.struct("block", "pos")), ignorenulls=True).over(order)
-    borders = pieces.where("part > 0").withColumn("began", began)
+    borders = pieces(True).withColumn("began", began)
     joined = borders.groupBy("file", "began").agg(F.array_sort(F.collect_list(F.struct("block", "pos", "record"))).alias("p"))
     joined = joined.select("file", "began.block", "began.pos", F.array_join(F.transform("p", lambda x: x["record"]), "\n").alias("record"))
     return whole.unionByName(joined.where("record <> ''"))
@@ -133,6 +154,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
                          F.monotonically_increasing_id().alias("pos"))
         return whole.withColumn("_ord", order)
     fields = ", ".join(f"`{c}` string" for c in whole.columns)
-    rows = found.where("block > 0 OR pos > 0").select(  # without each file's header
-        F.from_csv("record", fields, OPTIONS).alias("row"), F.struct("file", "block", "pos").alias("_ord"))
-    return rows.select(*(F.col("row")[c].alias(c) for c in whole.columns), "_ord")
+    rows = found.where("block > 0 OR pos > 0")  # without each file's header
+    # exploded, so that a record is parsed once and not for each column
+    parsed = rows.select(F.struct("file", "block", "pos").alias("_ord"), F.inline(F.array(F.from_csv("record", fields, OPTIONS))))
+    return parsed.select(*(F.col(f"`{c}`") for c in whole.columns), "_ord")

@@ -5,7 +5,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from kvadrat.sources import quoted_csv
+from kvadrat import schema as S
+from kvadrat.sources import listings, quoted_csv
 
 
 @pytest.fixture
@@ -56,6 +57,26 @@ def test_order_is_that_of_the_file(small_splits, tmp_path):
     assert [r[0] for r in got] == list(range(300))
 
 
+def test_a_record_is_parsed_once_and_pieces_are_cut_apart(small_splits, tmp_path):
+    write(tmp_path / "a.csv", 100, "\r\n")
+    plan = quoted_csv.read(small_splits, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("from_csv(") == 1
+    (tmp_path / "b.csv").write_bytes(b"title,description,price\r\n1,a,2\r\n\r\n\r\n" + b"3,b\r,4\r\n" * 60 + b'5,"x\ny",6\r\n')
+    found = [(r["pos"], r["record"]) for r in quoted_csv.records(small_splits, str(tmp_path / "b.csv")).where("block = 0").collect()]
+    found.sort()
+    assert found[:4] == [(0, "title,description,price"), (1, "1,a,2"), (2, "3,b\r,4"), (3, "3,b\r,4")]
+    assert [p for p, _ in found] == list(range(len(found)))
+
+
+def test_a_number_is_stripped_once(spark, tmp_path):
+    columns = ",".join(S.RAW_COLUMNS)
+    (tmp_path / "a.csv").write_text(columns + "\n" + "a,b,\u00a0 7.5,NaN,c,d,e,f,x,g,h,n/a,u\n")
+    df = listings.typed(listings.read_raw(spark, str(tmp_path)))
+    assert df._jdf.queryExecution().executedPlan().toString().count("regexp_replace(area_m2") == 1
+    row = df.first()
+    assert (row["area_m2"], row["price_eur"], row["rooms"], row["year_built"]) == (7.5, None, None, None)
+
+
 def test_one_record_over_many_splits(small_splits, tmp_path):
     long = "\n".join(f"line {i}" for i in range(900))
     (tmp_path / "a.csv").write_text(f'title,description,price\n1,"{long}",2\n3,"{long}\n",4\n\n5,six,7\n')
