@@ -59,6 +59,16 @@ def test_rows_are_dealt_before_listings_are_made_of_them(spark, sf_dir):
     assert rows[0] == rows[1]
 
 
+def test_dealt_rows_are_placed_by_their_id_for_the_fits(spark, sf_dir):
+    from kvadrat.plans import queries_model
+
+    rows = queries_model._split(spark, sf_dir, deal=True)
+    places = rows.select("_row").rdd.glom().map(lambda part: [r[0] for r in part]).collect()
+    assert places and all(part == sorted(part) for part in places)
+    old = queries_model._split(spark, sf_dir)
+    assert sorted(map(str, rows.collect())) == sorted(map(str, old.collect()))
+
+
 def test_scan_reads_only_needed_columns(spark, sf_dir):
     plan = _plan(frames.raw(spark, sf_dir).select("city", "price_eur"))
     scan = [line for line in plan.splitlines() if "lineitem.parquet" in line][0]
