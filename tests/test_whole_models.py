@@ -8,6 +8,7 @@ from kvadrat.plans import registry
 WHOLE = {
     "m11_gradient_boosting": ("gb_iter", 180),
     "m12_hist_gradient_boosting": ("hgb_iter", 160),
+    "m13_catboost": ("cat_iter", 700),
 }
 
 
