@@ -9,6 +9,7 @@ WHOLE = {
     "m11_gradient_boosting": ("gb_iter", 180),
     "m12_hist_gradient_boosting": ("hgb_iter", 160),
     "m13_catboost": ("cat_iter", 700),
+    "m14_xgboost": ("xgb_iter", 500),
 }
 
 
