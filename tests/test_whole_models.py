@@ -2,6 +2,7 @@
 
 import pytest
 
+from kvadrat import schema as S
 from kvadrat.operators import modeling as M
 from kvadrat.plans import registry
 
@@ -27,3 +28,14 @@ def test_boosters_are_fitted_whole(spark, sf_dir, monkeypatch, name):
         registry.queries()[name](spark, sf_dir)
     field, rounds = WHOLE[name]
     assert getattr(asked.value.args[0], field) == rounds
+
+
+def test_candidates_are_fitted_whole(spark, sf_dir, monkeypatch):
+    def fit(train, specs, sizes, *rest):
+        raise Asked(specs, sizes)
+
+    monkeypatch.setattr(M, "fit_candidates", fit)
+    with pytest.raises(Asked) as asked:
+        registry.queries()["m17_train_candidates"](spark, sf_dir)
+    specs, sizes = asked.value.args
+    assert specs == S.DEFAULT_MODEL_CANDIDATES and sizes == M.Sizes()
