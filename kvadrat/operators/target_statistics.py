@@ -59,13 +59,33 @@ def ordered_target_statistics(
     train: DataFrame, columns: list[str], label: str, order_col: str, weight: float = 1.0
 ) -> DataFrame:
     """(order_col, column_name, encoded) of every training row, from the rows before it in
-    ``order_col`` (a hash that is unique to the row)."""
-    y = F.col(label).cast("double").alias("_y")
-    rows = _long(train.select(order_col, *columns, y), columns, [order_col, "_y"])
-    sums = prefix_sums(rows, ["column_name", "label"], order_col, "_y")
+    ``order_col`` (a hash that is unique to the row). As in ``prefix_sums``, but a row is shuffled once for all its
+    columns, by its range alone, and only then taken apart; the sums before a range come with them as a row that is
+    first in its category."""
+    n = int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    digits = next(k for k in range(1, 16) if 16**k >= 4 * n)  # several ranges a task
+    p = F.coalesce(F.substring(order_col, 1, digits), F.lit("")).alias("_p")
+    rows = train.select(F.col(order_col), p, *columns, F.col(label).cast("double").alias("_y"))
+    g = ["column_name", "label"]
+    totals = _long(rows, columns, ["_p", "_y"]).groupBy(*g, "_p").agg(F.sum("_y").alias("_s"), F.count("_y").alias("_n"))
+    over = Window.partitionBy(*g).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)  # one row a range
+    offsets = totals.repartitionByRange(n, *g).select(*g, "_p", F.sum("_s").over(over).alias("_s0"), F.sum("_n").over(over).alias("_n0"))
+    dealt = rows.unionByName(offsets.filter("_n0 is not null"), allowMissingColumns=True).repartition(n, "_p")
+    item = lambda name, value: F.struct(name.alias("column_name"), value.alias("label"))
+    own = F.array(*[item(F.lit(c), F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(S.UNKNOWN))) for c in columns])
+    sums = F.col("column_name").isNotNull()
+    parted = dealt.select(
+        order_col, "_p", "_y", "_s0", "_n0", sums.alias("_sums"),
+        F.explode(F.when(sums, F.array(item(F.col("column_name"), F.col("label")))).otherwise(own)).alias("_i"),
+    ).select(order_col, "_p", "_y", "_s0", "_n0", "_sums", "_i.*")
+    before = Window.partitionBy(*g, "_p").orderBy(F.col("_sums").desc(), F.col(order_col), F.col("_y").desc()).rowsBetween(
+        Window.unboundedPreceding, -1)
+    total = F.coalesce(F.sum(F.coalesce("_s0", "_y")).over(before), F.lit(0.0))
+    count = F.coalesce(F.sum(F.coalesce("_n0", F.col("_y").isNotNull().cast("long"))).over(before), F.lit(0))
     prior = train.agg(F.avg(label).alias("_prior"))  # one row
-    encoded = _drawn(F.col("before_sum"), F.col("before_n"), weight)
-    return sums.crossJoin(F.broadcast(prior)).select(order_col, "column_name", encoded.alias("encoded"))
+    encoded = parted.select(order_col, "column_name", "_sums", total.alias("_before"), count.alias("_count")).filter("not _sums")
+    encoded = encoded.crossJoin(F.broadcast(prior))
+    return encoded.select(order_col, "column_name", _drawn(F.col("_before"), F.col("_count"), weight).alias("encoded"))
 
 
 def target_statistics(
